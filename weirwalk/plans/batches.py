@@ -288,6 +288,7 @@ def batches(release_mcn_dam: str = "LMN") -> tuple[Batch, ...]:
 
 
 BATCH_NAMES = tuple(f"C{n:02d}" for n in range(1, 16))
+APPENDS = ("C01", "C03", "C05", "C07", "C09", "C12")
 
 
 def _chosen(names: tuple[str, ...], release_mcn_dam: str = "LMN") -> list[Batch]:
