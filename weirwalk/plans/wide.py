@@ -32,8 +32,6 @@ MAX_POPULATIONS = 1000
 # two-valued. Passage tables never hold it.
 UNSET = -1
 FLAGS = ("upstream", "at_dam", "below")
-# What the batches read and write of a passage row.
-BATCH_VALUES = ("pass_date", *FLAGS)
 
 
 def population_table(spark: SparkSession, populations: tuple[Population, ...]) -> DataFrame:
@@ -246,9 +244,9 @@ def wide_rows(
     for dam in fv.DAMS:
         columns[f"in_{dam}"] = F.col(dam)["present"]
         columns[f"added_{dam}"] = F.lit(None).cast("string")
-        for value in BATCH_VALUES:
+        for value in schema.PASSAGE_VALUES:
             columns[f"{dam}_{value}"] = F.col(dam)[value]
-    done = ("entries", "entry", "population", "age_marks", "season_marks")
+    done = ("entries", "entry", "population", "age_marks", "season_marks", *fv.DAMS)
     return rows.withColumns(columns).drop(*done)
 
 
@@ -270,7 +268,7 @@ def passage_tables(
     def entry(dam: str) -> Column:
         fields = [F.lit(dam).alias("dam")]
         for value in schema.PASSAGE_VALUES:
-            held = F.col(f"{dam}_{value}") if value in BATCH_VALUES else F.col(dam)[value]
+            held = F.col(f"{dam}_{value}")
             held = F.when(held != UNSET, held) if value in FLAGS else held
             fields.append(held.alias(value))
         fields += [F.col(f"added_{dam}").alias("added")] if added else []
