@@ -65,13 +65,12 @@ def bits(facts: Iterable[Fact]) -> int:
 
 def has_any(facts: Iterable[Fact]) -> Column:
     """At least one of the facts holds for the row's marks."""
-    return F.col("marks").bitwiseAND(F.lit(bits(facts)).cast("long")) != 0
+    return F.expr(f"marks & {bits(facts)}L <> 0L")
 
 
 def has_all(facts: Iterable[Fact], but_none: Iterable[Fact] = ()) -> Column:
     """All of the facts hold for the row's marks and none of the others does."""
-    wanted, looked_at = bits(facts), bits([*facts, *but_none])
-    return F.col("marks").bitwiseAND(F.lit(looked_at).cast("long")) == F.lit(wanted).cast("long")
+    return F.expr(f"marks & {bits([*facts, *but_none])}L = {bits(facts)}L")
 
 
 def last_column(source: str, dam: str) -> str:
@@ -82,8 +81,12 @@ def _longs(values: Iterable[int]) -> Column:
     return F.array(*[F.lit(v).cast("long") for v in values])
 
 
-def _marks(ord_: Column, source_number: Column) -> Column:
-    """The bit mark of one detection."""
+def _marks(ord_: Column, dam_number: Column, source_number: Column) -> Column:
+    """The bit mark of one telling detection: at a known site, or an adult return.
+
+    No known site has the name of an adult ladder, so the patterns are looked at
+    once, by the filter before, and antennas only where one can remove.
+    """
 
     def mark(facts: Iterable[str]) -> int:
         return bits((fv.MAIN, fact) for fact in facts)
@@ -93,13 +96,13 @@ def _marks(ord_: Column, source_number: Column) -> Column:
         below = [b for b, (first, last) in fv.BELOW_ORD.items() if first <= n <= last]
         sites.append(mark(below + ([f"at_{dam.lower()}"] if dam else [])))
         removals.append(mark([f"removed_{dam.lower()}"] if dam else []))
-    here = F.when(ord_.isNotNull(), F.element_at(_longs(sites), ord_)).otherwise(0)
+    adult = F.lit(mark(fv.BELOW_ORD)).cast("long")
+    here = F.when(ord_.isNull(), adult).otherwise(F.element_at(_longs(sites), ord_))
     removed = F.when(
-        ord_.isNotNull() & on_removal_antenna(), F.element_at(_longs(removals), ord_)
+        (dam_number > 0) & on_removal_antenna(), F.element_at(_longs(removals), ord_)
     ).otherwise(0)
-    adult = F.when(adult_return(), F.lit(mark(fv.BELOW_ORD)).cast("long")).otherwise(0)
     shifts = _longs(1 << (i * len(FACTS)) for i in range(len(fv.SOURCES)))
-    return here.bitwiseOR(removed).bitwiseOR(adult) * F.element_at(shifts, source_number)
+    return here.bitwiseOR(removed) * F.element_at(shifts, source_number)
 
 
 def _number_of(column: str, names: Iterable[str]) -> Column:
@@ -109,7 +112,7 @@ def _number_of(column: str, names: Iterable[str]) -> Column:
 
 
 def tag_features(detections: DataFrame, keys: DataFrame | None = None) -> DataFrame:
-    """One row per (species_group, tag_code): the OR of the marks and the last times.
+    """One row per (tag_code, species_group): the OR of the marks and the last times.
 
     Detections that tell nothing are dropped before the shuffle. ``keys`` adds
     tags that must have a row even when they were never detected.
@@ -128,11 +131,12 @@ def tag_features(detections: DataFrame, keys: DataFrame | None = None) -> DataFr
             }
         )
         .filter(ord_.isNotNull() | adult_return())
-        .withColumn("slot", source_number * 10 + dam_number)
+        .withColumn("dam_number", dam_number)
+        .withColumn("slot", source_number * 10 + F.col("dam_number"))
         .select(
             "species_group",
             "tag_code",
-            _marks(ord_, source_number).alias("marks"),
+            _marks(ord_, F.col("dam_number"), source_number).alias("marks"),
             *[
                 F.when(
                     F.col("slot") == (fv.SOURCES.index(source) + 1) * 10 + fv.DAMS.index(dam),
@@ -145,7 +149,7 @@ def tag_features(detections: DataFrame, keys: DataFrame | None = None) -> DataFr
     if keys is not None:
         keys = keys.select("species_group", "tag_code", F.lit(0).cast("long").alias("marks"))
         rows = rows.unionByName(keys, allowMissingColumns=True)
-    by_tag = rows.groupBy("species_group", "tag_code").agg(
+    by_tag = rows.groupBy("tag_code", "species_group").agg(
         F.bit_or("marks").alias("marks"), *[F.max(c).alias(c) for c in last]
     )
     return by_tag.withColumn("marks", F.coalesce("marks", F.lit(0).cast("long")))

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from weirwalk.functions.predicates import at_sites, in_season
 
-TAG = ("species_group", "tag_code")
-SOURCE_TAG = ("species_group", "source", "tag_code")
+# The tag comes first: sorts compare its leading bytes before anything else.
+TAG = ("tag_code", "species_group")
+SOURCE_TAG = ("tag_code", "species_group", "source")
 
 
 def last_obs(detections: DataFrame, sites: list[str], by: tuple[str, ...] = TAG) -> DataFrame:

@@ -1,7 +1,7 @@
 """One row per (population, tag) that carries all the batches read and write.
 
 No batch relates two tags, so once the inputs meet on the tag every batch is a
-column expression. Each input is shuffled once on (species_group, tag_code):
+column expression. Each input is shuffled once on (tag_code, species_group):
 detections as already combined bit marks, tagging facts as one row per tag, and
 passage rows grouped by tag. The joins between them reuse that partitioning.
 """
@@ -25,8 +25,9 @@ from weirwalk.functions.features import (
 )
 from weirwalk.operators.aggregates import TAG
 
-# The populations are configuration; a table of them may be broadcast up to here.
-MAX_POPULATIONS = 1000
+# The populations are configuration. Up to here a table of them is broadcast, and
+# a tag's entries in all of them are columns of one row.
+MAX_POPULATIONS = 100
 
 # Stands for NULL in a flag while the batches run, so that tests of flags are
 # two-valued. Passage tables never hold it.
@@ -87,13 +88,14 @@ def seasons(populations: tuple[Population, ...]) -> list[str]:
     return sorted({p.season for p in populations})
 
 
-def passage_by_tag(passage: DataFrame, populations: tuple[Population, ...]) -> DataFrame:
-    """Passage rows as one row per tag: an entry per population with its checkpoints.
+def passage_by_tag(
+    passage: DataFrame, known: DataFrame, populations: tuple[Population, ...]
+) -> DataFrame:
+    """Passage rows as one row per tag: per population an entry with its checkpoints.
 
-    Fails on a key that occurs twice at a checkpoint, which also bounds the
-    entries of a tag by the number of populations.
+    Fails on a key that occurs twice at a checkpoint. Both groupings and the join
+    to come run on one shuffle and one sort.
     """
-    known = population_table(passage.sparkSession, populations)
     known = F.broadcast(known.select("population", "basin", "run", "species_group"))
     rows = passage.join(known, ["basin", "run"]).repartition(*TAG)
     pivot = []
@@ -105,10 +107,15 @@ def passage_by_tag(passage: DataFrame, populations: tuple[Population, ...]) -> D
     most = F.greatest(*[F.col(f"n_{dam}") for dam in fv.DAMS])
     twice = F.raise_error(F.concat(F.lit("tag repeats in a passage table: "), F.col("tag_code")))
     entry = F.struct("population", *[_state(F.col(dam)).alias(dam) for dam in fv.DAMS])
+    entry = F.when(most > 1, twice).otherwise(entry)
+    entries = [
+        F.first(F.when(F.col("population") == i, F.col("entry")), ignorenulls=True)
+        for i in range(len(populations))
+    ]
     return (
-        by_population.select(*TAG, F.when(most > 1, twice).otherwise(entry).alias("entry"))
+        by_population.select(*TAG, "population", entry.alias("entry"))
         .groupBy(*TAG)
-        .agg(F.collect_list("entry").alias("entries"))
+        .agg(*[e.alias(f"entry_{i}") for i, e in enumerate(entries)])
     )
 
 
@@ -159,30 +166,17 @@ def _entries(passage: DataFrame, populations: tuple[Population, ...]) -> Column:
     """The entries of a tag: those of the passage tables, and the populations with
     releases that a tag of a release source may enter without being in any table.
     """
-    absent = _state(F.lit(None).cast(passage.select(*schema.PASSAGE_VALUES).schema))
-
-    def entry(number: int) -> Column:
-        return F.struct(
-            F.lit(number).alias("population"), *[absent.alias(dam) for dam in fv.DAMS]
-        )
-
-    none = F.filter(F.array(entry(0)), lambda e: F.lit(False))
-    held = F.coalesce("entries", none)
-    open_ = F.when(F.lit(False), none)
-    for group in _groups(populations):
-        numbers = [
-            i
-            for i, p in enumerate(populations)
-            if p.species_group == group and p.release_sources
-        ]
-        if numbers:
-            entering = (F.col("species_group") == group) & seen_at_releases()
-            open_ = open_.when(entering, F.array(*[entry(n) for n in numbers]))
-
-    def held_already(new: Column) -> Column:
-        return F.exists(held, lambda e: e["population"] == new["population"])
-
-    return F.concat(held, F.filter(open_.otherwise(none), lambda new: ~held_already(new)))
+    nothing = F.lit(None).cast(passage.select(*schema.PASSAGE_VALUES).schema)
+    absent = [_state(nothing).alias(dam) for dam in fv.DAMS]
+    entries = []
+    for i, p in enumerate(populations):
+        entry = F.col(f"entry_{i}")
+        if p.release_sources:
+            enters = (F.col("species_group") == p.species_group) & seen_at_releases()
+            new = F.struct(F.lit(i).alias("population"), *absent)
+            entry = F.coalesce(entry, F.when(enters, new))
+        entries.append(entry)
+    return F.array_compact(F.array(*entries))
 
 
 def _population_marks() -> Column:
@@ -230,7 +224,7 @@ def wide_rows(
         tagging = tagging.filter(F.col("source") == fv.MAIN)
     known = F.broadcast(population_table(passage.sparkSession, populations))
     keys = passage.join(known.select("basin", "run", "species_group"), ["basin", "run"])
-    states = passage_by_tag(passage, populations)
+    states = passage_by_tag(passage, known, populations)
     features = tag_features(detections, keys)
     features = features.withColumn("season_marks", season_marks(seasons(populations)))
     rows = (
@@ -246,7 +240,8 @@ def wide_rows(
         columns[f"added_{dam}"] = F.lit(None).cast("string")
         for value in schema.PASSAGE_VALUES:
             columns[f"{dam}_{value}"] = F.col(dam)[value]
-    done = ("entries", "entry", "population", "age_marks", "season_marks", *fv.DAMS)
+    done = [f"entry_{i}" for i in range(len(populations))]
+    done += ["entry", "population", "age_marks", "season_marks", *fv.DAMS]
     return rows.withColumns(columns).drop(*done)
 
 
