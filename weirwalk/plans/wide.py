@@ -223,7 +223,9 @@ def wide_rows(
         detections = detections.filter(F.col("source") == fv.MAIN)
         tagging = tagging.filter(F.col("source") == fv.MAIN)
     known = F.broadcast(population_table(passage.sparkSession, populations))
-    keys = passage.join(known.select("basin", "run", "species_group"), ["basin", "run"])
+    # A tag that was never detected matters only where a checkpoint's table holds it.
+    keys = passage.filter(F.col("dam").isin(list(fv.FILLED_DAMS)))
+    keys = keys.join(known.select("basin", "run", "species_group"), ["basin", "run"])
     states = passage_by_tag(passage, known, populations)
     features = tag_features(detections, keys)
     features = features.withColumn("season_marks", season_marks(seasons(populations)))
@@ -258,6 +260,8 @@ def passage_tables(
     date, also with NULL. ``added`` adds the batch that appended the row, NULL for
     rows of the start state.
     """
+    if not set(dams) <= set(fv.FILLED_DAMS):
+        raise ValueError(f"not among {fv.FILLED_DAMS}: {dams}")
     key = ("basin", "run", "tag_code")
 
     def entry(dam: str) -> Column:
