@@ -17,12 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weirwalk import fixed_values as fv
-from weirwalk.functions.predicates import (
-    adult_return,
-    month_day,
-    on_removal_antenna,
-    season_bounds,
-)
+from weirwalk.functions.predicates import adult_return, on_removal_antenna, season_bounds
 
 FACTS = (
     "at_lgs",
@@ -78,7 +73,7 @@ def last_column(source: str, dam: str) -> str:
 
 
 def _longs(values: Iterable[int]) -> Column:
-    return F.array(*[F.lit(v).cast("long") for v in values])
+    return F.expr("array(" + ", ".join(f"{v}L" for v in values) + ")")
 
 
 def _marks(ord_: Column, dam_number: Column, source_number: Column) -> Column:
@@ -107,8 +102,8 @@ def _marks(ord_: Column, dam_number: Column, source_number: Column) -> Column:
 
 def _number_of(column: str, names: Iterable[str]) -> Column:
     """Position of the value in the list, counted from 1; NULL when it is not there."""
-    pairs = [F.lit(x) for i, name in enumerate(names) for x in (name, i + 1)]
-    return F.try_element_at(F.create_map(*pairs), F.col(column))
+    pairs = ", ".join(f"'{name}', {i}" for i, name in enumerate(names, start=1))
+    return F.expr(f"try_element_at(map({pairs}), {column})")
 
 
 def tag_features(detections: DataFrame, keys: DataFrame | None = None) -> DataFrame:
@@ -118,10 +113,8 @@ def tag_features(detections: DataFrame, keys: DataFrame | None = None) -> DataFr
     tags that must have a row even when they were never detected.
     """
     ord_, source_number = F.col("ord"), F.col("source_number")
-    dam_numbers = [fv.DAMS.index(dam) if dam else 0 for *_, dam in fv.SITES]
-    dam_number = F.when(
-        ord_.isNotNull(), F.element_at(F.array(*[F.lit(n) for n in dam_numbers]), ord_)
-    ).otherwise(0)
+    dam_numbers = ", ".join(str(fv.DAMS.index(dam) if dam else 0) for *_, dam in fv.SITES)
+    dam_number = F.expr(f"coalesce(element_at(array({dam_numbers}), ord), 0)")
     last = [last_column(source, dam) for source, dam in LAST_OBS]
     rows = (
         detections.withColumns(
@@ -161,14 +154,14 @@ def season_marks(seasons: Iterable[str]) -> Column:
     The bits of a season are in the order of LAST_OBS; the seasons follow each
     other from the lowest bit.
     """
-    marks = F.lit(0).cast("long")
-    bounds = [season_bounds(season) for season in seasons]
-    for i, (source, dam) in enumerate(LAST_OBS):
-        when = month_day(F.col(last_column(source, dam)))
-        for n, (first, last) in enumerate(bounds):
-            bit = F.lit(1 << (n * len(LAST_OBS) + i)).cast("long")
-            marks = marks.bitwiseOR(F.when(when.between(first, last), bit).otherwise(0))
-    return marks
+    terms = []
+    for n, season in enumerate(seasons):
+        first, last = season_bounds(season)
+        for i, (source, dam) in enumerate(LAST_OBS):
+            when = last_column(source, dam)
+            within = f"month({when}) * 100 + day({when}) BETWEEN {first} AND {last}"
+            terms.append(f"if({within}, {1 << (n * len(LAST_OBS) + i)}L, 0L)")
+    return F.expr(" | ".join(terms))
 
 
 def seen_at_releases() -> Column:

@@ -33,12 +33,10 @@ Test = Callable[[], Column]
 
 def member(dam: str, at_dam: int | None = None, below: int | None = None) -> Column:
     """The tag is in the checkpoint's table with the given flags."""
-    condition = F.col(f"in_{dam}")
-    if at_dam is not None:
-        condition = condition & (F.col(f"{dam}_at_dam") == at_dam)
-    if below is not None:
-        condition = condition & (F.col(f"{dam}_below") == below)
-    return condition
+    tests = [f"in_{dam}"]
+    tests += [] if at_dam is None else [f"{dam}_at_dam = {at_dam}"]
+    tests += [] if below is None else [f"{dam}_below = {below}"]
+    return F.expr(" AND ".join(tests))
 
 
 def at(dam: str, source: str = MAIN) -> Fact:

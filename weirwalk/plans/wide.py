@@ -19,6 +19,7 @@ from weirwalk.functions.features import (
     LAST_OBS,
     MARKS,
     bits,
+    last_column,
     season_marks,
     seen_at_releases,
     tag_features,
@@ -106,7 +107,7 @@ def passage_by_tag(
     by_population = rows.groupBy(*TAG, "population").agg(*pivot)
     most = F.greatest(*[F.col(f"n_{dam}") for dam in fv.DAMS])
     twice = F.raise_error(F.concat(F.lit("tag repeats in a passage table: "), F.col("tag_code")))
-    entry = F.struct("population", *[_state(F.col(dam)).alias(dam) for dam in fv.DAMS])
+    entry = F.struct("population", *[_state(dam) for dam in fv.DAMS])
     entry = F.when(most > 1, twice).otherwise(entry)
     entries = [
         F.first(F.when(F.col("population") == i, F.col("entry")), ignorenulls=True)
@@ -119,13 +120,13 @@ def passage_by_tag(
     )
 
 
-def _state(row: Column) -> Column:
+def _state(dam: str) -> Column:
     """A tag's row at a checkpoint, or its absence, with two-valued flags."""
-    fields = [row.isNotNull().alias("present")]
+    fields = [f"'present', {dam} IS NOT NULL"]
     for name in schema.PASSAGE_VALUES:
-        value = row.getField(name)
-        fields.append((F.coalesce(value, F.lit(UNSET)) if name in FLAGS else value).alias(name))
-    return F.struct(*fields)
+        value = f"{dam}.{name}"
+        fields.append(f"'{name}', " + (f"coalesce({value}, {UNSET})" if name in FLAGS else value))
+    return F.expr(f"named_struct({', '.join(fields)})").alias(dam)
 
 
 def tagging_by_tag(tagging: DataFrame, populations: tuple[Population, ...]) -> DataFrame:
@@ -166,8 +167,12 @@ def _entries(passage: DataFrame, populations: tuple[Population, ...]) -> Column:
     """The entries of a tag: those of the passage tables, and the populations with
     releases that a tag of a release source may enter without being in any table.
     """
-    nothing = F.lit(None).cast(passage.select(*schema.PASSAGE_VALUES).schema)
-    absent = [_state(nothing).alias(dam) for dam in fv.DAMS]
+    values = []
+    for field in passage.select(*schema.PASSAGE_VALUES).schema:
+        null = F.lit(UNSET) if field.name in FLAGS else F.lit(None).cast(field.dataType)
+        values.append(null.alias(field.name))
+    absent = F.struct(F.lit(False).alias("present"), *values)
+    absent = [absent.alias(dam) for dam in fv.DAMS]
     entries = []
     for i, p in enumerate(populations):
         entry = F.col(f"entry_{i}")
@@ -236,15 +241,14 @@ def wide_rows(
         .select("*", "entry.*")
         .join(known.drop("species_group", "season", "age"), "population")
     )
-    columns = {"marks": _population_marks()}
+    columns = ["tag_code", "basin", "run", "species", "has_releases"]
+    columns += [last_column(source, dam) for source, dam in LAST_OBS]
+    columns += [f"facts_{source}" for source in fv.SOURCES]
     for dam in fv.DAMS:
-        columns[f"in_{dam}"] = F.col(dam)["present"]
-        columns[f"added_{dam}"] = F.lit(None).cast("string")
-        for value in schema.PASSAGE_VALUES:
-            columns[f"{dam}_{value}"] = F.col(dam)[value]
-    done = [f"entry_{i}" for i in range(len(populations))]
-    done += ["entry", "population", "age_marks", "season_marks", *fv.DAMS]
-    return rows.withColumns(columns).drop(*done)
+        columns += [f"{dam}.present AS in_{dam}", f"CAST(NULL AS string) AS added_{dam}"]
+        columns += [f"{dam}.{value} AS {dam}_{value}" for value in schema.PASSAGE_VALUES]
+    marks = _population_marks().alias("marks")
+    return rows.select(marks, *[F.expr(column) for column in columns])
 
 
 def passage_tables(
@@ -265,13 +269,13 @@ def passage_tables(
     key = ("basin", "run", "tag_code")
 
     def entry(dam: str) -> Column:
-        fields = [F.lit(dam).alias("dam")]
+        fields = [f"'dam', '{dam}'"]
         for value in schema.PASSAGE_VALUES:
-            held = F.col(f"{dam}_{value}")
-            held = F.when(held != UNSET, held) if value in FLAGS else held
-            fields.append(held.alias(value))
-        fields += [F.col(f"added_{dam}").alias("added")] if added else []
-        return F.when(F.col(f"in_{dam}"), F.struct(*fields))
+            held = f"{dam}_{value}"
+            held = f"nullif({held}, {UNSET})" if value in FLAGS else held
+            fields.append(f"'{value}', {held}")
+        fields += [f"'added', added_{dam}"] if added else []
+        return F.expr(f"CASE WHEN in_{dam} THEN named_struct({', '.join(fields)}) END")
 
     entries = F.array_compact(F.array(*[entry(dam) for dam in dams]))
     sources = ("species", "has_releases", *[f"facts_{s}" for s in fv.SOURCES])
