@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from weirwalk import fixed_values as fv
 from weirwalk.plans.batches import BATCH_NAMES
-from weirwalk.plans.populations import run_batches
+from weirwalk.plans.populations import run_batches, select_populations
 from weirwalk.sources import driver_tables, tables
 
 
@@ -48,6 +48,19 @@ def test_each_input_is_shuffled_once(stored, no_broadcast):
     assert "Cartesian" not in plan and "NestedLoop" not in plan and "Python" not in plan
 
 
+def test_a_run_reads_only_its_species_group_and_sources(spark, stored, tmp_path):
+    detections, tagging, passage = stored
+    path = str(tmp_path / "partitioned")
+    detections.write.partitionBy("species_group", "source").parquet(path)
+    partitioned = tables.read_detections(spark, path)
+    populations = select_populations("salmon", "STH")
+    plan = _plan(run_batches(partitioned, tagging, passage, populations))
+    filters = "".join(re.findall(r"PartitionFilters: \[[^\]]*\]", plan))
+    assert re.search(r"species_group#\d+ = STH", filters) and re.search(r"source#\d+ = ", filters)
+    same = run_batches(partitioned, tagging, passage, populations)
+    assert same.exceptAll(run_batches(*stored, populations)).isEmpty()
+
+
 def test_anti_join_is_not_broadcast_by_force(spark, small_dir, no_broadcast):
     from checks.queries import QUERIES
 

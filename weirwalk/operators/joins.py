@@ -16,7 +16,11 @@ from weirwalk.operators.aggregates import SOURCE_TAG, TAG
 
 
 def semi_join(rows: DataFrame, keys: DataFrame, on: tuple[str, ...] = TAG) -> DataFrame:
-    """Rows whose key is in the key table."""
+    """Rows whose key is in the key table.
+
+    Keeps rows as they are. To go on to one row per key, group first and join the
+    groups: a key with very many rows is then one row at the join.
+    """
     return rows.join(keys.select(*on), list(on), "left_semi")
 
 
