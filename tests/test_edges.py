@@ -127,6 +127,17 @@ def test_release_tag_of_any_age_for_steelhead(spark):
     assert rows["LMN", "T1"]["added"] == "C07"
 
 
+def test_rows_appended_after_the_last_fill_stay_bare(spark):
+    seen = [detection("T1", LMJ, day(5, 1))]
+    passage = [state("T1", "LGR", at_dam=1, below=1), state("T0", "LMN")]
+    facts = [tagged("T0"), tagged("T1")]
+    rows = run(spark, seen, passage, facts, batches=("C04", "C07"))
+    assert (rows["LMN", "T0"]["spp"], rows["LMN", "T0"]["run_type"]) == ("Chinook", "Spring")
+    assert (rows["LMN", "T1"]["spp"], rows["LMN", "T1"]["run_type"]) == (None, None)
+    rows = run(spark, seen, passage, facts, batches=("C04", "C07", "C08"))
+    assert (rows["LMN", "T1"]["spp"], rows["LMN", "T1"]["run_type"]) == ("Chinook", "Spring")
+
+
 def test_release_mcn_dam_parameter(spark):
     seen = [detection("T1", MCJ, day(5, 1), source="lgs_release")]
     age = [tagged("T1", age="Yearling+", source="lgs_release", group="CHK")]

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from weirwalk.fixed_values import LGR_RELEASE, LGS_RELEASE, LMN_RELEASE, MAIN
 from weirwalk.functions.features import Fact, has_all, has_any, last_column
 from weirwalk.functions.predicates import any_of
-from weirwalk.plans.wide import FLAGS, UNSET
+from weirwalk.plans.wide import FLAGS, UNSET, Facts
 
 # The sources a batch looks at, in order of precedence for tagging facts.
 ONLY_MAIN = (MAIN,)
@@ -97,7 +97,7 @@ class Append:
 
 @dataclass(frozen=True)
 class Fill:
-    """Set pass date and the three flags of a checkpoint's rows, and its facts.
+    """Set pass date and flags of a checkpoint's rows; facts follow at the end.
 
     ``last`` says that no later fill of the checkpoint runs. The upstream flag is
     left to that one: it sees all rows, and nothing reads the flag before.
@@ -307,12 +307,18 @@ def apply_batches(
     return wide
 
 
-def facts_sources(names: tuple[str, ...] = BATCH_NAMES) -> dict[str, tuple[str, ...]]:
-    """Checkpoints whose species and tagging facts the named batches set, and the
-    tagging sources they draw on.
+def facts_written(names: tuple[str, ...] = BATCH_NAMES) -> dict[str, Facts]:
+    """Per checkpoint, where the named batches take species and tagging facts from.
 
     Every fill and every 1-0-1 batch sets them on all rows of its checkpoint. The
-    last one sees all rows and all sources of the earlier ones, and no batch reads
-    them, so they are written once, at the end.
+    last one sees all sources of the earlier ones, and no batch reads them, so they
+    are written once, at the end, on all rows but those appended after it.
     """
-    return {b.dam: b.sources for b in _chosen(names) if not isinstance(b, Append)}
+    written: dict[str, Facts] = {}
+    for batch in _chosen(names):
+        if not isinstance(batch, Append):
+            written[batch.dam] = Facts(batch.sources)
+        elif batch.dam in written:
+            before = written[batch.dam]
+            written[batch.dam] = Facts(before.sources, (*before.not_added_by, batch.name))
+    return written

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from weirwalk import fixed_values as fv
 from weirwalk.fixed_values import Population
-from weirwalk.plans.batches import BATCH_NAMES, apply_batches, facts_sources
+from weirwalk.plans.batches import BATCH_NAMES, apply_batches, facts_written
 from weirwalk.plans.wide import passage_tables, wide_rows
 
 
@@ -35,4 +35,4 @@ def run_batches(
     """The passage tables of the given checkpoints after the given batches."""
     wide = wide_rows(detections, tagging, passage, populations)
     wide = apply_batches(wide, batches, release_mcn_dam)
-    return passage_tables(wide, facts_sources(batches), dams, added)
+    return passage_tables(wide, facts_written(batches), dams, added)

@@ -8,6 +8,8 @@ passage rows grouped by tag. The joins between them reuse that partitioning.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -251,22 +253,30 @@ def wide_rows(
     return rows.select(marks, *[F.expr(column) for column in columns])
 
 
+@dataclass(frozen=True)
+class Facts:
+    """Tagging sources, in order, of a checkpoint's rows, and batches whose rows get none."""
+
+    sources: tuple[str, ...]
+    not_added_by: tuple[str, ...] = ()
+
+
 def passage_tables(
     wide: DataFrame,
-    facts: dict[str, tuple[str, ...]],
+    facts: dict[str, Facts],
     dams: tuple[str, ...] = fv.FILLED_DAMS,
     added: bool = False,
 ) -> DataFrame:
     """Wide rows back as passage rows; a narrow step.
 
-    ``facts`` names the checkpoints whose species and tagging facts are set, with
-    the tagging sources in order. A tagging match overwrites run and release
-    date, also with NULL. ``added`` adds the batch that appended the row, NULL for
+    ``facts`` names the checkpoints whose species and tagging facts are set. A
+    tagging match overwrites run and release date, also with NULL. ``added`` adds the batch that appended the row, NULL for
     rows of the start state.
     """
     if not set(dams) <= set(fv.FILLED_DAMS):
         raise ValueError(f"not among {fv.FILLED_DAMS}: {dams}")
     key = ("basin", "run", "tag_code")
+    tracked = added or any(f.not_added_by for f in facts.values())
 
     def entry(dam: str) -> Column:
         fields = [f"'dam', '{dam}'"]
@@ -274,7 +284,7 @@ def passage_tables(
             held = f"{dam}_{value}"
             held = f"nullif({held}, {UNSET})" if value in FLAGS else held
             fields.append(f"'{value}', {held}")
-        fields += [f"'added', added_{dam}"] if added else []
+        fields += [f"'added', added_{dam}"] if tracked else []
         return F.expr(f"CASE WHEN in_{dam} THEN named_struct({', '.join(fields)}) END")
 
     entries = F.array_compact(F.array(*[entry(dam) for dam in dams]))
@@ -283,11 +293,17 @@ def passage_tables(
     rows = rows.select(*key, *sources, "entry.*")
 
     tagged = F.when(F.lit(False), F.col(f"facts_{fv.MAIN}"))
-    for dam, sources in facts.items():
-        open_ = F.col("has_releases") & F.lit(len(sources) > 1)
-        tagged = tagged.when((F.col("dam") == dam) & open_, F.col(f"facts_{sources[-1]}"))
-        tagged = tagged.when(F.col("dam") == dam, F.col(f"facts_{fv.MAIN}"))
-    filled = F.col("dam").isin(list(facts)) if facts else F.lit(False)
+    filled = F.lit(False)
+    for dam, written in facts.items():
+        here = F.col("dam") == dam
+        if written.not_added_by:
+            late = F.col("added").isin(list(written.not_added_by))
+            here = here & ~F.coalesce(late, F.lit(False))
+        if len(written.sources) > 1:
+            upto = F.col(f"facts_{written.sources[-1]}")
+            tagged = tagged.when(here & F.col("has_releases"), upto)
+        tagged = tagged.when(here, F.col(f"facts_{fv.MAIN}"))
+        filled = filled | here
     rows = rows.withColumn("tagged", tagged)
     hit = F.col("tagged").isNotNull()
     rows = rows.withColumns(
