@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from weirwalk.llm.mixing import OP9_SQL, op9_source_mix
+from weirwalk.llm.packing import op10_best_fit
 from weirwalk.llm.sharding import op5_rendezvous_shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_rendezvous_shards": op5_rendezvous_shards,
     "op9_source_mix": op9_source_mix,
+    "op10_best_fit": op10_best_fit,
 }
 
 ORACLE_SQL: dict[str, str] = {"op9_source_mix": OP9_SQL}

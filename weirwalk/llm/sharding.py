@@ -35,16 +35,14 @@ def rendezvous_shard(key: Column, weights: Sequence[float]) -> Column:
     return (-F.array_max(F.array(*drawn))["rank"]).cast("int")
 
 
-def with_slots(rows: DataFrame, shard: str, key: str, n_rows: int, ties: Sequence[str] = (), slot: str = "slot") -> DataFrame:
+def with_slots(rows: DataFrame, shard: str, key: str, groups: Column, ties: Sequence[str] = (), slot: str = "slot") -> DataFrame:
     """Adds each row's place in its shard, gapless from 0.
 
-    Rows of a shard are numbered in order of a hash of the key. Ranges of that hash split a shard into groups of bounded size, which
-    are numbered in separate tasks from the running count of the groups before; the numbers don't depend on how many groups there are.
+    Rows of a shard are numbered in order of a hash of the key. Ranges of that hash split a shard into so many `groups`, which are
+    numbered in separate tasks from the running count of the groups before; the numbers don't depend on how many groups there are.
     """
-    shards = rows.select(shard).distinct().count() or 1
-    groups = groups_for(n_rows, SLOT_GROUP_ROWS * shards)
     hashed = rows.withColumn("__hash", F.xxhash64(F.col(key), F.lit("slot"))).withColumn(
-        "__group", F.floor((F.shiftrightunsigned("__hash", 11).cast("double") * F.lit(2.0**-53)) * F.lit(groups)).cast("int")
+        "__group", F.floor((F.shiftrightunsigned("__hash", 11).cast("double") * F.lit(2.0**-53)) * groups).cast("int")
     )
     before = Window.partitionBy(shard).orderBy("__group").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -70,7 +68,8 @@ def shard_documents(docs: DataFrame, weights: Sequence[float], grown: Sequence[f
         "grown_shard", rendezvous_shard(F.col(key), grown) if grown else F.lit(None).cast("int")
     )
     others = [c for c, kind in clean.dtypes if c != key and not kind.startswith(("map", "variant"))]
-    return with_slots(placed, "shard", key, clean.count(), ties=[f"`{c}`" for c in others])
+    groups = groups_for(clean.count(), SLOT_GROUP_ROWS * len(weights))
+    return with_slots(placed, "shard", key, F.lit(groups), ties=[f"`{c}`" for c in others])
 
 
 def op5_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
