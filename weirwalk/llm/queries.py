@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from weirwalk.llm.mixing import OP9_SQL, op9_source_mix
+from weirwalk.llm.near_dedup import op7_hyperminhash
 from weirwalk.llm.packing import op10_best_fit
 from weirwalk.llm.sharding import op5_rendezvous_shards
 from weirwalk.llm.suffix_repeats import op8_sql, op8_suffix_repeats
@@ -15,6 +16,7 @@ from weirwalk.llm.token_files import op1_token_files
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op5_rendezvous_shards": op5_rendezvous_shards,
+    "op7_hyperminhash": op7_hyperminhash,
     "op8_suffix_repeats": op8_suffix_repeats,
     "op9_source_mix": op9_source_mix,
     "op10_best_fit": op10_best_fit,
