@@ -15,17 +15,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-#: Words that one worker process keeps; later new ones are encoded each time.
-MEMO_ENTRIES = 300_000
+#: Parts and pieces that one worker process keeps, the first that it meets; later new ones are encoded each time.
+MEMO_PARTS, MEMO_PIECES = 100_000, 800_000
 #: Longer words are not kept.
 MEMO_LONGEST = 64
+_LETTERS, _STOPS = "A-Za-zÀ-ÖØ-öø-ÿ", ".,;:!?"
 _UNUSUAL = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]|<\\|")
 
 
 class _Memo(dict):
     """A dict that fills itself up to a number of entries."""
 
-    def __init__(self, make: Callable[[str], bytes], entries: int = MEMO_ENTRIES):
+    def __init__(self, make: Callable[[str], bytes], entries: int):
         super().__init__()
         self._make, self._entries = make, entries
 
@@ -40,25 +41,37 @@ class WordwiseTokenizer:
     """Ids as little-endian unsigned 32-bit integers."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self._whole = Tokenizer.from_file(path)
-        self._pieces = _Memo(self._piece)
-        self._parts = _Memo(self._part)
+        self.n_ids = self._whole.get_vocab_size()
+        self._pieces, self._parts = _Memo(self._piece, MEMO_PIECES), _Memo(self._part, MEMO_PARTS)
         drops_space = self._ids("a b") == self._ids("a") + self._ids("b")
         self._cut = re.compile(r"[^ \t-\r]+" if drops_space else r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+").findall
-        self.n_ids = self._whole.get_vocab_size()
+        # Plain words with stops behind them are most of all parts: the pieces that they split into are known.
+        self._plain = re.compile(rf"({'' if drops_space else '\n?'})({'' if drops_space else ' ?'}[{_LETTERS}]+)([{_STOPS}]*)").fullmatch
+        self._lower = self._ids("A") == self._ids("a")
+        mapped = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        letters = [chr(c) for c in range(256) if re.match(f"[{_LETTERS}{_STOPS} \n]", chr(c))]
+        self._bytes = {ord(c): mapped.pre_tokenize_str(c)[0][0] for c in letters}
 
     def _ids(self, text: str) -> bytes:
         return np.asarray(self._whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _piece(self, piece: str) -> bytes:
+    def _modelled(self, piece: str) -> bytes:
         ids = [token.id for token in self._whole.model.tokenize(piece)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def _piece(self, piece: str) -> bytes:
+        return self._modelled(piece.translate(self._bytes)) if piece else b""
+
     def _part(self, part: str) -> bytes:
+        if plain := self._plain(part):
+            space, word, stops = plain.groups()
+            pieces = self._pieces
+            return pieces[space] + pieces[word.lower() if self._lower else word] + pieces[stops]
         normal = self._whole.normalizer.normalize_str(part) if self._whole.normalizer else part
-        return b"".join([self._pieces[piece] for piece, _ in self._whole.pre_tokenizer.pre_tokenize_str(normal)])
+        return b"".join([self._modelled(piece) for piece, _ in self._whole.pre_tokenizer.pre_tokenize_str(normal)])
 
     def encode(self, text: str) -> bytes:
         if _UNUSUAL.search(text):
