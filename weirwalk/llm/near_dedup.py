@@ -6,14 +6,14 @@
    for small sets too.
 2. Documents with equal sets are one class, represented by its smallest id. Only representatives go on.
 3. Bands of eight registers are candidates' keys. At J = 0.8 all 64 bands differ with probability 8e-6, at 0.85 with 2e-9.
-4. Within the documents of one band key, each is compared with the smallest one only (a star): as many pairs as documents. Registers that
+4. Within the documents of one band key, each is compared with one centre only (a star): as many pairs as documents. Registers that
    agree give an estimate of J, corrected for registers that agree by chance; pairs clearly under the limit (six standard
    deviations) end here. The others are checked on their full sets.
-5. Links give components. Documents of one key that are still in different components are compared with each other as far as the triangle
-   inequality leaves it open: 1 - J is a metric, and both distances to the star's centre are known, so pairs whose distances
-   differ by over 0.2 can't be linked. Nothing else is left out.
+5. Links give components. Documents of one centre that are in different components after that are compared with each other too, blocks of
+   bounded size against blocks, on full sets; these pairs are never written out, only the links among them. So no link between
+   documents that share a band key is lost.
 
-Links of a component never leave Spark, and no group is collected: a band key's group takes part in a window (a running minimum) and joins.
+Links never leave Spark, and no group is collected: a band key's group takes part in a window (a count) and joins.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -36,6 +37,8 @@ BANDS = REGISTERS // BAND_REGISTERS
 LEAST_SHARED = 80
 #: Standard deviations by which an estimate may fall short before a pair is given up.
 DEVIATIONS = 6.0
+#: Documents of one centre that meet as a block, and shingles that are counted at once.
+BLOCK_ROWS, _COLUMNS = 192, 8192
 _BUCKET_BITS = REGISTERS.bit_length() - 1
 
 
@@ -178,6 +181,46 @@ def _compared(pairs: DataFrame, classes: DataFrame, docs: DataFrame, key: str, t
     return stored(guessed.filter("NOT maybe").select("a", "b", "j", "slack", F.lit(False).alias("linked")).unionByName(checked))
 
 
+def _open_links(spokes: DataFrame, found: DataFrame, docs: DataFrame, key: str, text: str, words_each: int) -> DataFrame:
+    """Links (a, b) between documents that hang on the same centre but are in different components so far.
+
+    Documents of a centre are dealt into blocks of bounded size, and each pair of blocks meets in one group, where common shingles of all
+    pairs are counted on full sets. Only links come out, never the pairs.
+    """
+    members = spokes.select(F.col("a").alias("centre"), F.col("b").alias("id"), "j", "slack")
+    members = members.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    split = members.groupBy("centre").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).filter("low < high")
+    members = members.join(split.select("centre", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks")), "centre")
+    members = members.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    members = stored(members.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("other", "blocks"))
+    texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    needed = texts.join(members.select("id").distinct(), "id", "left_semi")
+
+    def count(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["block", "id"], ignore_index=True)
+        sets = [shingle_hashes(value, words_each) for value in rows["text"]]
+        sizes = np.array([len(x) for x in sets])
+        known, at = np.unique(np.concatenate(sets), return_inverse=True)
+        owner = np.repeat(np.arange(len(sets)), sizes)
+        shared = np.zeros((len(sets), len(sets)), np.float32)
+        # Common counts as products of 0/1 matrices, some thousand shingles at a time.
+        order = np.argsort(at, kind="stable")
+        owner, at = owner[order], at[order]
+        for start in range(0, len(known), _COLUMNS):
+            part = slice(*np.searchsorted(at, (start, start + _COLUMNS)))
+            has = np.zeros((len(sets), _COLUMNS), np.float32)
+            has[owner[part], at[part] - start] = 1
+            shared += has @ has.T
+        union = sizes[:, None] + sizes[None, :] - shared
+        x, y = np.nonzero(np.triu(100 * shared >= LEAST_SHARED * union, 1))
+        ids, component, block = (rows[c].to_numpy() for c in ("id", "component", "block"))
+        new = (component[x] != component[y]) & ((block[x] != block[y]) | (rows["low"].iloc[0] == rows["high"].iloc[0]))
+        return pd.DataFrame({"a": ids[x[new]], "b": ids[y[new]]})
+
+    return members.join(needed, "id").groupBy("centre", "low", "high").applyInPandas(count, "a bigint, b bigint")
+
+
 def near_duplicates(docs: DataFrame, words_each: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_shingles, component_id, kept) for every row of `docs`.
 
@@ -190,27 +233,17 @@ def near_duplicates(docs: DataFrame, words_each: int = 5, key: str = "doc_id", t
     # Copies meet by the set's print; the map side leaves one row of each.
     classes = stored(sketched.filter("n > 0").groupBy("print").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")))
     group = Window.partitionBy("band")
-    stars = _banded(classes).withColumn("centre", F.min("id").over(group)).withColumn("size", F.count("*").over(group)).filter("size > 1")
-    stars = stored(stars.select("band", "id", "n", "centre"))
-    spokes = stars.filter("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
+    banded = stored(_banded(classes).withColumn("size", F.count("*").over(group)).filter("size > 1"))
+    # The centre of a band key is the document that meets the most others; copies with changes meet their origin more often than each other.
+    met = banded.groupBy("id").agg((F.sum("size") - F.count("*")).alias("met"))
+    best = banded.join(met, "id").groupBy("band").agg(F.max(F.struct("met", (-F.col("id")).alias("rank"))).alias("best"))
+    stars = banded.join(best.select("band", (-F.col("best.rank")).alias("centre")), "band")
+    spokes = stored(stars.filter("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct())
     first = _compared(spokes, classes, docs, key, text, words_each)
     found = stored(components(first.filter("linked")))
-
-    known = first.select(F.col("a").alias("centre"), F.col("b").alias("id"), "j", "slack")
-    members = stars.filter("id <> centre").join(known, ["centre", "id"]).join(found.withColumnRenamed("node", "id"), "id", "left")
-    members = members.withColumn("component", F.coalesce("component", "id"))
-    split = members.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("band")
-    members = stored(members.join(split, "band", "left_semi").select("band", "id", "n", "j", "slack", "component"))
-    x, y = members.toDF("band", "a", "n_a", "j_a", "slack_a", "component_a"), members.toDF("band", "b", "n_b", "j_b", "slack_b", "component_b")
-    # Whether two of them can be linked at all, by sizes and by distances to the centre that both were compared with.
-    sizes = 100 * F.least("n_a", "n_b") >= LEAST_SHARED * F.greatest("n_a", "n_b")
-    near = F.abs(F.col("j_a") - F.col("j_b")) <= 1 - LEAST_SHARED / 100 + F.col("slack_a") + F.col("slack_b") + 1e-9
-    open_pairs = x.join(y, "band").filter((F.col("a") < F.col("b")) & (F.col("component_a") != F.col("component_b")) & sizes & near)
-    pairs = stored(open_pairs.select("a", "b").distinct())
-    if not pairs.isEmpty():
-        second = _compared(pairs, classes, docs, key, text, words_each).filter("linked")
-        if not second.isEmpty():
-            found = stored(components(second.select("a", "b").unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b")))))
+    rest = stored(_open_links(first, found, docs, key, text, words_each))
+    if not rest.isEmpty():
+        found = stored(components(rest.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b")))))
 
     labels = classes.select("print", F.col("id").alias("class")).join(found.withColumnRenamed("node", "class"), "class", "left")
     labels = labels.select("print", F.coalesce("component", "class").alias("component"))
