@@ -10,6 +10,7 @@ from weirwalk.llm.mixing import OP9_SQL, op9_source_mix
 from weirwalk.llm.near_dedup import op7_hyperminhash
 from weirwalk.llm.packing import op10_best_fit
 from weirwalk.llm.quality_neighbours import op3_quality_neighbours
+from weirwalk.llm.secret_forest import op4_secret_forest
 from weirwalk.llm.sharding import op5_rendezvous_shards
 from weirwalk.llm.suffix_repeats import op8_sql, op8_suffix_repeats
 from weirwalk.llm.token_files import op1_token_files
@@ -17,6 +18,7 @@ from weirwalk.llm.token_files import op1_token_files
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op3_quality_neighbours": op3_quality_neighbours,
+    "op4_secret_forest": op4_secret_forest,
     "op5_rendezvous_shards": op5_rendezvous_shards,
     "op7_hyperminhash": op7_hyperminhash,
     "op8_suffix_repeats": op8_suffix_repeats,
