@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from weirwalk.llm.mixing import OP9_SQL, op9_source_mix
 from weirwalk.llm.near_dedup import op7_hyperminhash
 from weirwalk.llm.packing import op10_best_fit
+from weirwalk.llm.projection_forest import op6_projection_forest
 from weirwalk.llm.quality_neighbours import op3_quality_neighbours
 from weirwalk.llm.secret_forest import op4_secret_forest
 from weirwalk.llm.sharding import op5_rendezvous_shards
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_neighbours": op3_quality_neighbours,
     "op4_secret_forest": op4_secret_forest,
     "op5_rendezvous_shards": op5_rendezvous_shards,
+    "op6_projection_forest": op6_projection_forest,
     "op7_hyperminhash": op7_hyperminhash,
     "op8_suffix_repeats": op8_suffix_repeats,
     "op9_source_mix": op9_source_mix,
