@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from weirwalk.llm.masked_likelihood import op2_masked_likelihood
 from weirwalk.llm.mixing import OP9_SQL, op9_source_mix
 from weirwalk.llm.near_dedup import op7_hyperminhash
 from weirwalk.llm.packing import op10_best_fit
@@ -18,6 +19,7 @@ from weirwalk.llm.token_files import op1_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
+    "op2_masked_likelihood": op2_masked_likelihood,
     "op3_quality_neighbours": op3_quality_neighbours,
     "op4_secret_forest": op4_secret_forest,
     "op5_rendezvous_shards": op5_rendezvous_shards,
