@@ -141,10 +141,10 @@ def _banded(classes: DataFrame) -> DataFrame:
     return classes.select("id", "n", "sketch").mapInArrow(make, "band bigint, id bigint, n bigint")
 
 
-def _compared(pairs: DataFrame, classes: DataFrame, docs: DataFrame, key: str, text: str, words_each: int) -> DataFrame:
+def _compared(pairs: DataFrame, classes: DataFrame, texts: DataFrame, words_each: int) -> DataFrame:
     """(a, b) → (a, b, j, slack, linked): j is exact and slack 0, or j is an estimate that is off by slack at most and clearly under the limit."""
     one = classes.select("id", "n", "sketch")
-    sketched = pairs.join(one.toDF("a", "n_a", "sketch_a"), "a").join(one.toDF("b", "n_b", "sketch_b"), "b")
+    sketched = pairs.hint("merge").join(one.toDF("a", "n_a", "sketch_a"), "a").join(one.toDF("b", "n_b", "sketch_b").hint("merge"), "b")
 
     def guess(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -159,10 +159,7 @@ def _compared(pairs: DataFrame, classes: DataFrame, docs: DataFrame, key: str, t
 
     guessed = stored(sketched.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b").mapInArrow(guess, "a bigint, b bigint, j double, slack double, maybe boolean"))
     maybe = guessed.filter("maybe").select("a", "b")
-    texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    ends = maybe.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = stored(texts.join(ends, "id", "left_semi"))
-    with_texts = maybe.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
+    with_texts = maybe.hint("merge").join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b").hint("merge"), "b")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = lru_cache(maxsize=64)(lambda value: shingle_hashes(value, words_each))
@@ -181,7 +178,7 @@ def _compared(pairs: DataFrame, classes: DataFrame, docs: DataFrame, key: str, t
     return stored(guessed.filter("NOT maybe").select("a", "b", "j", "slack", F.lit(False).alias("linked")).unionByName(checked))
 
 
-def _open_links(spokes: DataFrame, found: DataFrame, docs: DataFrame, key: str, text: str, words_each: int) -> DataFrame:
+def _open_links(spokes: DataFrame, found: DataFrame, texts: DataFrame, words_each: int) -> DataFrame:
     """Links (a, b) between documents that hang on the same centre but are in different components so far.
 
     Documents of a centre are dealt into blocks of bounded size, and each pair of blocks meets in one group, where common shingles of all
@@ -194,8 +191,6 @@ def _open_links(spokes: DataFrame, found: DataFrame, docs: DataFrame, key: str,
     members = members.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     members = stored(members.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("other", "blocks"))
-    texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    needed = texts.join(members.select("id").distinct(), "id", "left_semi")
 
     def count(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["block", "id"], ignore_index=True)
@@ -218,7 +213,7 @@ def _open_links(spokes: DataFrame, found: DataFrame, docs: DataFrame, key: str,
         new = (component[x] != component[y]) & ((block[x] != block[y]) | (rows["low"].iloc[0] == rows["high"].iloc[0]))
         return pd.DataFrame({"a": ids[x[new]], "b": ids[y[new]]})
 
-    return members.join(needed, "id").groupBy("centre", "low", "high").applyInPandas(count, "a bigint, b bigint")
+    return members.hint("merge").join(texts, "id").groupBy("centre", "low", "high").applyInPandas(count, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, words_each: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -239,9 +234,13 @@ def near_duplicates(docs: DataFrame, words_each: int = 5, key: str = "doc_id", t
     best = banded.join(met, "id").groupBy("band").agg(F.max(F.struct("met", (-F.col("id")).alias("rank"))).alias("best"))
     stars = banded.join(best.select("band", (-F.col("best.rank")).alias("centre")), "band")
     spokes = stored(stars.filter("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct())
-    first = _compared(spokes, classes, docs, key, text, words_each)
+    # The texts of all that share a band key, shuffled once; these ids grow with the data, so they are merged in and not broadcast.
+    ends = spokes.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    texts = stored(texts.join(ends.hint("merge"), "id", "left_semi"))
+    first = _compared(spokes, classes, texts, words_each)
     found = stored(components(first.filter("linked")))
-    rest = stored(_open_links(first, found, docs, key, text, words_each))
+    rest = stored(_open_links(first, found, texts, words_each))
     if not rest.isEmpty():
         found = stored(components(rest.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b")))))
 
