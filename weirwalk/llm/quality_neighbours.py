@@ -22,9 +22,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import BinaryType, DoubleType, StructField, StructType
 
-from weirwalk.llm.common import table
+from weirwalk.llm.common import stored, table
 
 FEATURES, DIMENSIONS, NEIGHBOURS = 4096, 48, 25
 #: The most labelled rows that the classifier is fitted on.
@@ -63,19 +63,41 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return at, np.array([counts[i] for i in at.tolist()], np.float64)
 
 
-def document_frequencies(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """How many of all documents have each feature; the last number is that of documents. Tasks send one row per feature at most."""
+def featured(docs: DataFrame, text: str = "text") -> DataFrame:
+    """`docs` with features and counts (packed 16-bit numbers) in place of the text, written once: every later step reads these and no text.
+
+    Columns named features or counts are replaced. Counts over 65,535 count as that.
+    """
+    clean = docs.drop("features", "counts")
+    others = [c for c in clean.columns if c != text]
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [features(value.as_py()) for value in batch.column(len(others))]
+            at = pa.array([x.astype("<u2").tobytes() for x, _ in found], pa.binary())
+            counts = pa.array([np.minimum(n, 65535).astype("<u2").tobytes() for _, n in found], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], at, counts], names=[*others, "features", "counts"])
+
+    schema = StructType([clean.schema[c] for c in others] + [StructField("features", BinaryType()), StructField("counts", BinaryType())])
+    return stored(clean.select(*others, text).mapInArrow(make, schema))
+
+
+def _unpacked(at: pa.Scalar, counts: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(at.as_py(), "<u2"), np.frombuffer(counts.as_py(), "<u2").astype(np.float64)
+
+
+def document_frequencies(rows: DataFrame) -> np.ndarray:
+    """How many of all featured rows have each feature; the last number is that of rows. Tasks send one row per feature at most."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = np.zeros(FEATURES + 1, np.int64)
         for batch in batches:
-            for value in batch.column(0):
-                found[features(value.as_py())[0]] += 1
+            found[:FEATURES] += np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u2"), minlength=FEATURES)
             found[FEATURES] += len(batch)
         at = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(found[at])], names=["feature", "n"])
 
-    counted = docs.select(text).mapInArrow(count, "feature bigint, n bigint").groupBy("feature").agg(F.sum("n").alias("n"))
+    counted = rows.select("features").mapInArrow(count, "feature bigint, n bigint").groupBy("feature").agg(F.sum("n").alias("n"))
     out = np.zeros(FEATURES + 1, np.int64)
     for row in counted.collect():
         out[row["feature"]] = row["n"]
@@ -88,19 +110,18 @@ class Neighbours(NamedTuple):
     vectors: np.ndarray
     labels: np.ndarray
 
-    def project(self, texts: list[str | None]) -> np.ndarray:
-        """Latent vectors of unit length; zero for a text that shares no direction with the sample."""
-        out = np.zeros((len(texts), self.axes.shape[1]), np.float32)
-        for i, text in enumerate(texts):
-            at, counts = features(text)
+    def project(self, rows: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Latent vectors of unit length of rows of features; zero for one that shares no direction with the sample."""
+        out = np.zeros((len(rows), self.axes.shape[1]), np.float32)
+        for i, (at, counts) in enumerate(rows):
             out[i] = (np.log1p(counts) * self.rarity[at]).astype(np.float32) @ self.axes[at]
         return _unit(out)
 
-    def scores(self, texts: list[str | None], neighbours: int = NEIGHBOURS) -> np.ndarray:
+    def scores(self, rows: list[tuple[np.ndarray, np.ndarray]], neighbours: int = NEIGHBOURS) -> np.ndarray:
         """The labels' mean over the nearest, weighted by cosine; the sample's mean if there is nothing to weigh."""
         if not len(self.labels):
-            return np.full(len(texts), 0.5)
-        cosines = self.project(texts) @ self.vectors.T
+            return np.full(len(rows), 0.5)
+        cosines = self.project(rows) @ self.vectors.T
         k = min(neighbours, len(self.labels))
         nearest = np.argpartition(cosines, len(self.labels) - k, axis=1)[:, -k:]
         weights = np.maximum(np.take_along_axis(cosines, nearest, axis=1), 0).astype(np.float64) ** 4
@@ -114,30 +135,22 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return np.divide(rows, norms, out=np.zeros_like(rows), where=norms > 0)
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, dimensions: int = DIMENSIONS, key: str = "doc_id", text: str = "text") -> Neighbours:
-    """`labels` has `key` and label (0 or 1) of the rows to learn from; rows with nulls are left out, and an id counts once."""
-    known = document_frequencies(docs, text)
+def fit(rows: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, dimensions: int = DIMENSIONS, key: str = "doc_id") -> Neighbours:
+    """`rows` are featured documents; `labels` has `key` and label (0 or 1) of those to learn from; labels with nulls are left out, an id counts once."""
+    known = document_frequencies(rows)
     rarity = np.log((1.0 + known[FEATURES]) / (1.0 + known[:FEATURES]))
     usable = labels.select(key, F.col("label").cast("double").alias("label")).dropna().groupBy(key).agg(F.max("label").alias("label"))
     chosen = usable.orderBy(F.xxhash64(key), key).limit(sample_rows)
     # At most sample_rows rows of 16 bytes.
-    rows = docs.select(key, text).join(F.broadcast(chosen), key).dropDuplicates([key])
-
-    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [features(value.as_py()) for value in batch.column(1)]
-            at = pa.array([x.astype(np.int32) for x, _ in found], pa.list_(pa.int32()))
-            weights = pa.array([(np.log1p(n) * rarity[x]).astype(np.float32) for x, n in found], pa.list_(pa.float32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), at, weights], names=[key, "label", "at", "weights"])
-
-    schema = f"`{key}` {docs.schema[key].dataType.simpleString()}, label double, at array<int>, weights array<float>"
-    sample = rows.select(key, text, "label").mapInArrow(vectors, schema).toPandas().sort_values(key)
+    labelled = rows.select(key, "features", "counts").join(F.broadcast(chosen), key).dropDuplicates([key])
+    sample = labelled.toArrow().sort_by(key)
     matrix = np.zeros((len(sample), FEATURES), np.float32)
-    for i, (at, weights) in enumerate(zip(sample["at"], sample["weights"], strict=True)):
-        matrix[i, at] = weights
+    for i, (at, counts) in enumerate(zip(sample["features"], sample["counts"], strict=True)):
+        at, counts = _unpacked(at, counts)
+        matrix[i, at] = np.log1p(counts) * rarity[at]
     matrix = _unit(matrix)
     axes = _right_axes(matrix, dimensions)
-    return Neighbours(rarity, axes, _unit(matrix @ axes), sample["label"].to_numpy(np.float64))
+    return Neighbours(rarity, axes, _unit(matrix @ axes), sample["label"].to_numpy().astype(np.float64))
 
 
 def _right_axes(matrix: np.ndarray, dimensions: int) -> np.ndarray:
@@ -151,29 +164,30 @@ def _right_axes(matrix: np.ndarray, dimensions: int) -> np.ndarray:
     return (axes @ turned.T)[:, :dimensions].astype(np.float32)
 
 
-def score_documents(docs: DataFrame, model: Neighbours, text: str = "text") -> DataFrame:
-    """All columns of `docs` with score, the probability of label 1 by the neighbours' vote.
+def score_documents(rows: DataFrame, model: Neighbours) -> DataFrame:
+    """Featured documents with score, the probability of label 1 by the neighbours' vote, in place of their features.
 
     Whole texts, whatever their length. A null or empty text has its length class alone. Repeated rows get the same score; an empty table gives an
-    empty result. Without labelled rows every score is 0.5. A column named score in `docs` is replaced.
+    empty result. Without labelled rows every score is 0.5. A column named score is replaced.
     """
-    clean = docs.drop("score")
-    place = clean.columns.index(text)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    others = [c for c in rows.columns if c not in ("features", "counts", "score")]
+    shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first in range(0, len(batch), _BLOCK):
                 part = batch.slice(first, _BLOCK)
-                scores = shared.value.scores(part.column(place).to_pylist())
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores)], names=[*part.schema.names, "score"])
+                scores = shared.value.scores(list(map(_unpacked, part.column(len(others)), part.column(len(others) + 1))))
+                yield pa.RecordBatch.from_arrays([*part.columns[:-2], pa.array(scores)], names=[*others, "score"])
 
-    return clean.mapInArrow(score, StructType([*clean.schema.fields, StructField("score", DoubleType())]))
+    schema = StructType([*(rows.schema[c] for c in others), StructField("score", DoubleType())])
+    return rows.select(*others, "features", "counts").mapInArrow(score, schema)
 
 
 def op3_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    labels = table(spark, sf_dir, "labels")
+    rows = featured(table(spark, sf_dir, "documents").select("doc_id", "text"))
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
-    model = fit(docs, labels.filter(~held_out).select("doc_id", F.col("quality").alias("label")))
-    scored = score_documents(docs, model)
+    model = fit(rows, labels.filter(~held_out).select("doc_id", F.col("quality").alias("label")))
+    scored = score_documents(rows, model)
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= ACCEPTED_FROM).cast("int").alias("predicted"))
