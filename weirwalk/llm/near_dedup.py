@@ -255,5 +255,17 @@ def near_duplicates(docs: DataFrame, words_each: int = 5, key: str = "doc_id", t
     return labelled.unionByName(docs.filter(F.col(key).isNull()).select(key).withColumns(unknown))
 
 
+def without_near_duplicates(docs: DataFrame, words_each: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """`docs` with one document of each component, the one with the smallest key; of rows with the same key one stays. Rows with null keys stay."""
+    marked = near_duplicates(docs, words_each, key, text)
+    dropped = marked.filter("NOT kept").select(key).distinct()
+    kept = docs.join(dropped.hint("merge"), key, "left_anti").select(docs.columns)
+    repeated = docs.filter(F.col(key).isNotNull()).groupBy(key).count().filter("count > 1").select(key)
+    if repeated.isEmpty():
+        return kept
+    once = kept.join(repeated, key, "left_semi").dropDuplicates([key])
+    return kept.join(repeated, key, "left_anti").select(docs.columns).unionByName(once.select(docs.columns))
+
+
 def op7_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), words_each=2)

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from weirwalk.llm.masked_likelihood import op2_masked_likelihood
 from weirwalk.llm.mixing import OP9_SQL, op9_source_mix
 from weirwalk.llm.near_dedup import op7_hyperminhash
@@ -27,6 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_hyperminhash": op7_hyperminhash,
     "op8_suffix_repeats": op8_suffix_repeats,
     "op9_source_mix": op9_source_mix,
+    "pipeline": corpus_pipeline.run,
     "op10_best_fit": op10_best_fit,
 }
 
