@@ -128,15 +128,13 @@ def write_token_files(docs: DataFrame, root: str, tokenizer: str, end_id: int, k
     at = F.percentile_approx(key, [i / n_shards for i in range(1, n_shards)] or [0.5], 10 * n_shards + 1000)
     cuts = np.unique(np.asarray(keys.agg(at).first()[0] or [], np.int64)) if n_shards > 1 else np.empty(0, np.int64)
     width = 2 if wordwise(tokenizer).n_ids <= 1 << 16 else 4
-    encoded = encode_documents(docs, tokenizer, end_id, key, text)
     key_type = docs.schema[key].dataType.simpleString()
 
-    def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            known = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
-            shard = np.where(batch.column(0).is_null().to_numpy(zero_copy_only=False), 0, np.searchsorted(cuts, known, "left"))
-            ids = [np.frombuffer(x, "<u4").astype(f"<u{width}").tobytes() for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array(shard, pa.int32())], names=[key, "ids", "shard"])
+    def narrow(batch: pa.RecordBatch) -> pa.RecordBatch:
+        known = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
+        shard = np.where(batch.column(0).is_null().to_numpy(zero_copy_only=False), 0, np.searchsorted(cuts, known, "left"))
+        ids = [np.frombuffer(x, "<u4").astype(f"<u{width}").tobytes() for x in batch.column(1).to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array(shard, pa.int32())], names=[key, "ids", "shard"])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with ExitStack() as files:
@@ -154,7 +152,8 @@ def write_token_files(docs: DataFrame, root: str, tokenizer: str, end_id: int, k
                 columns = [batch.column(0), batch.column(2), pa.array(starts, pa.int64()), pa.array(lengths, pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, names=[key, "shard", "at", "n_tokens"])
 
-    dealt = encoded.mapInArrow(narrow, f"`{key}` {key_type}, ids binary, shard int").repartitionById(n_shards, F.col("shard"))
+    encoded = encode_documents(docs, tokenizer, end_id, key, text, narrow, f"`{key}` {key_type}, ids binary, shard int")
+    dealt = encoded.repartitionById(n_shards, F.col("shard"))
     ordered = dealt.sortWithinPartitions(F.col("shard"), F.col(key).asc_nulls_first(), F.xxhash64("ids"))
     written = stored(ordered.mapInArrow(write, f"`{key}` {key_type}, shard int, at bigint, n_tokens bigint"))
 

@@ -85,19 +85,30 @@ def wordwise(path: str) -> WordwiseTokenizer:
     return WordwiseTokenizer(path)
 
 
-def encode_documents(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+def encode_documents(
+    docs: DataFrame,
+    tokenizer: str,
+    end_id: int,
+    key: str = "doc_id",
+    text: str = "text",
+    then: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None,
+    schema: str | None = None,
+) -> DataFrame:
     """(key, ids): the ids of each whole text and `end_id`, as little-endian unsigned 32-bit integers.
 
+    `then` turns each batch of these columns into one of `schema` in the same Python worker, which a second step would double.
+
     `tokenizer` is the path of a tokenizers file that every executor has. Null and empty texts give the end id alone; each row gives one
     row, repeated or not.
     """
-    schema = docs.select(key).schema.add("ids", "binary", False)
+    schema = schema or docs.select(key).schema.add("ids", "binary", False)
     end = struct.pack("<I", end_id)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         to_ids = wordwise(tokenizer).encode
         for batch in batches:
             ids = [to_ids(value) + end if value else end for value in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=[key, "ids"])
+            encoded = pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=[key, "ids"])
+            yield then(encoded) if then else encoded
 
     return docs.select(key, text).mapInArrow(encode, schema)
