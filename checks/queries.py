@@ -211,11 +211,10 @@ def filter_state_flags(t: Tables) -> DataFrame:
 
 @_on_tables("project_release_facts")
 def project_release_facts(t: Tables) -> DataFrame:
-    return _main(t.tagging).select(
-        "tag_code",
-        F.col("run_name").alias("run_type"),
-        "release_date",
-        F.lit("Chinook").alias("spp"),
+    # The species is that of the population whose table the row is for.
+    rows = _states(t, "LGR").select("basin", "run", "tag_code", F.col("species").alias("spp"))
+    return rows.join(_main(t.tagging), "tag_code").select(
+        "basin", "run", "tag_code", F.col("run_name").alias("run_type"), "release_date", "spp"
     )
 
 
@@ -371,7 +370,7 @@ def _shown(rows: DataFrame, *columns: str) -> DataFrame:
 @_on_tables("append_missing_tags")
 def append_missing_tags(t: Tables) -> DataFrame:
     missed = _states(t, "LGR").filter(p.flags_are(at_dam=0, below=1))
-    rows = state.append_missing(_lgs(t).drop("species_group", "species"), missed)
+    rows = state.append_missing(_lgs(t).drop("species_group", "species"), missed, "LGS")
     return _shown(rows, "dam", "spp", "upstream", "at_dam", "below")
 
 

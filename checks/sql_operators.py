@@ -90,8 +90,9 @@ _BODIES = {
     "FROM states WHERE dam <> 'LGR'",
     "new_row_detector": f"SELECT {ROW}, dam FROM states WHERE {_NEW}",
     "filter_state_flags": f"SELECT {ROW}, dam, at_dam, below FROM states WHERE below = 1",
-    "project_release_facts": "SELECT tag_code, run_name AS run_type, release_date, "
-    "'Chinook' AS spp FROM tagging WHERE source = 'main'",
+    "project_release_facts": "SELECT s.basin, s.run, s.tag_code, t.run_name AS run_type, "
+    "t.release_date, s.species AS spp FROM states s JOIN tagging t ON s.tag_code = t.tag_code "
+    "WHERE s.dam = 'LGR' AND t.source = 'main'",
     "membership_precedence": _any_not_in(["LGR", "LGS"], "LMN", below("below_lmn_101")),
     "semi_join_state": "SELECT tag_code, site_name, obs_time FROM detections "
     f"WHERE source = 'main' AND {TAG} IN ({_state('LGR', 'below = 1')})",
@@ -133,7 +134,7 @@ _BODIES = {
     "chained_insert": f"SELECT DISTINCT {TAGS} FROM ({_LGR_BELOW} AND source <> 'lmn_release') "
     f"WHERE {TAG} NOT IN ({_state('LGS')})",
     "append_missing_tags": f"SELECT {ROW}, dam, spp, upstream, at_dam, below FROM states "
-    f"WHERE dam = 'LGS' UNION ALL SELECT {ROW}, NULL, NULL, NULL, NULL, NULL FROM states "
+    f"WHERE dam = 'LGS' UNION ALL SELECT {ROW}, 'LGS', NULL, NULL, NULL, NULL FROM states "
     f"WHERE dam = 'LGR' AND at_dam = 0 AND below = 1 AND ({ROW}) NOT IN "
     f"(SELECT {ROW} FROM states WHERE dam = 'LGS')",
     "set_upstream_flag": f"SELECT {ROW}, 1 AS upstream, at_dam FROM states WHERE dam = 'LGS'",

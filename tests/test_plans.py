@@ -28,7 +28,11 @@ def stored(spark, small_dir, tmp_path_factory):
 
 @pytest.fixture()
 def no_broadcast(spark):
-    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    keys = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.maxMetadataStringLength": "100000",
+    }
     for key, value in keys.items():
         spark.conf.set(key, value)
     yield

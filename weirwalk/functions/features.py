@@ -109,15 +109,17 @@ def _number_of(column: str, names: Iterable[str]) -> Column:
 def tag_features(detections: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """One row per (tag_code, species_group): the OR of the marks and the last times.
 
-    Detections that tell nothing are dropped before the shuffle. ``keys`` adds
-    tags that must have a row even when they were never detected.
+    Detections that tell nothing are dropped before the shuffle; an unknown source
+    fails the job. ``keys`` adds tags that must have a row even when they were never
+    detected.
     """
     ord_, source_number = F.col("ord"), F.col("source_number")
     dam_numbers = ", ".join(str(fv.DAMS.index(dam) if dam else 0) for *_, dam in fv.SITES)
     dam_number = F.expr(f"coalesce(element_at(array({dam_numbers}), ord), 0)")
     last = [last_column(source, dam) for source, dam in LAST_OBS]
     rows = (
-        detections.withColumns(
+        detections.withColumn("source", known_source())
+        .withColumns(
             {
                 "ord": _number_of("site_name", [name for _, _, name, _ in fv.SITES]),
                 "source_number": _number_of("source", fv.SOURCES),
@@ -148,20 +150,11 @@ def tag_features(detections: DataFrame, keys: DataFrame | None = None) -> DataFr
     return by_tag.withColumn("marks", F.coalesce("marks", F.lit(0).cast("long")))
 
 
-def season_marks(seasons: Iterable[str]) -> Column:
-    """For each season one bit per last observation time: does it fall in the season.
-
-    The bits of a season are in the order of LAST_OBS; the seasons follow each
-    other from the lowest bit.
-    """
-    terms = []
-    for n, season in enumerate(seasons):
-        first, last = season_bounds(season)
-        for i, (source, dam) in enumerate(LAST_OBS):
-            when = last_column(source, dam)
-            within = f"month({when}) * 100 + day({when}) BETWEEN {first} AND {last}"
-            terms.append(f"if({within}, {1 << (n * len(LAST_OBS) + i)}L, 0L)")
-    return F.expr(" | ".join(terms))
+def known_source() -> Column:
+    """The source column, failing the job on one that is not known."""
+    named = F.when(F.col("source").isin(list(fv.SOURCES)), F.col("source"))
+    said = F.concat(F.lit("unknown source: "), F.coalesce("source", F.lit("NULL")))
+    return F.coalesce(named, F.raise_error(said))
 
 
 def seen_at_releases() -> Column:

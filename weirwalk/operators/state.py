@@ -16,9 +16,16 @@ from weirwalk.operators.joins import anti_join
 KEY = ("basin", "run", "tag_code")
 
 
-def append_missing(state: DataFrame, keys: DataFrame, on: tuple[str, ...] = KEY) -> DataFrame:
-    """Add a row for each key the table does not hold; all other columns are NULL."""
-    new = anti_join(keys.select(*on).distinct(), state, on)
+def append_missing(
+    state: DataFrame, keys: DataFrame, dam: str, on: tuple[str, ...] = KEY
+) -> DataFrame:
+    """Add a row for each key the checkpoint's table does not hold.
+
+    New rows carry the checkpoint; all their other columns are NULL. Rows of other
+    checkpoints stay as they are and count for nothing.
+    """
+    held = state.filter(F.col("dam") == dam)
+    new = anti_join(keys.select(*on).distinct(), held, on).withColumn("dam", F.lit(dam))
     return state.unionByName(new, allowMissingColumns=True)
 
 

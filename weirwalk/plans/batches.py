@@ -92,7 +92,12 @@ class Append:
     dates: tuple[Dated, ...]
 
     def apply(self, wide: DataFrame, last: bool) -> DataFrame:
-        return _enter(wide, self, any_of([d.qualifies(in_season=True) for d in self.dates]))
+        tests = [d.qualifies(in_season=True) for d in self.dates]
+        if self.dam == "LMN":
+            # Splits the generated code, see History101: the batches before have a method of their own.
+            found = F.exists(F.array(*tests), lambda test: test)
+            return _enter(wide, self, F.coalesce(found, F.lit(False)))
+        return _enter(wide, self, any_of(tests))
 
 
 @dataclass(frozen=True)

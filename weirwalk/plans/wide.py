@@ -21,17 +21,14 @@ from weirwalk.functions.features import (
     LAST_OBS,
     MARKS,
     bits,
+    known_source,
     last_column,
-    season_marks,
     seen_at_releases,
     tag_features,
 )
+from weirwalk.functions.predicates import season_bounds
 from weirwalk.operators.aggregates import TAG
 
-# The populations are configuration. Up to here a table of them is broadcast, and
-# a tag's entries in all of them are columns of one row.
-MAX_POPULATIONS = 100
-
 # Stands for NULL in a flag while the batches run, so that tests of flags are
 # two-valued. Passage tables never hold it.
 UNSET = -1
@@ -40,8 +37,6 @@ FLAGS = ("upstream", "at_dam", "below")
 
 def population_table(spark: SparkSession, populations: tuple[Population, ...]) -> DataFrame:
     """The population parameters as a small table, one row per population."""
-    if len(populations) > MAX_POPULATIONS:
-        raise ValueError(f"{len(populations)} populations, at most {MAX_POPULATIONS} allowed")
     if len({(p.basin, p.run) for p in populations}) < len(populations):
         raise ValueError("a (basin, run) occurs twice")
     rows = [
@@ -52,11 +47,11 @@ def population_table(spark: SparkSession, populations: tuple[Population, ...]) -
             "species": p.spp,
             "species_group": p.species_group,
             "season": p.season,
-            "season_number": seasons(populations).index(p.season),
+            "season_first": season_bounds(p.season)[0],
+            "season_last": season_bounds(p.season)[1],
             "age": p.age,
-            "age_number": 0 if p.age is None else ages(populations).index(p.age),
-            "any_age": p.age is None,
             "has_releases": bool(p.release_sources),
+            **{f"sees_{s}": s == fv.MAIN or s in p.release_sources for s in fv.SOURCES},
         }
         for i, p in enumerate(populations)
     ]
@@ -68,11 +63,11 @@ def population_table(spark: SparkSession, populations: tuple[Population, ...]) -
         pa.field("species", text, False),
         pa.field("species_group", text, False),
         pa.field("season", text, False),
-        pa.field("season_number", number, False),
+        pa.field("season_first", number, False),
+        pa.field("season_last", number, False),
         pa.field("age", text),
-        pa.field("age_number", number, False),
-        pa.field("any_age", flag, False),
         pa.field("has_releases", flag, False),
+        *[pa.field(f"sees_{s}", flag, False) for s in fv.SOURCES],
     ]
     return spark.createDataFrame(pa.Table.from_pylist(rows, pa.schema(fields)))
 
@@ -81,26 +76,29 @@ def _groups(populations: tuple[Population, ...]) -> list[str]:
     return sorted({p.species_group for p in populations})
 
 
-def ages(populations: tuple[Population, ...]) -> list[str]:
-    """The age classes some population filters on."""
-    return sorted({p.age for p in populations if p.age is not None})
-
-
-def seasons(populations: tuple[Population, ...]) -> list[str]:
-    """The seasons some population uses."""
-    return sorted({p.season for p in populations})
+def _of(populations: tuple[Population, ...], rows: DataFrame) -> DataFrame:
+    """Passage rows of the populations: a static filter, so that stored partitions are pruned."""
+    wanted = F.lit(False)
+    for p in populations:
+        wanted = wanted | ((F.col("basin") == p.basin) & (F.col("run") == p.run))
+    return rows.filter(wanted)
 
 
 def passage_by_tag(
     passage: DataFrame, known: DataFrame, populations: tuple[Population, ...]
 ) -> DataFrame:
-    """Passage rows as one row per tag: per population an entry with its checkpoints.
+    """Passage rows as one row per tag, with a map from population to its checkpoints.
 
-    Fails on a key that occurs twice at a checkpoint. Both groupings and the join
-    to come run on one shuffle and one sort.
+    Fails on a key that occurs twice at a checkpoint and on an unknown checkpoint.
+    Both groupings and the join to come run on one shuffle and one sort.
     """
     known = F.broadcast(known.select("population", "basin", "run", "species_group"))
-    rows = passage.join(known, ["basin", "run"]).repartition(*TAG)
+    unknown = F.raise_error(
+        F.concat(F.lit("unknown checkpoint: "), F.coalesce("dam", F.lit("NULL")))
+    )
+    dam = F.when(F.coalesce(F.col("dam").isin(list(fv.DAMS)), F.lit(False)), F.col("dam"))
+    rows = _of(populations, passage).withColumn("dam", F.coalesce(dam, unknown))
+    rows = rows.join(known, ["basin", "run"]).repartition(*TAG)
     pivot = []
     for dam in fv.DAMS:
         values = F.when(F.col("dam") == dam, F.struct(*schema.PASSAGE_VALUES))
@@ -109,16 +107,13 @@ def passage_by_tag(
     by_population = rows.groupBy(*TAG, "population").agg(*pivot)
     most = F.greatest(*[F.col(f"n_{dam}") for dam in fv.DAMS])
     twice = F.raise_error(F.concat(F.lit("tag repeats in a passage table: "), F.col("tag_code")))
-    entry = F.struct("population", *[_state(dam) for dam in fv.DAMS])
+    entry = F.struct(*[_state(dam) for dam in fv.DAMS])
     entry = F.when(most > 1, twice).otherwise(entry)
-    entries = [
-        F.first(F.when(F.col("population") == i, F.col("entry")), ignorenulls=True)
-        for i in range(len(populations))
-    ]
+    # One entry for each population: as many as the configuration has, whatever the data.
     return (
-        by_population.select(*TAG, "population", entry.alias("entry"))
+        by_population.select(*TAG, F.struct("population", entry.alias("entry")).alias("held"))
         .groupBy(*TAG)
-        .agg(*[e.alias(f"entry_{i}") for i, e in enumerate(entries)])
+        .agg(F.map_from_entries(F.collect_list("held")).alias("entries"))
     )
 
 
@@ -134,89 +129,93 @@ def _state(dam: str) -> Column:
 def tagging_by_tag(tagging: DataFrame, populations: tuple[Population, ...]) -> DataFrame:
     """Tagging rows as one row per tag: the facts and the ages per source.
 
-    ``facts_<source>`` comes from the first source in the fixed order, up to and
-    with that one, that lists the tag; a source that lists it twice gives the
-    lowest (release_date, run_name). ``age_marks`` holds one bit per (age class,
-    source).
+    ``tagged_<source>`` holds the facts of a source; one that lists the tag twice
+    gives the lowest (release_date, run_name). ``ages_<source>`` is the set of ages.
     """
     groups = F.array(*[F.lit(g) for g in _groups(populations)])
     group = F.when(F.col("species_group").isNull(), groups).otherwise(F.array("species_group"))
-    marks = F.lit(0).cast("long")
-    for a, age in enumerate(ages(populations)):
-        for s, source in enumerate(fv.SOURCES):
-            tagged = (F.col("source") == source) & (F.col("age") == age)
-            bit = F.lit(1 << (a * len(fv.SOURCES) + s)).cast("long")
-            marks = marks.bitwiseOR(F.when(tagged, bit).otherwise(0))
     facts = F.struct("release_date", "run_name")
-    by_tag = (
-        tagging.withColumn("species_group", F.explode(group))
+    here = {source: F.col("source") == source for source in fv.SOURCES}
+    return (
+        tagging.withColumn("source", known_source())
+        .withColumn("species_group", F.explode(group))
         .groupBy(*TAG)
         .agg(
-            F.bit_or(marks).alias("age_marks"),
-            *[
-                F.min(F.when(F.col("source") == source, facts)).alias(source)
-                for source in fv.SOURCES
-            ],
+            *[F.min(F.when(here[s], facts)).alias(f"tagged_{s}") for s in fv.SOURCES],
+            *[F.collect_set(F.when(here[s], F.col("age"))).alias(f"ages_{s}") for s in fv.SOURCES],
         )
     )
-    upto = {
-        f"facts_{source}": F.coalesce(*fv.SOURCES[: i + 1]) for i, source in enumerate(fv.SOURCES)
-    }
-    return by_tag.withColumns(upto).drop(*fv.SOURCES)
 
 
-def _entries(passage: DataFrame, populations: tuple[Population, ...]) -> Column:
-    """The entries of a tag: those of the passage tables, and the populations with
-    releases that a tag of a release source may enter without being in any table.
+def _population_ids(populations: tuple[Population, ...]) -> Column:
+    """The populations in whose tables the tag is, and those with releases that a
+    tag of a release source may enter without being in any table.
     """
-    values = []
-    for field in passage.select(*schema.PASSAGE_VALUES).schema:
-        null = F.lit(UNSET) if field.name in FLAGS else F.lit(None).cast(field.dataType)
-        values.append(null.alias(field.name))
-    absent = F.struct(F.lit(False).alias("present"), *values)
-    absent = [absent.alias(dam) for dam in fv.DAMS]
-    entries = []
-    for i, p in enumerate(populations):
-        entry = F.col(f"entry_{i}")
-        if p.release_sources:
-            enters = (F.col("species_group") == p.species_group) & seen_at_releases()
-            new = F.struct(F.lit(i).alias("population"), *absent)
-            entry = F.coalesce(entry, F.when(enters, new))
-        entries.append(entry)
-    return F.array_compact(F.array(*entries))
+    held = F.map_keys(F.coalesce("entries", F.expr("map_from_arrays(array(), array())")))
+    enters = {
+        group: [
+            i for i, p in enumerate(populations) if p.release_sources and p.species_group == group
+        ]
+        for group in _groups(populations)
+    }
+    ids = F.array().cast("array<int>")
+    for group, numbers in enters.items():
+        if numbers:
+            new = F.array(*[F.lit(i) for i in numbers])
+            ids = F.when((F.col("species_group") == group) & seen_at_releases(), new).otherwise(ids)
+    return F.array_union(held.cast("array<int>"), ids)
+
+
+def _held(dam: str) -> list[str]:
+    """A checkpoint's columns from the entry, which is NULL for a tag in none of the tables."""
+    columns = [f"coalesce(entry.{dam}.present, false) AS in_{dam}"]
+    columns.append(f"CAST(NULL AS string) AS added_{dam}")
+    for name in schema.PASSAGE_VALUES:
+        value = f"entry.{dam}.{name}"
+        value = f"coalesce({value}, {UNSET})" if name in FLAGS else value
+        columns.append(f"{value} AS {dam}_{name}")
+    return columns
 
 
 def _population_marks() -> Column:
     """The marks as the row's population sees them.
 
-    Drops the release sources for a population without releases and adds the
-    age and season facts. No age class means every tag is of the right age.
+    Drops the sources that the population does not read and adds the age and
+    season facts. No age class means every tag is of the right age.
     """
-
-    def field(marks: Column, number: str, width: int) -> Column:
-        """The bits of one age class or season."""
-        found = F.call_function("shiftright", marks, F.col(number) * width)
-        return found.bitwiseAND(F.lit((1 << width) - 1).cast("long"))
-
-    def place(fact: tuple[str, str]) -> Column:
-        return F.lit(bits([fact])).cast("long")
-
-    sources, dates = len(fv.SOURCES), len(LAST_OBS)
-    age_marks = F.coalesce("age_marks", F.lit(0).cast("long"))
-    every_age = F.lit((1 << sources) - 1).cast("long")
-    aged = F.when(F.col("any_age"), every_age).otherwise(field(age_marks, "age_number", sources))
-    in_season = field(F.col("season_marks"), "season_number", dates)
-    marks = (
-        F.col("marks")
-        .bitwiseOR(aged * place((fv.MAIN, "aged")))
-        .bitwiseOR(in_season * place((LAST_OBS[0][0], f"season_{LAST_OBS[0][1].lower()}")))
-    )
-    main_only = F.lit(bits(m for m in MARKS if m[0] == fv.MAIN)).cast("long")
-    everything = F.lit(bits(MARKS)).cast("long")
-    visible = F.when(F.col("has_releases"), everything).otherwise(main_only)
+    found = [F.col("marks")]
+    for source in fv.SOURCES:
+        of_age = F.col("age").isNull() | F.coalesce(
+            F.array_contains(f"ages_{source}", F.col("age")), F.lit(False)
+        )
+        found.append(F.when(of_age, _bit((source, "aged"))).otherwise(_bit()))
+    for source, dam in LAST_OBS:
+        day = f"day_{last_column(source, dam)}"
+        in_season = F.expr(f"{day} BETWEEN season_first AND season_last")
+        fact = (source, f"season_{dam.lower()}")
+        found.append(F.when(in_season, _bit(fact)).otherwise(_bit()))
+    # A fold is not generated code: it keeps the join before and the batches behind in
+    # methods of their own, each small enough to be compiled.
+    marks = F.aggregate(F.array(*found), _bit(), lambda done, one: done.bitwiseOR(one))
+    visible = _bit(*[m for m in MARKS if m[0] == fv.MAIN])
+    for source in fv.RELEASE_SOURCES:
+        of_source = _bit(*[m for m in MARKS if m[0] == source])
+        visible = visible.bitwiseOR(F.when(F.col(f"sees_{source}"), of_source).otherwise(_bit()))
     return marks.bitwiseAND(visible)
 
 
+def _bit(*facts: tuple[str, str]) -> Column:
+    return F.lit(bits(facts)).cast("long")
+
+
+def _facts() -> list[Column]:
+    """``facts_<source>``: from the first source that the population reads and that
+    lists the tag, in the fixed order, up to and with that one.
+    """
+    seen = [F.when(F.col(f"sees_{s}"), F.col(f"tagged_{s}")) for s in fv.SOURCES]
+    return [F.coalesce(*seen[: i + 1]).alias(f"facts_{s}") for i, s in enumerate(fv.SOURCES)]
+
+
 def wide_rows(
     detections: DataFrame,
     tagging: DataFrame,
@@ -230,27 +229,30 @@ def wide_rows(
         detections = detections.filter(F.col("source") == fv.MAIN)
         tagging = tagging.filter(F.col("source") == fv.MAIN)
     known = F.broadcast(population_table(passage.sparkSession, populations))
-    # A tag that was never detected matters only where a checkpoint's table holds it.
-    keys = passage.filter(F.col("dam").isin(list(fv.FILLED_DAMS)))
-    keys = keys.join(known.select("basin", "run", "species_group"), ["basin", "run"])
     states = passage_by_tag(passage, known, populations)
-    features = tag_features(detections, keys)
-    features = features.withColumn("season_marks", season_marks(seasons(populations)))
+    # A tag that was never detected has a row too, where a table of the populations holds it.
+    keys = _of(populations, passage)
+    keys = keys.join(known.select("basin", "run", "species_group"), ["basin", "run"])
+    last = [last_column(source, dam) for source, dam in LAST_OBS]
+    # Month and day as one number, once per tag and not once per population.
+    days = {f"day_{c}": F.month(c) * 100 + F.day(c) for c in last}
     rows = (
-        features.join(states, list(TAG), "left")
+        tag_features(detections, keys)
+        .withColumns(days)
+        .join(states, list(TAG), "left")
         .join(tagging_by_tag(tagging, populations), list(TAG), "left")
-        .withColumn("entry", F.explode(_entries(passage, populations)))
-        .select("*", "entry.*")
-        .join(known.drop("species_group", "season", "age"), "population")
+        .withColumn("population", F.explode(_population_ids(populations)))
+        .join(known.drop("species_group", "season"), "population")
+        .withColumn("entry", F.expr("try_element_at(entries, population)"))
     )
     columns = ["tag_code", "basin", "run", "species", "has_releases"]
-    columns += [last_column(source, dam) for source, dam in LAST_OBS]
-    columns += [f"facts_{source}" for source in fv.SOURCES]
+    for source, dam in LAST_OBS:
+        last = last_column(source, dam)
+        columns.append(f"CASE WHEN sees_{source} THEN {last} END AS {last}")
     for dam in fv.DAMS:
-        columns += [f"{dam}.present AS in_{dam}", f"CAST(NULL AS string) AS added_{dam}"]
-        columns += [f"{dam}.{value} AS {dam}_{value}" for value in schema.PASSAGE_VALUES]
+        columns += _held(dam)
     marks = _population_marks().alias("marks")
-    return rows.select(marks, *[F.expr(column) for column in columns])
+    return rows.select(marks, *_facts(), *[F.expr(column) for column in columns])
 
 
 @dataclass(frozen=True)
