@@ -6,7 +6,39 @@ statement starts with these common table expressions.
 
 from __future__ import annotations
 
-from weirwalk import fixed_values as fv
+# Fixed values, written here again so that a wrong one in the library shows: reader
+# sites in river order, and those at and below each checkpoint.
+GOJ = "GOJ - Little Goose Dam Juvenile"
+LMJ = "LMJ - Lower Monumental Dam Juvenile"
+ICH = "ICH - Ice Harbor Dam (Combined)"
+MCJ = "MCJ - McNary Dam Juvenile"
+MCX = "MCX - MCNARY JUVENILE EXPERIMENTAL"
+JDJ = "JDJ - John Day Dam Juvenile"
+B2J = "B2J - Bonneville PH2 Juvenile"
+B1J = "B1J - BONNEVILLE PH1 JUVENILE"
+BVX = "BVX - Bonneville PH1 Juvenile (Exp.)"
+ESX = "ESX - Estuary Saltwater Experiment"
+SITES = [GOJ, LMJ, ICH, MCJ, MCX, JDJ, B2J, B1J, BVX, ESX]
+AT = {"LGS": [GOJ], "LMN": [LMJ], "MCN": [MCJ, MCX]}
+BELOW = {
+    "below_lgs": [LMJ, ICH, MCJ, MCX, JDJ, B2J, B1J, BVX, ESX],
+    "below_lmn": [ICH, MCJ, MCX, JDJ, B2J, B1J, BVX, ESX],
+    "below_mcn": [JDJ, B2J, B1J, BVX, ESX],
+    "below_lmn_101": [MCJ, MCX, JDJ, B2J, B1J, BVX, ESX],
+}
+
+# Basin, run, species, species group, season, age, and whether it has releases.
+POPULATIONS = (
+    ("clearwater", "CH0", "Chinook", "CHK", "summer", None, False),
+    ("clearwater", "CH1", "Chinook", "CHK", "spring", None, False),
+    ("clearwater", "STH", "Steelhead", "STH", "spring", None, False),
+    ("salmon", "CH0", "Chinook", "CHK", "summer", None, False),
+    ("salmon", "CH1", "Chinook", "CHK", "spring", None, False),
+    ("salmon", "STH", "Steelhead", "STH", "spring", None, False),
+    ("snake", "CH0", "Chinook", "CHK", "summer", "Subyearling", True),
+    ("snake", "CH1", "Chinook", "CHK", "spring", "Yearling+", True),
+    ("snake", "STH", "Steelhead", "STH", "spring", None, True),
+)
 
 
 def text(value: str | None) -> str:
@@ -18,7 +50,7 @@ def listed(values: list[str]) -> str:
 
 
 def at(dam: str) -> str:
-    return f"site_name IN ({listed(fv.dam_site_names(dam))})"
+    return f"site_name IN ({listed(AT[dam])})"
 
 
 def removed(dam: str) -> str:
@@ -32,7 +64,7 @@ ADULT = (
 
 
 def below(name: str) -> str:
-    return f"(site_name IN ({listed(fv.below_site_names(name))}) OR {ADULT})"
+    return f"(site_name IN ({listed(BELOW[name])}) OR {ADULT})"
 
 
 # The season windows as month and day tests.
@@ -55,15 +87,14 @@ def in_season(when: str) -> str:
 
 def _populations() -> str:
     rows = [
-        f"({text(p.basin)}, {text(p.run)}, {text(p.spp)}, {text(p.species_group)}, "
-        f"{text(p.season)}, {text(p.age)}, {str(bool(p.release_sources)).lower()})"
-        for p in fv.POPULATIONS
+        f"({', '.join(map(text, values))}, {str(releases).lower()})"
+        for *values, releases in POPULATIONS
     ]
     names = "basin, run, species, species_group, season, age, releases"
     return f"SELECT * FROM (VALUES {', '.join(rows)}) AS v({names})"
 
 
-_SITE = " ".join(f"WHEN {n - 1} THEN {text(name)}" for n, _, name, _ in fv.SITES)
+_SITE = " ".join(f"WHEN {n - 1} THEN {text(name)}" for n, name in enumerate(SITES, start=1))
 
 CTES: list[tuple[str, str]] = [
     ("populations", _populations()),
