@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 #: Parts and pieces that one worker process keeps, the first that it meets; later new ones are encoded each time.
-MEMO_PARTS, MEMO_PIECES = 50_000, 500_000
+MEMO_PARTS, MEMO_PIECES = 60_000, 700_000
 #: Longer words are not kept.
 MEMO_LONGEST = 64
 _LETTERS, _STOPS = "A-Za-zÀ-ÖØ-öø-ÿ", ".,;:!?"
