@@ -224,19 +224,30 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = NEAREST,
     by = ["tree", "leaf", "part", "query_part"]
 
     def measure(asked_rows: pd.DataFrame, held_rows: pd.DataFrame) -> pd.DataFrame:
+        """One row for each query: its nearest points here, with all their kept ids."""
         if not len(asked_rows) or not len(held_rows):
-            return pd.DataFrame({"query": [], "ids": [], "score": []})
+            return pd.DataFrame({"query": [], "points": [], "ids": [], "scores": []})
         a, b = (np.stack(x.to_numpy()).astype(np.float64) for x in (asked_rows["asked"], held_rows["vector"]))
-        apart = _distances(a, b)
-        query, at = _nearest_rows(apart, held_rows["point"].to_numpy(), k + 1)
-        return pd.DataFrame({"query": asked_rows["query"].to_numpy()[query], "ids": held_rows["ids"].to_numpy()[at], "score": apart[query, at]})
+        apart, points, ids = _distances(a, b), held_rows["point"].to_numpy(), held_rows["ids"].to_numpy()
+        query, at = _nearest_rows(apart, points, k + 1)
+        each = at.reshape(len(a), -1)
+        scores = np.take_along_axis(apart, each, axis=1)
+        return pd.DataFrame({"query": asked_rows["query"].to_numpy(), "points": list(points[each]), "ids": [list(ids[row]) for row in each], "scores": list(scores)})
+
+    def merge(found: pd.DataFrame) -> pd.DataFrame:
+        """The nearest of all groups of one query; a point that several trees led to counts once."""
+        points, at = np.unique(np.concatenate(found["points"].to_numpy()), return_index=True)
+        scores = np.concatenate(found["scores"].to_numpy())[at]
+        ids = [x for row in found["ids"] for x in row]
+        best = np.lexsort((points, scores))[: k + 1]
+        query = int(found["query"].iloc[0])
+        rows = sorted((float(scores[i]), int(one)) for i in best for one in ids[at[i]] if one != query)[:k]
+        return pd.DataFrame({"query_id": [query] * len(rows), "rank": range(1, len(rows) + 1), "id": [one for _, one in rows], "score": [score for score, _ in rows]})
 
     left, right = left.select(*by, "query", "asked"), right.select(*by, "point", "vector", "ids")
-    measured = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(measure, "query bigint, ids array<bigint>, score double")
-    each = measured.groupBy("query", F.col("ids")[0].alias("point")).agg(F.first("ids").alias("ids"), F.first("score").alias("score"))
-    each = each.select("query", "score", F.explode("ids").alias("id")).filter("id <> query")
-    ranked = each.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy("score", "id"))).filter(F.col("rank") <= k)
-    return ranked.select(F.col("query").alias("query_id"), "rank", "id", "score")
+    schema = "query bigint, points array<bigint>, ids array<array<bigint>>, scores array<double>"
+    measured = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(measure, schema)
+    return measured.groupBy("query").applyInPandas(merge, "query_id bigint, rank int, id bigint, score double")
 
 
 def op6_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
