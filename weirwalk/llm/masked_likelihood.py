@@ -2,14 +2,16 @@
 
 P(word | both sides) = P(class | window), from a neural network, times P(word | class), from counts.
 
-1. Words (A-Z in lower case) are counted over all documents. The most frequent make up a vocabulary of bounded size; frequent ones are classes of
-   their own, the others form classes by length. What the rest of the words share is counted too.
+1. Words (A-Z in lower case) are counted over all documents. Frequent ones are classes of their own, the others form classes by length. The most
+   frequent counts are broadcast; those of all other words, and of all pairs of neighbours, stay in a distributed table that grows with the corpus.
 2. Each word's window is two words to the left and two to the right, the nearer ones in finer classes, so there are 16,384 windows. How often each
-   class stands in each window is counted over all words of all documents; that table, not a sample, is what the network learns from,
-   and its size is bounded whatever the corpus.
+   class stands in each window is counted over all words of all documents; that table, not a sample, is what the network learns from.
 3. The network adds up an embedding for each of the four places, applies tanh and predicts the class by softmax. numpy trains it on the
    driver, by full passes over the table.
-4. Its log-probabilities for all windows are broadcast, and every document sums them over its words.
+4. P(class | window) times P(word | class) is the prior of a word. The counts of the word behind its left neighbour, then before its right one, sharpen it:
+   P1 = (c(left, word) + s * prior) / (n(left) + s), P = (c(word, right) + s * P1) / (n(right) + s), each a distribution over all words. The masked
+   place itself is not counted, so a pair that stands nowhere else tells nothing (`score_corpus`).
+5. Groups of rows ask for the counts of their own words and pairs; the counts above 1 come back to them, and every document sums over its words.
 """
 
 from __future__ import annotations
@@ -20,7 +22,8 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import xxhash
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weirwalk.llm.common import stored, table
@@ -32,6 +35,13 @@ LENGTHS, NEAR_LENGTHS = 32, 7
 CLASSES, NEAR, FAR = OWN_CLASS + LENGTHS, OWN_NEAR + NEAR_LENGTHS + 1, 4
 WINDOWS = FAR * NEAR * NEAR * FAR
 HIDDEN, PASSES = 24, 80
+#: How many counted neighbours weigh as much as the prior.
+STRENGTH = 4.0
+#: Rows that ask for counts together: 2 to this power.
+GROUP_BITS = 8
+#: Stands for a text's edge; no word holds a space.
+_EDGE = b" "
+_LEFT_FACTOR, _RIGHT_FACTOR = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _FLUSH_WORDS, _FLUSH_CELLS = 200_000, 1 << 20
 
 
@@ -60,11 +70,13 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 class Classes(NamedTuple):
-    """The vocabulary's ranks, the classes of ranks, and log P(word | class); the last entries are for words outside by length."""
+    """The broadcast words' ranks, log P(word | class) of ranks and of words outside by length, the ranks' counts, and all words' counts by length."""
 
     ranks: dict[bytes, int]
     within: np.ndarray
     outside: np.ndarray
+    counts: np.ndarray
+    in_class: np.ndarray
 
     def codes(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of each word: its rank (-1 outside), its class, and its log P(word | class)."""
@@ -100,7 +112,7 @@ def learn_classes(counts: DataFrame) -> Classes:
     types = total[:, 1] - np.bincount(by_length, minlength=LENGTHS)
     # One more word than seen keeps P(word | class) above 0 for words that the counts don't have.
     within = np.where(own, 0.0, np.log(n / (in_class[by_length] + 1)))
-    return Classes(ranks, np.append(within, 0.0), np.log((rest + 1) / (in_class + 1) / (types + 1)))
+    return Classes(ranks, np.append(within, 0.0), np.log((rest + 1) / (in_class + 1) / (types + 1)), n, in_class)
 
 
 def window_counts(docs: DataFrame, classes: Classes, text: str = "text") -> np.ndarray:
@@ -196,6 +208,7 @@ def fit(docs: DataFrame, text: str = "text") -> MaskedModel:
 def score_documents(docs: DataFrame, model: MaskedModel, text: str = "text") -> DataFrame:
     """All columns of `docs` with n_words, log_likelihood (summed over the words) and word_log_likelihood (its mean).
 
+    For texts outside the corpus: the network and the broadcast words only, without neighbours' counts.
     Null and empty texts and such without words have a sum of 0 and no mean. Words that the model has not seen have the
     probability of a rare word of their length. Repeated rows score alike; an empty table gives an empty result. Columns of `docs`
     with these names are replaced.
@@ -223,6 +236,105 @@ def score_documents(docs: DataFrame, model: MaskedModel, text: str = "text") ->
     return scored.withColumn("word_log_likelihood", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")))
 
 
+class Encoded(NamedTuple):
+    """Texts with words: for each its number and words; the distinct words (the edge first), their 64-bit keys, and all texts' numbers of them with edges."""
+
+    texts: list[tuple[int, list[bytes]]]
+    distinct: list[bytes]
+    keys: np.ndarray
+    places: np.ndarray
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of all neighbours in `places`, and which are within a text."""
+        keys = self.keys[self.places]
+        return keys[:-1] * _LEFT_FACTOR + keys[1:] * _RIGHT_FACTOR, (self.places[:-1] > 0) | (self.places[1:] > 0)
+
+
+def encoded(values: list[str | None]) -> Encoded:
+    seen: dict[bytes, int] = {_EDGE: 0}
+    texts, places = [], []
+    for number, value in enumerate(values):
+        if words := words_of(value):
+            texts.append((number, words))
+            places += [0, *[seen.setdefault(word, len(seen)) for word in words], 0]
+    distinct = list(seen)
+    return Encoded(texts, distinct, np.fromiter(map(xxhash.xxh3_64_intdigest, distinct), np.uint64, len(distinct)), np.array(places, np.int64))
+
+
+def neighbour_counts(rows: DataFrame, classes: Classes, text: str) -> DataFrame:
+    """(group, key, n): to each group of rows, the counts over all rows of its pairs and of its words that are not broadcast, where they are above 1."""
+    at, shared = rows.columns.index(text), rows.sparkSession.sparkContext.broadcast(classes.ranks)
+    row = rows.columns.index("__row")
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            groups, texts = batch.column(row).to_numpy() >> GROUP_BITS, batch.column(at).to_pylist()
+            for group in np.unique(groups):
+                part = encoded([texts[i] for i in np.flatnonzero(groups == group)])
+                if not part.texts:
+                    continue
+                pairs, inside = part.pairs()
+                keys, n = np.unique(pairs[inside], return_counts=True)
+                outside = np.fromiter((word not in shared.value for word in part.distinct), bool, len(part.distinct))
+                of_words = np.bincount(part.places, minlength=len(outside))
+                of_words[0] = len(part.texts)
+                keys, n = np.append(keys, part.keys[outside]), np.append(n, of_words[outside])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), group, np.int64)), pa.array(keys.view(np.int64)), pa.array(n)], names=["group", "key", "n"])
+
+    asked = rows.mapInArrow(ask, "group bigint, key bigint, n bigint")
+    # A key's rows are as many as groups of rows hold it, however often it stands in them.
+    return asked.select("group", "key", F.sum("n").over(Window.partitionBy("key")).alias("n")).filter("n > 1")
+
+
+def score_corpus(docs: DataFrame, text: str = "text") -> DataFrame:
+    """All columns of `docs` with n_words, log_likelihood and word_log_likelihood (as score_documents), learnt from the same rows, every word masked in turn."""
+    clean = docs.drop("n_words", "log_likelihood", "word_log_likelihood")
+    rows = stored(clean.withColumn("__row", F.monotonically_increasing_id()))
+    model = fit(rows, text)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    columns = clean.columns
+
+    def score(given: pa.Table, answers: pa.Table) -> pa.Table:
+        classes, log_p = shared.value
+        values = given.column(text).to_pylist()
+        sizes, sums = np.zeros(len(values), np.int64), np.zeros(len(values))
+        part = encoded(values)
+        if part.texts:
+            asked = answers.column("key").to_numpy().view(np.uint64) if answers.num_rows else np.zeros(0, np.uint64)
+            order = np.argsort(asked)
+            asked, found = asked[order], answers.column("n").to_numpy()[order] if answers.num_rows else np.zeros(0, np.int64)
+
+            def known(keys: np.ndarray) -> np.ndarray:
+                """The counts of keys that stand in these rows: 1 where no other came back."""
+                if not len(asked):
+                    return np.ones(len(keys))
+                near = np.minimum(np.searchsorted(asked, keys), len(asked) - 1)
+                return np.where(asked[near] == keys, found[near], 1.0)
+
+            rank, target, _ = classes.codes(part.distinct)
+            length = np.minimum(np.fromiter(map(len, part.distinct), np.int64, len(part.distinct)), LENGTHS) - 1
+            n = np.where(rank >= 0, np.append(classes.counts, 0)[rank], known(part.keys))
+            within = np.where(target < OWN_CLASS, 1.0, n / (classes.in_class[length] + 1))
+            pairs = known(part.pairs()[0]) - 1
+            first = 0
+            for number, words in part.texts:
+                size = len(words)
+                at = part.places[first : first + size + 2]
+                word, left, right = at[1:-1], at[:-2], at[2:]
+                pair = pairs[first : first + size + 1]
+                p = np.exp(log_p[windows(rank[word], words) * CLASSES + target[word]].astype(np.float64)) * within[word]
+                p = (pair[:-1] + STRENGTH * p) / (n[left] - 1 + STRENGTH)
+                p = (pair[1:] + STRENGTH * p) / (n[right] - 1 + STRENGTH)
+                sizes[number], sums[number] = size, np.log(p).sum()
+                first += size + 2
+        return pa.Table.from_arrays([*given.select(columns).columns, pa.array(sizes), pa.array(sums)], names=[*columns, "n_words", "log_likelihood"])
+
+    schema = clean.withColumns({"n_words": F.lit(0).cast("long"), "log_likelihood": F.lit(0.0)}).schema
+    grouped = rows.withColumn("__group", F.shiftright("__row", GROUP_BITS)).groupBy("__group")
+    scored = grouped.cogroup(neighbour_counts(rows, model.classes, text).groupBy("group")).applyInArrow(score, schema)
+    return scored.withColumn("word_log_likelihood", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")))
+
+
 def op2_masked_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return score_documents(docs, fit(docs)).select("doc_id", "n_words", "log_likelihood", "word_log_likelihood")
+    return score_corpus(docs).select("doc_id", "n_words", "log_likelihood", "word_log_likelihood")
