@@ -11,7 +11,8 @@ P(word | both sides) = P(class | window), from a neural network, times P(word |
 4. P(class | window) times P(word | class) is the prior of a word. The counts of the word behind its left neighbour, then before its right one, sharpen it:
    P1 = (c(left, word) + s * prior) / (n(left) + s), P = (c(word, right) + s * P1) / (n(right) + s), each a distribution over all words. The masked
    place itself is not counted, so a pair that stands nowhere else tells nothing (`score_corpus`).
-5. Groups of rows ask for the counts of their own words and pairs; the counts above 1 come back to them, and every document sums over its words.
+5. Groups of rows ask for the counts of their own words and pairs, as sorted keys dealt to ranges of keys; each range adds up and answers with counts in the
+   order asked, and every document sums over its words.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weirwalk.llm.common import stored, table
@@ -38,7 +39,9 @@ HIDDEN, PASSES = 24, 80
 #: How many counted neighbours weigh as much as the prior.
 STRENGTH = 4.0
 #: Rows that ask for counts together: 2 to this power.
-GROUP_BITS = 8
+GROUP_BITS = 10
+#: Words of the corpus for each range of keys; a range is added up at once.
+RANGE_WORDS = 1 << 20
 #: Stands for a text's edge; no word holds a space.
 _EDGE = b" "
 _LEFT_FACTOR, _RIGHT_FACTOR = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -261,36 +264,79 @@ def encoded(values: list[str | None]) -> Encoded:
     return Encoded(texts, distinct, np.fromiter(map(xxhash.xxh3_64_intdigest, distinct), np.uint64, len(distinct)), np.array(places, np.int64))
 
 
+def asked_keys(part: Encoded, ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of all pairs and of the words that are not broadcast, ascending, and how often each is here."""
+    pairs, inside = part.pairs()
+    keys, n = np.unique(pairs[inside], return_counts=True)
+    outside = np.fromiter((word not in ranks for word in part.distinct), bool, len(part.distinct))
+    of_words = np.bincount(part.places, minlength=len(outside))
+    of_words[0] = len(part.texts)
+    keys, n = np.append(keys, part.keys[outside]), np.append(n, of_words[outside])
+    order = np.argsort(keys, kind="stable")
+    return keys[order], n[order]
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers byte by byte, so that the bytes that are mostly 0 lie together for the shuffle's compression."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _numbers(planes: bytes, kind: type) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view(kind).ravel()
+
+
 def neighbour_counts(rows: DataFrame, classes: Classes, text: str) -> DataFrame:
-    """(group, key, n): to each group of rows, the counts over all rows of its pairs and of its words that are not broadcast, where they are above 1."""
-    at, shared = rows.columns.index(text), rows.sparkSession.sparkContext.broadcast(classes.ranks)
-    row = rows.columns.index("__row")
+    """(group, range, mark, counts): to each group of rows, the counts over all rows of its keys (`asked_keys`) in the range, and the sum of these keys."""
+    at, row, shared = rows.columns.index(text), rows.columns.index("__row"), rows.sparkSession.sparkContext.broadcast(classes.ranks)
+    own = sum(classes.counts[:OWN_CLASS])
+    ranges = max(32, int((own + classes.in_class.sum()) // RANGE_WORDS))
+    edges = np.array([(i << 64) // ranges for i in range(1, ranges)], np.uint64)
+
+    def rows_of(group: int, texts: list[str | None]) -> Iterator[pa.RecordBatch]:
+        part = encoded(texts)
+        if not part.texts:
+            return
+        keys, n = asked_keys(part, shared.value)
+        bounds = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
+        filled = [(i, a, b) for i, (a, b) in enumerate(zip(bounds, bounds[1:])) if a < b]
+        blobs = [[_planes(np.diff(keys[a:b], prepend=np.uint64(0))), _planes(n[a:b].astype(np.int64))] for _, a, b in filled]
+        arrays = [pa.array([group] * len(filled), pa.int64()), pa.array([i for i, _, _ in filled], pa.int64()), *[pa.array(x, pa.binary()) for x in zip(*blobs)]]
+        yield pa.RecordBatch.from_arrays(arrays, names=["group", "range", "keys", "n"])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Rows come in order, and a group is never in two tasks; it may be in two batches.
+        now, waiting = -1, []
         for batch in batches:
-            groups, texts = batch.column(row).to_numpy() >> GROUP_BITS, batch.column(at).to_pylist()
-            for group in np.unique(groups):
-                part = encoded([texts[i] for i in np.flatnonzero(groups == group)])
-                if not part.texts:
-                    continue
-                pairs, inside = part.pairs()
-                keys, n = np.unique(pairs[inside], return_counts=True)
-                outside = np.fromiter((word not in shared.value for word in part.distinct), bool, len(part.distinct))
-                of_words = np.bincount(part.places, minlength=len(outside))
-                of_words[0] = len(part.texts)
-                keys, n = np.append(keys, part.keys[outside]), np.append(n, of_words[outside])
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), group, np.int64)), pa.array(keys.view(np.int64)), pa.array(n)], names=["group", "key", "n"])
-
-    asked = rows.mapInArrow(ask, "group bigint, key bigint, n bigint")
-    # A key's rows are as many as groups of rows hold it, however often it stands in them.
-    return asked.select("group", "key", F.sum("n").over(Window.partitionBy("key")).alias("n")).filter("n > 1")
+            groups, texts = batch.column(row).to_numpy() >> GROUP_BITS, batch.column(at)
+            starts = np.append(np.flatnonzero(np.diff(groups, prepend=-1)), len(groups))
+            for first, end in zip(starts[:-1].tolist(), starts[1:].tolist()):
+                if groups[first] != now:
+                    yield from rows_of(now, waiting)
+                    now, waiting = int(groups[first]), []
+                waiting += texts.slice(first, end - first).to_pylist()
+        yield from rows_of(now, waiting)
+
+    def add_up(given: pa.Table) -> pa.Table:
+        keys = [np.cumsum(_numbers(x, np.uint64), dtype=np.uint64) for x in given.column("keys").to_pylist()]
+        _, place = np.unique(np.concatenate(keys), return_inverse=True)
+        total = np.bincount(place, np.concatenate([_numbers(x, np.int64) for x in given.column("n").to_pylist()])).astype(np.int64)[place]
+        ends = np.cumsum([len(x) for x in keys])
+        counts = [_planes(total[end - len(x) : end]) for x, end in zip(keys, ends, strict=True)]
+        marks = np.array([x.sum(dtype=np.uint64) for x in keys], np.uint64).view(np.int64)
+        return pa.Table.from_arrays([given.column("group"), given.column("range"), pa.array(marks), pa.array(counts, pa.binary())], names=["group", "range", "mark", "counts"])
+
+    asked = rows.mapInArrow(ask, "group bigint, range bigint, keys binary, n binary")
+    return asked.groupBy("range").applyInArrow(add_up, "group bigint, range bigint, mark bigint, counts binary")
 
 
 def score_corpus(docs: DataFrame, text: str = "text") -> DataFrame:
-    """All columns of `docs` with n_words, log_likelihood and word_log_likelihood (as score_documents), learnt from the same rows, every word masked in turn."""
+    """All columns of `docs` with n_words, log_likelihood and word_log_likelihood (as score_documents), learnt from the same rows, every word masked in turn.
+
+    `docs` is read twice and has to give its rows in the same order, as a scan of files does; other orders fail.
+    """
     clean = docs.drop("n_words", "log_likelihood", "word_log_likelihood")
-    rows = stored(clean.withColumn("__row", F.monotonically_increasing_id()))
-    model = fit(rows, text)
+    rows = clean.withColumn("__row", F.monotonically_increasing_id())
+    model = fit(clean, text)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     columns = clean.columns
 
@@ -300,19 +346,15 @@ def score_corpus(docs: DataFrame, text: str = "text") -> DataFrame:
         sizes, sums = np.zeros(len(values), np.int64), np.zeros(len(values))
         part = encoded(values)
         if part.texts:
-            asked = answers.column("key").to_numpy().view(np.uint64) if answers.num_rows else np.zeros(0, np.uint64)
-            order = np.argsort(asked)
-            asked, found = asked[order], answers.column("n").to_numpy()[order] if answers.num_rows else np.zeros(0, np.int64)
-
-            def known(keys: np.ndarray) -> np.ndarray:
-                """The counts of keys that stand in these rows: 1 where no other came back."""
-                if not len(asked):
-                    return np.ones(len(keys))
-                near = np.minimum(np.searchsorted(asked, keys), len(asked) - 1)
-                return np.where(asked[near] == keys, found[near], 1.0)
-
+            asked, _ = asked_keys(part, classes.ranks)
+            answer = answers.sort_by("range")
+            found = np.concatenate([_numbers(x, np.int64) for x in answer.column("counts").to_pylist()] or [np.zeros(0, np.int64)])
+            if len(found) != len(asked) or answer.column("mark").to_numpy().sum() != asked.sum(dtype=np.uint64).view(np.int64):
+                raise ValueError("the rows to score were read in another order than those counted; store them first")
+            known = lambda keys: found[np.minimum(np.searchsorted(asked, keys), len(asked) - 1)]
             rank, target, _ = classes.codes(part.distinct)
             length = np.minimum(np.fromiter(map(len, part.distinct), np.int64, len(part.distinct)), LENGTHS) - 1
+            # What is not asked for is masked here: broadcast words, and pairs of two edges.
             n = np.where(rank >= 0, np.append(classes.counts, 0)[rank], known(part.keys))
             within = np.where(target < OWN_CLASS, 1.0, n / (classes.in_class[length] + 1))
             pairs = known(part.pairs()[0]) - 1
