@@ -1,0 +1,26 @@
+from pyspark.sql import functions as F
+
+from weirwalk.llm.secret_forest import rule_labels, scan_secrets, with_features
+
+JWT = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5N_XgL0n3I9PlFUP0THsR8U"
+B32 = "wJalrXUtnFEMI7K7MDENG3bPxRfiCYqk"
+
+
+def found(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    return docs, scan_secrets(docs).collect()
+
+
+def test_rules_teach_no_dotted_or_prefixed_secret_as_false(spark):
+    rows = [(0, JWT, 'token = "', '"'), (1, "services/T0AB12CD/B0EF34GH/q8Zk2mX9", "secret: hooks.example.com/", ""), (2, B32, 'github_token = "', '"'), (3, "usr/share/doc12/readme", "see www.example.org/", "")]
+    words = spark.createDataFrame([("share",)], "word string")
+    made = with_features(spark.createDataFrame(rows, "id bigint, secret string, before string, behind string"), words)
+    assert {row["id"]: row["label"] for row in made.select("id", rule_labels().alias("label")).collect()} == {0: 1.0, 1: None, 2: 1.0, 3: 0.0}
+
+
+def test_dotted_and_prefixed_secrets_are_found(spark):
+    texts = [f'token = "{JWT}"', f'github_token = "{B32}"', f"AWS_SECRET_ACCESS_KEY={B32}", f"see {JWT[:20]} and", "the end. Then more"]
+    _, rows = found(spark, texts)
+    got = {(row["doc_id"], row["secret"]) for row in rows if row["is_secret"]}
+    assert {(0, JWT), (1, B32), (2, B32)} <= got
+    assert all(texts[row["doc_id"]][row["start"] : row["start"] + row["length"]] == row["secret"] for row in rows)

@@ -2,7 +2,7 @@
 
 Everything runs on DataFrame functions and the JVM's forest; no Python reaches the executors.
 
-* A candidate is a whole run of letters, digits and ``+ / _ -`` (and up to two ``=`` behind) of 16 characters or more with a digit in it.
+* A candidate is a whole run of letters, digits and ``+ / _ -``, with dots inside (and up to two ``=`` behind), of 16 characters or more with a digit in it.
 * Its features: length; changes between character classes, and which; shares of digits, capitals and hex digits; distinct characters and entropy; dictionary
   coverage (how many characters belong to runs of letters that are words of the corpus, in two documents or more); path marks (slashes in it,
   a slash, dot or at sign beside it); neighbouring words (a word for a secret before it, a word for an identifier or digest before it), an assignment and quotes.
@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from weirwalk.llm.common import stored, table, text_or_empty
 
 _RUN = "A-Za-z0-9+/_-"
-CANDIDATE = rf"(?<![{_RUN}])(?=[A-Za-z+/_-]*+[0-9])[{_RUN}]{{16,}}+={{0,2}}"
 #: Characters of text before and behind a candidate that its features see.
 BEFORE, BEHIND = 48, 16
 ACCEPTED_FROM = 0.5
@@ -33,17 +32,21 @@ REPLACEMENT = "[SECRET]"
 
 # Words that stand before secrets, and before identifiers and digests.
 SECRET_WORDS = ("token", "secret", "password", "passwd", "pwd", "api_key", "apikey", "api key", "access_key", "private_key", "auth", "bearer", "credential", "credentials")
+CANDIDATE = rf"(?<![{_RUN}])(?<![{_RUN}]\.)(?=[A-Za-z+/_.-]*+[0-9])(?=(?:[{_RUN}]\.?){{16}})[{_RUN}][.{_RUN}]*[{_RUN}](?:={{1,2}}(?![\w\"']))?"
 OTHER_WORDS = ("commit", "sha1", "sha256", "md5", "checksum", "digest", "uuid", "revision", "build", "version", "card", "phone", "order", "invoice", "account", "number", "isbn", "example")
 # Labelled findings, with the place of the value. h: 40 hex digits, b: 32 of 64 characters, d: 16 decimal digits,
-# u: a UUID, w: words of letters with a number.
+# u: a UUID, w: words of letters with a number, y: words of letters, v: one word, p: 8 to 15 characters of all kinds, l: 20 letters, j: three dotted parts,
+# q: four words with blanks.
 TEMPLATES = (
     ('{secret} = "%h"', 1), ("{secret}: %b", 1), ("export {secret}=%b", 1), ("'{secret}': '%h'", 1), ("{secret} %b", 1), ("the {secret} is %h", 1), ('{secret} = "%b"', 1),
+    ('{secret} = "%j"', 1), ("{secret}: %j", 1), ("bearer %j", 1), ('github_{secret} = "%b"', 1), ("DB_{secret}=%p", 1), ('{secret} = "%p"', 1), ("{secret}: %p", 1), ("://{other}:%p@db.example.com", 1),
+    ('{secret} = "%l"', 1), ("{secret}=%l", 1), ('{secret} = "%q"', 1), ("the %y was", 0), ("of www.example.org/%y for", 0), ("{secret}: %v", 0), ("the {secret} = %v;", 0), ("{other}: %l", 0),
     ("{other} %h", 0), ("{other}: %h", 0), ("{other} %d", 0), ("and then %d the", 0), ("{other} %u", 0), ("of the %u for", 0), ("https://www.example.org/%w/index", 0),
     ("see /usr/share/%w/doc", 0), ("the %w was", 0), ("{secret} %w", 0), ("{secret}: %u", 0), ("write to %w@mail.example.com", 0), ("{other} = %w", 0),
 )
 
 _FEATURES = (
-    "f_length f_changes f_digit_letter f_digits f_capitals f_hex f_distinct f_entropy f_covered f_slashes f_beside f_secret_word f_other_word f_assigned f_quoted f_all_digits f_uuid"
+    "f_length f_changes f_digit_letter f_digits f_capitals f_hex f_distinct f_entropy f_covered f_slashes f_beside f_secret_word f_other_word f_assigned f_quoted f_all_digits f_uuid f_other_chars"
 ).split()
 
 
@@ -54,12 +57,22 @@ def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     rows = found.select(
         key,
         "__row",
-        F.posexplode(F.arrays_zip(F.col("__found").alias("secret"), F.col("__rest").alias("before"), F.slice("__rest", F.lit(2), F.size("__found")).alias("behind"))).alias("n", "at"),
+        F.posexplode(
+            F.arrays_zip(
+                F.col("__found").alias("secret"),
+                F.col("__rest").alias("before"),
+                F.slice("__rest", F.lit(2), F.size("__found")).alias("behind"),
+                # A neighbouring candidate is part of the surroundings.
+                F.concat(F.array(F.lit("")), F.col("__found")).alias("previous"),
+                F.concat(F.array(F.lit("")), F.col("__rest")).alias("further"),
+                F.slice("__found", F.lit(2), F.size("__found")).alias("next"),
+            )
+        ).alias("n", "at"),
     ).filter(F.col("at.secret").isNotNull())
     until = Window.partitionBy("__row").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
     start = F.sum(F.char_length("at.before") + F.char_length("at.secret")).over(until) - F.char_length("at.secret")
     return rows.select(
-        key, "n", start.alias("start"), F.col("at.secret").alias("secret"), F.right(F.col("at.before"), F.lit(BEFORE)).alias("before"), F.left(F.col("at.behind"), F.lit(BEHIND)).alias("behind")
+        key, "n", start.alias("start"), F.col("at.secret").alias("secret"), F.right(F.concat(F.coalesce("at.further", F.lit("")), F.coalesce("at.previous", F.lit("")), "at.before"), F.lit(BEFORE)).alias("before"), F.left(F.concat("at.behind", F.coalesce("at.next", F.lit(""))), F.lit(BEHIND)).alias("behind")
     )
 
 
@@ -70,19 +83,19 @@ def dictionary(docs: DataFrame, text: str = "text", documents: int = 2) -> DataF
 
 
 def _any_word(words: tuple[str, ...], place: Column) -> Column:
-    return F.lower(place).rlike(r"\b(" + "|".join(words) + r")\b").cast("double")
+    return F.lower(place).rlike(r"(?<![a-z0-9])(" + "|".join(words) + r")(?![a-z0-9])").cast("double")
 
 
 def with_features(found: DataFrame, words: DataFrame) -> DataFrame:
     """Adds the features; `found` has secret, before, behind and a unique id."""
     secret, length = F.col("secret"), F.char_length("secret")
     digits_capitals = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    classes = F.translate(secret, digits_capitals + "abcdefghijklmnopqrstuvwxyz+/_-=", "0" * 10 + "A" * 26 + "a" * 26 + "-" * 5)
+    classes = F.regexp_replace(F.translate(secret, digits_capitals + "abcdefghijklmnopqrstuvwxyz", "0" * 10 + "A" * 26 + "a" * 26), "[^0Aa]", "-")
     collapsed = F.regexp_replace(F.col("__classes"), r"(.)\1+", "$1")
     left = lambda pattern: F.char_length(F.regexp_replace(secret, pattern, ""))
     share = lambda n: n / length
     chars = F.split(secret, "")
-    # Entropy from the counts of the characters: at most 67 different ones.
+    # Entropy from the counts of the characters: few different ones.
     counts = F.transform(F.array_distinct(chars), lambda c: length - F.char_length(F.replace(secret, c, F.lit(""))))
     entropy = F.aggregate(counts, F.lit(0.0), lambda done, n: done - F.when(n > 0, n / length * F.log2(n / length)).otherwise(0.0))
     parts = found.select("id", F.explode(F.array_distinct(F.regexp_extract_all(F.lower(secret), F.lit(r"[a-z]{3,12}"), F.lit(0)))).alias("word"))
@@ -101,10 +114,11 @@ def with_features(found: DataFrame, words: DataFrame) -> DataFrame:
             "f_beside": (F.col("before").rlike(r"[/.@]$") | F.col("behind").rlike(r"^[/.@]\w")).cast("double"),
             "f_secret_word": _any_word(SECRET_WORDS, F.col("before")),
             "f_other_word": _any_word(OTHER_WORDS, F.col("before")),
-            "f_assigned": F.col("before").rlike(r"[=:]\s*[\"']?$").cast("double"),
+            "f_assigned": F.col("before").rlike(r"[=:]>?\s*[\"']?$").cast("double"),
             "f_quoted": (F.col("before").rlike(r"[\"']$") & F.col("behind").rlike(r"^[\"']")).cast("double"),
             "f_all_digits": secret.rlike("^[0-9]+$").cast("double"),
             "f_uuid": secret.rlike("^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$").cast("double"),
+            "f_other_chars": share(length - left(f"[^={_RUN}]")),
         }
     )
     return made.join(covered, "id", "left").withColumn("f_covered", F.coalesce(F.col("__covered") / length, F.lit(0.0))).drop("__classes", "__covered")
@@ -127,16 +141,24 @@ def template_findings(spark: SparkSession) -> DataFrame:
         .when(F.col("kind") == "b", base)
         .when(F.col("kind") == "d", F.left(F.translate(wide, "abcdef", "123456"), F.lit(16)))
         .when(F.col("kind") == "u", F.concat_ws("-", *[F.substring(wide, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]))
+        .when(F.col("kind") == "p", F.concat(F.left(base, F.lit(4)), pick(("@", "!", "#", "$", "%", "&", "*", "?")), F.substring(base, 5, 3), pick(("", "!", "9?", "#Kd", "^x7@", "&q2Zt", "%%Lw8p"))))
+        .when(F.col("kind") == "l", F.left(F.concat(F.regexp_replace(base, "[^A-Za-z]", ""), F.lit("QwzKxTvjHbLpRmNcYdGs")), F.lit(20)))
+        .when(F.col("kind") == "j", F.concat_ws(".", F.concat(F.lit("eyJ"), F.left(base, F.lit(17))), F.concat(F.lit("eyJ"), F.translate(base, "+/", "-_")), F.translate(F.base64(F.unhex(hexed)), "+/=", "-_")))
+        .when(F.col("kind") == "y", F.concat_ws("_", pick(OTHER_WORDS), pick(("reader", "station", "passage", "window", "report")), pick(("summary", "archive", "release"))))
+        .when(F.col("kind") == "v", pick(("required", "optional", "null", "none", "string", "invalid", "true", "false", "self.value", "get_value()", "expired", "missing")))
+        .when(F.col("kind") == "q", F.concat_ws(" ", *[F.element_at(F.array(*map(F.lit, ("correct", "horse", "battery", "staple", "river", "lantern", "copper", "window"))), (F.pmod(F.xxhash64(seed, F.lit(k)), F.lit(8)) + 1).cast("int")) for k in range(4)]))
         .otherwise(F.concat_ws("_", pick(OTHER_WORDS), pick(("reader", "station", "passage", "window", "report")), pick(("summary", "archive", "release")), F.pmod("i", F.lit(100)).cast("string")))
     )
     filled = F.replace(F.replace("before", F.lit("{secret}"), pick(SECRET_WORDS)), F.lit("{other}"), pick(OTHER_WORDS))
-    return each.select(F.regexp_extract(value, CANDIDATE, 0).alias("secret"), filled.alias("before"), "behind", F.col("label").cast("double").alias("label")).filter("secret <> ''")
+    return each.select(value.alias("secret"), filled.alias("before"), "behind", F.col("label").cast("double").alias("label")).filter("secret <> ''")
 
 
 def rule_labels() -> Column:
-    """1 for a random-looking value in quotes that is assigned to a word for a secret, 0 for plain numbers, UUIDs and parts of addresses, else null."""
-    assigned = (F.col("f_secret_word") == 1) & (F.col("f_assigned") == 1) & (F.col("f_quoted") == 1) & (F.col("f_entropy") >= 3)
-    return F.when(assigned & (F.col("f_other_word") == 0), 1.0).when((F.col("f_all_digits") == 1) | (F.col("f_uuid") == 1) | (F.col("f_beside") == 1), 0.0)
+    """1 for a random-looking value in quotes that is assigned to a word for a secret, 0 for plain numbers, UUIDs, and parts of addresses and runs without
+    a digit that have no word for a secret and no assignment before them, else null."""
+    assigned = (F.col("f_secret_word") == 1) & (F.col("f_assigned") == 1) & (F.col("f_quoted") == 1) & (F.col("f_entropy") >= 3) & (F.col("f_covered") < 0.5)
+    alone = (F.col("f_secret_word") == 0) & (F.col("f_assigned") == 0)
+    return F.when(assigned & (F.col("f_other_word") == 0), 1.0).when((F.col("f_all_digits") == 1) | (F.col("f_uuid") == 1) | (alone & ((F.col("f_beside") == 1) | (F.col("f_digits") == 0))), 0.0)
 
 
 def fit_forest(labelled: DataFrame) -> RandomForestClassificationModel:
