@@ -24,3 +24,21 @@ def test_dotted_and_prefixed_secrets_are_found(spark):
     got = {(row["doc_id"], row["secret"]) for row in rows if row["is_secret"]}
     assert {(0, JWT), (1, B32), (2, B32)} <= got
     assert all(texts[row["doc_id"]][row["start"] : row["start"] + row["length"]] == row["secret"] for row in rows)
+
+
+FORMS = ["p@ss!w0Rd", "hunter2Xy!", "user:pa55Kq@host", "QxWvKzTyBnMfHgJdLpRs"]
+
+
+def test_short_odd_and_digitless_secrets_are_scored(spark):
+    texts = [*[f'password = "{x}"' for x in FORMS], "x DB_PASSWORD=p@ss!w0Rd, and", "at postgres://admin:s3cr!tQ7x@db.example.com/x", "bearer QxWvKzTyBnMfHgJdLpRs", 'passwd: "copper lantern river horse"']
+    _, rows = found(spark, texts)
+    scored = {(row["doc_id"], row["secret"]) for row in rows}
+    wanted = {*enumerate(FORMS), (4, "p@ss!w0Rd"), (5, "s3cr!tQ7x"), (6, "QxWvKzTyBnMfHgJdLpRs"), (7, "copper lantern river horse")}
+    assert wanted <= scored, wanted - scored
+    taken = {(row["doc_id"], row["secret"]) for row in rows if row["is_secret"]}
+    assert set(enumerate(FORMS)) | {(4, "p@ss!w0Rd"), (5, "s3cr!tQ7x")} <= taken, [(row["doc_id"], row["secret"], row["score"]) for row in rows]
+
+
+def test_words_are_no_secrets(spark):
+    _, rows = found(spark, ["the password: required", "see usr/share/documents/readme_archive here", "an internationalization of it", "token = null", "the author: somebody else"])
+    assert not [row for row in rows if row["is_secret"]]

@@ -2,7 +2,8 @@
 
 Everything runs on DataFrame functions and the JVM's forest; no Python reaches the executors.
 
-* A candidate is a whole run of letters, digits and ``+ / _ -``, with dots inside (and up to two ``=`` behind), of 16 characters or more with a digit in it.
+* A candidate is a whole run of letters, digits and ``+ / _ -``, with dots inside (and up to two ``=`` behind), of 16 characters or more; or any value of four
+  characters or more, whatever they are, that is assigned to a word for a secret (to the closing quote or white space); or the password of an address.
 * Its features: length; changes between character classes, and which; shares of digits, capitals and hex digits; distinct characters and entropy; dictionary
   coverage (how many characters belong to runs of letters that are words of the corpus, in two documents or more); path marks (slashes in it,
   a slash, dot or at sign beside it); neighbouring words (a word for a secret before it, a word for an identifier or digest before it), an assignment and quotes.
@@ -32,7 +33,18 @@ REPLACEMENT = "[SECRET]"
 
 # Words that stand before secrets, and before identifiers and digests.
 SECRET_WORDS = ("token", "secret", "password", "passwd", "pwd", "api_key", "apikey", "api key", "access_key", "private_key", "auth", "bearer", "credential", "credentials")
-CANDIDATE = rf"(?<![{_RUN}])(?<![{_RUN}]\.)(?=[A-Za-z+/_.-]*+[0-9])(?=(?:[{_RUN}]\.?){{16}})[{_RUN}][.{_RUN}]*[{_RUN}](?:={{1,2}}(?![\w\"']))?"
+# Behind an assignment to a name that ends in a word for a secret, or in one and up to two more parts. The short conditions come first, for speed.
+_KEYED = (
+    r"(?<=[=:>\s\"'])(?<=[=:]>?[ \t]{0,4}[\"']?)(?<=(?i:" + "|".join(SECRET_WORDS) + r")(?:[_-][A-Za-z0-9]{1,16}|)(?:[_-][A-Za-z0-9]{1,16}|)[\"']?[ \t]{0,4}:?[=:]>?[ \t]{0,4}"
+)
+CANDIDATE = "|".join(
+    (
+        _KEYED + r"[\"'])[^\"'\r\n]{4,}(?=[\"'])",
+        _KEYED + r")[^\s\"']{3,}[^\s\"',;.)\]}]",
+        r"(?<=:)(?<=://[^\s/:@]{1,64}:)[^\s/@]{4,}(?=@)",
+        rf"(?<![{_RUN}])(?<![{_RUN}]\.)(?=(?:[{_RUN}]\.?){{16}})[{_RUN}][.{_RUN}]*[{_RUN}](?:={{1,2}}(?![\w\"']))?",
+    )
+)
 OTHER_WORDS = ("commit", "sha1", "sha256", "md5", "checksum", "digest", "uuid", "revision", "build", "version", "card", "phone", "order", "invoice", "account", "number", "isbn", "example")
 # Labelled findings, with the place of the value. h: 40 hex digits, b: 32 of 64 characters, d: 16 decimal digits,
 # u: a UUID, w: words of letters with a number, y: words of letters, v: one word, p: 8 to 15 characters of all kinds, l: 20 letters, j: three dotted parts,
