@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
-from weirwalk.llm.secret_forest import rule_labels, scan_secrets, with_features
+from weirwalk.llm import secret_forest
+from weirwalk.llm.secret_forest import rule_labels, scan_secrets, template_findings, with_features
 
 JWT = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5N_XgL0n3I9PlFUP0THsR8U"
 B32 = "wJalrXUtnFEMI7K7MDENG3bPxRfiCYqk"
@@ -42,3 +43,10 @@ def test_short_odd_and_digitless_secrets_are_scored(spark):
 def test_words_are_no_secrets(spark):
     _, rows = found(spark, ["the password: required", "see usr/share/documents/readme_archive here", "an internationalization of it", "token = null", "the author: somebody else"])
     assert not [row for row in rows if row["is_secret"]]
+
+
+def test_copies_teach_once(spark, monkeypatch):
+    taught, fit = [], secret_forest.fit_forest
+    monkeypatch.setattr(secret_forest, "fit_forest", lambda labelled: taught.append(labelled.count()) or fit(labelled))
+    found(spark, [f'token = "{B32}"'] * 5 + [f'token = "{B32[::-1]}"'])
+    assert taught == [template_findings(spark).count() + 2]

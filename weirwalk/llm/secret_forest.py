@@ -25,7 +25,7 @@ _RUN = "A-Za-z0-9+/_-"
 BEFORE, BEHIND = 48, 16
 ACCEPTED_FROM = 0.5
 TREES, DEPTH = 24, 6
-#: The most labelled findings of the corpus, of each label; those with the smallest hash are taken.
+#: The most different labelled findings of the corpus, of each label; those with the smallest hash are taken.
 LABELLED_ROWS = 2000
 #: Findings that each template is filled into.
 PER_TEMPLATE = 60
@@ -194,7 +194,7 @@ def scan_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", label
     taught = with_features(taught.withColumn("id", F.monotonically_increasing_id()), words).select(*_FEATURES, "label")
     ruled = featured.withColumn("label", rule_labels()).filter("label IS NOT NULL")
     for label in (0, 1):
-        sample = ruled.filter(F.col("label") == label).orderBy(F.xxhash64("secret", "before", "behind"), "secret", "before", "behind").limit(LABELLED_ROWS)
+        sample = ruled.filter(F.col("label") == label).dropDuplicates(["secret", "before", "behind"]).orderBy(F.xxhash64("secret", "before", "behind"), "secret", "before", "behind").limit(LABELLED_ROWS)
         taught = taught.unionByName(sample.select(*_FEATURES, "label"))
     forest = fit_forest(stored(taught))
     scored = forest.transform(VectorAssembler(inputCols=_FEATURES, outputCol="features", handleInvalid="keep").transform(featured))
