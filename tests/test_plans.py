@@ -27,11 +27,18 @@ def stored(spark, small_dir, tmp_path_factory):
 
 
 @pytest.fixture()
-def no_broadcast(spark):
+def whole_names(spark):
+    """Plans print their filters in full."""
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    yield
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+@pytest.fixture()
+def no_broadcast(spark, whole_names):
     keys = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.enabled": "false",
-        "spark.sql.maxMetadataStringLength": "100000",
     }
     for key, value in keys.items():
         spark.conf.set(key, value)
@@ -52,7 +59,7 @@ def test_each_input_is_shuffled_once(stored, no_broadcast):
     assert "Cartesian" not in plan and "NestedLoop" not in plan and "Python" not in plan
 
 
-def test_a_run_reads_only_its_species_group_and_sources(spark, stored, tmp_path):
+def test_a_run_reads_only_its_species_group_and_sources(spark, stored, tmp_path, whole_names):
     detections, tagging, passage = stored
     path = str(tmp_path / "partitioned")
     detections.write.partitionBy("species_group", "source").parquet(path)

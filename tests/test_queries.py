@@ -1,16 +1,19 @@
-"""Every query against its SQL, and the whole run again on more data."""
+"""Every query of the library against its SQL, and the whole run again on more data."""
 
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from checks.compare import duckdb_tables, spark_rows, sql_rows
+from checks.queries import BATCH_QUERIES, FIRST_RELEASE_BATCH, QUERIES
+from checks.sql_operators import statements
 from tests.conftest import TESTDATA
 
-QUERIES, SQL = queries(), oracle_sql()
+SQL = statements(BATCH_QUERIES, FIRST_RELEASE_BATCH)
 
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(queries()) and set(SQL) <= set(oracle_sql()) <= set(queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
