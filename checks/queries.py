@@ -8,14 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weirwalk import fixed_values as fv
+from weirwalk import schema
 from weirwalk.functions import predicates as p
 from weirwalk.operators import aggregates, joins, sets, state
 from weirwalk.operators.aggregates import SOURCE_TAG, TAG
 from weirwalk.plans.batches import APPENDS, BATCH_NAMES
 from weirwalk.plans.populations import run_batches, select_populations
 from weirwalk.plans.wide import population_table
+from weirwalk.sources import detection_store, exports, publish
 from weirwalk.sources import driver_tables as source
+from weirwalk.sources import tables as logical
 from weirwalk.sources.driver_tables import Tables, tables
+from weirwalk.sources.folders import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -124,6 +128,149 @@ def population_params(t: Tables) -> DataFrame:
     return tags.join(known, ["basin", "run"]).select(*columns, "n_tags")
 
 
+# Stored detections, exported tables, published versions
+
+
+def _on_store(name: str) -> Callable:
+    """Register a query of the detections as the detection store gives them back."""
+
+    def register(query: Callable[[DataFrame], DataFrame]) -> Callable:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            path = scratch_dir(spark)
+            detection_store.write_detections(source.detections(spark, sf_dir), path)
+            return query(detection_store.read_detections(spark, path))
+
+        QUERIES[name] = run
+        return query
+
+    return register
+
+
+@_on_store("store_round_trip")
+def store_round_trip(det: DataFrame) -> DataFrame:
+    return det
+
+
+@_on_store("stored_site_set")
+def stored_site_set(det: DataFrame) -> DataFrame:
+    return filter_site_set(det)
+
+
+@_on_store("stored_site_equal")
+def stored_site_equal(det: DataFrame) -> DataFrame:
+    return filter_site_equal(det)
+
+
+@_on_store("stored_last_obs_mcn")
+def stored_last_obs_mcn(det: DataFrame) -> DataFrame:
+    return aggregates.last_obs(_main(det), MCN_SITES)
+
+
+@_on_store("stored_last_obs_in_season")
+def stored_last_obs_in_season(det: DataFrame) -> DataFrame:
+    return last_obs_in_season(det)
+
+
+@_on_store("stored_last_obs_by_source")
+def stored_last_obs_by_source(det: DataFrame) -> DataFrame:
+    return last_obs_by_source(det)
+
+
+def _exported_passage(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The start state as 36 stored tables, with flags as text and species spelled in several ways."""
+    path = scratch_dir(spark)
+    logical.write_passage(source.passage(spark, sf_dir), path)
+    passage = logical.read_passage(spark, path)
+    odd = (F.substring("Tag Code", -2, 2).cast("int") % 4 == 1) & (F.col("Spp") != "Coho")
+    spelled = F.when(odd, F.upper("Spp")).otherwise(F.concat(F.lit(" "), "Spp"))
+    found = {}
+    for population in fv.POPULATIONS:
+        for dam in fv.DAMS:
+            table = exports.PassageTable(population.basin, population.run, dam)
+            rows = exports.passage_to_export(passage, table)
+            rows = rows.withColumn(dam, F.concat(F.col(dam).cast("string"), F.lit(" ")))
+            if dam != "LGR":
+                day = F.date_format("Release_Date", exports.EXPORT_DATES[0])
+                rows = rows.withColumns({"Spp": spelled, "Release_Date": day})
+                rows = rows.withColumnRenamed("Tag Code", "tag code").withColumn("Remark", F.lit("by hand"))
+            found[table.name] = rows
+    return found
+
+
+def ingest_passage_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exports.passage_from_exports(_exported_passage(spark, sf_dir))
+
+
+QUERIES["ingest_passage_export"] = ingest_passage_export
+
+
+def _tagging_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main tagging table as exported: dates in three formats, some in none, some tags missing."""
+    number = F.substring("tag_code", 2, 20).cast("long")
+    day = F.date_format("release_date", "MM/dd/yyyy")
+    written = (
+        F.when(number % 12 == 3, F.concat(F.lit("week "), (number % 53).cast("string")))
+        .when(number % 4 == 1, F.date_format("release_date", "MMddyyyy"))
+        .when(number % 4 == 2, F.date_format("release_date", "yyyy-MM-dd"))
+        .otherwise(F.concat(F.lit(" "), day))
+    )
+    return _main(source.tagging(spark, sf_dir)).select(
+        F.when(number % 97 != 5, F.col("tag_code")).alias("Tag Code"),
+        F.col("run_name").alias("Run Name"),
+        written.alias("Release Date MMDDYYYY"),
+        F.col("age").alias("Age"),
+    )
+
+
+def ingest_tagging_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    export = _tagging_export(spark, sf_dir)
+    rows, _ = exports.ingest_export(export, schema.TAGGING, fv.MAIN, None)
+    return rows
+
+
+def ingest_tagging_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What was observed while the export was written as a logical table."""
+    export = _tagging_export(spark, sf_dir)
+    rows, counts = exports.ingest_export(export, schema.TAGGING, fv.MAIN, None)
+    rows.write.parquet(scratch_dir(spark))
+    return spark.createDataFrame([counts.get])
+
+
+def ingest_detections_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of the main detections of one species group, on their way into the detection store."""
+    spelled = {name: exported for exported, name in exports.EXPORT_COLUMNS.items()}
+    det = _main(source.detections(spark, sf_dir)).filter(F.col("species_group") == "CHK")
+    time = F.date_format("obs_time", "yyyy-MM-dd HH:mm:ss")
+    number = F.substring("tag_code", 2, 20).cast("long")
+    det = det.withColumn("obs_time", F.when(number % 50 != 7, time).otherwise("at dawn"))
+    site = F.when(number % 30 == 1, "TWX - Estuary Towed Array").otherwise(F.col("site_name"))
+    det = det.withColumn("site_name", site).drop("source", "species_group")
+    rows, counts = exports.ingest_export(
+        det.withColumnsRenamed(spelled), schema.DETECTIONS, fv.MAIN, "CHK"
+    )
+    rows.write.parquet(scratch_dir(spark))
+    return spark.createDataFrame([counts.get])
+
+
+QUERIES["ingest_tagging_export"] = ingest_tagging_export
+QUERIES["ingest_tagging_counts"] = ingest_tagging_counts
+QUERIES["ingest_detections_counts"] = ingest_detections_counts
+
+
+def sink_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The start state published, a run from it published over it, and that read back."""
+    t, root = tables(spark, sf_dir), scratch_dir(spark)
+    first = publish.publish_passage(t.passage, root)
+    start = publish.read_published(spark, root)
+    filled = run_batches(t.detections, t.tagging, start)
+    lgr = start.filter(F.col("dam") == "LGR")
+    publish.publish_passage(lgr.unionByName(filled), root, based_on=first)
+    return publish.read_published(spark, root)
+
+
+QUERIES["sink_round_trip"] = sink_round_trip
+
+
 # Predicates and projections
 
 

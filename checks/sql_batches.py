@@ -345,11 +345,11 @@ def batch_sql(name: str, where: str = "true") -> str:
     return statement(f"SELECT {COLUMNS} FROM {state} WHERE {where}", chain.ctes)
 
 
-def history_sql(where: str = "true") -> str:
-    """The three filled tables after all batches."""
+def history_sql(where: str = "true", dams: tuple[str, ...] = ("LGS", "LMN", "MCN")) -> str:
+    """The tables of the checkpoints, by default the three filled ones, after all batches."""
     chain = chain_to("C15")
     parts = [
         f"SELECT {COLUMNS}, '{dam}' AS dam FROM {chain.state(dam)} WHERE {where}"
-        for dam in ("LGS", "LMN", "MCN")
+        for dam in dams
     ]
     return statement(" UNION ALL ".join(parts), chain.ctes)

@@ -114,6 +114,16 @@ SELECT o_orderkey AS k,
        o_orderdate AS release_date,
        CASE WHEN o_orderstatus = 'F' THEN 'Subyearling' ELSE 'Yearling+' END AS age
 FROM orders""",
+    ),
+    # Who is listed in which source: everyone in one, some of the Snake in the next ones too.
+    (
+        "listed",
+        """
+SELECT f.* REPLACE (['main', 'lgr_release', 'lgs_release', 'lmn_release'][(own + copy) % 4 + 1] AS source),
+       copy
+FROM (SELECT *, CASE source WHEN 'main' THEN 0 WHEN 'lgr_release' THEN 1 WHEN 'lgs_release' THEN 2
+                ELSE 3 END AS own FROM fish) f, (VALUES (0), (1), (2)) AS c(copy)
+WHERE copy = 0 OR (basin = 'snake' AND (k // 7) % 16 = 3 AND (copy = 1 OR (k // 7) % 32 = 3))""",
     ),
     (
         "detections",
@@ -121,33 +131,49 @@ FROM orders""",
 SELECT tag_code, species_group, source, migration_year,
        CASE l_partkey % 12 {_SITE} WHEN 10 THEN 'AFF - Upper ADULT Fishway'
             ELSE 'LDR - East Ladder' END AS site_name,
-       CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 'SAMPLE ROOM'
-            WHEN l_returnflag = 'A' AND l_linestatus = 'F' THEN 'East Raceway 3'
+       CASE WHEN copy = 0 AND l_returnflag = 'R' AND l_linestatus = 'F' THEN 'SAMPLE ROOM'
+            WHEN copy = 0 AND l_returnflag = 'A' AND l_linestatus = 'F' THEN 'East Raceway 3'
             ELSE 'RIVER EXIT' END AS antenna_group,
        make_timestamp(year(l_shipdate), 4, 1, 0, 0, 0.0)
          + to_days(CAST(dayofyear(l_shipdate) % 100 AS INTEGER))
-         + to_hours(l_linenumber) AS obs_time
-FROM lineitem JOIN fish ON l_orderkey = k""",
+         + to_hours(l_linenumber)
+         + to_days(CAST(copy * CASE WHEN l_linenumber % 2 = 1 THEN 2 ELSE -2 END AS INTEGER)) AS obs_time
+FROM lineitem JOIN listed ON l_orderkey = k
+WHERE copy = 0 OR (l_partkey // 12) % 3 <> 0""",
     ),
     (
         "tagging",
         """
-SELECT tag_code, run_name, release_date, age, source,
+SELECT tag_code, CASE WHEN copy > 0 THEN 'Conflict ' || copy ELSE run_name END AS run_name,
+       release_date + to_days(CAST(copy * CASE WHEN k % 2 = 1 THEN 3 ELSE -3 END AS INTEGER)) AS release_date,
+       CASE WHEN copy = 1 THEN CASE age WHEN 'Yearling+' THEN 'Subyearling' ELSE 'Yearling+' END
+            ELSE age END AS age,
+       source,
        CASE WHEN source = 'main' THEN NULL ELSE species_group END AS species_group
-FROM fish""",
+FROM listed""",
     ),
     (
         "passage",
         f"""
 SELECT basin, run, 'LGR' AS dam, tag_code, CAST(NULL AS VARCHAR) AS spp,
+       CAST(NULL AS VARCHAR) AS run_type, CAST(NULL AS TIMESTAMP) AS release_date,
+       CAST(NULL AS TIMESTAMP) AS pass_date, CAST(NULL AS INTEGER) AS upstream,
        CAST(k % 3 AS INTEGER) AS at_dam,
        CASE WHEN k % 3 = 2 THEN 0 WHEN (k // 3) % 5 < 4 THEN 1 ELSE 0 END AS below
 FROM fish
 UNION ALL
 SELECT basin, run, dam, tag_code,
-       CASE WHEN k % 2 = 1 THEN CASE run WHEN 'STH' THEN 'Steelhead' ELSE 'Chinook' END END,
-       NULL, NULL
-FROM fish, (VALUES ('LGS'), ('LMN'), ('MCN')) AS d(dam)
+       CASE WHEN k % 2 = 1 THEN CASE WHEN (k // 12) % 5 = 0 THEN 'Coho' WHEN run = 'STH' THEN 'Steelhead'
+            ELSE 'Chinook' END END,
+       CASE WHEN (k // 12 + place) % 4 <> 0 THEN 'Old run ' || (k // 12) % 3 END,
+       CASE WHEN (k // 12 + place) % 3 <> 0
+            THEN release_date - to_days(CAST((k // 12) % 20 + 5 AS INTEGER)) END,
+       CASE WHEN (k // 12 + place) % 5 > 1
+            THEN release_date + to_days(CAST((k // 12) % 7 AS INTEGER)) + to_hours(place) END,
+       CASE (k // 12 + 2 * place) % 6 WHEN 2 THEN 1 WHEN 3 THEN 0 WHEN 5 THEN 1 END,
+       CASE (k // 12 + 2 * place) % 6 WHEN 2 THEN 0 WHEN 3 THEN 1 WHEN 4 THEN 2 END,
+       CASE (k // 12 + 2 * place) % 6 WHEN 2 THEN 1 WHEN 4 THEN 1 WHEN 5 THEN 0 END
+FROM fish, (VALUES ('LGS', 1), ('LMN', 2), ('MCN', 3)) AS d(dam, place)
 WHERE (dam = 'LGS' AND k % 3 = 1
        AND tag_code IN (SELECT tag_code FROM detections WHERE {at("LGS")}))
    OR (dam = 'LMN' AND k % 4 = 0
@@ -158,9 +184,8 @@ WHERE (dam = 'LGS' AND k % 3 = 1
     (
         "states",
         """
-SELECT p.basin, p.run, p.dam, p.tag_code, p.spp, CAST(NULL AS VARCHAR) AS run_type,
-       CAST(NULL AS TIMESTAMP) AS release_date, CAST(NULL AS TIMESTAMP) AS pass_date,
-       CAST(NULL AS INTEGER) AS upstream, p.at_dam, p.below, q.species_group, q.species
+SELECT p.basin, p.run, p.dam, p.tag_code, p.spp, p.run_type, p.release_date, p.pass_date,
+       p.upstream, p.at_dam, p.below, q.species_group, q.species
 FROM passage p JOIN populations q ON p.basin = q.basin AND p.run = q.run""",
     ),
 ]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.sql_batches import STEPS, batch_sql, history_sql
+from checks.sql_batches import COLUMNS, STEPS, batch_sql, history_sql
 from checks.sql_mapping import ADULT, SPRING, SUMMER, at, below, removed, statement
 from weirwalk import fixed_values as fv
 
@@ -153,16 +153,38 @@ _BODIES = {
     ),
     "merge_removed": _merge("at_dam", "2", _tags(f"source = 'main' AND {removed('LGS')}")),
     "merge_below": _merge("below", "1", _tags(f"source = 'main' AND {below('below_lgs')}")),
-    "merge_pass_date": f"SELECT {ROW}, coalesce(m.last_obs, s.pass_date) AS pass_date "
+    "merge_pass_date": f"SELECT {ROW}, CASE WHEN m.tag_code IS NULL THEN s.pass_date ELSE m.last_obs "
+    "END AS pass_date "
     f"FROM states s LEFT JOIN ({_last('source = ' + chr(39) + 'main' + chr(39) + ' AND ' + at('LGS'))}"
     ") m USING (species_group, tag_code) WHERE dam = 'LGS'",
-    "merge_release_facts": f"SELECT {ROW}, t.run_name AS run_type, t.release_date FROM states s "
-    "LEFT JOIN (SELECT * FROM tagging WHERE source = 'main') t USING (tag_code) WHERE dam = 'LGS'",
+    "merge_release_facts": f"SELECT {ROW}, CASE WHEN t.source IS NULL THEN s.run_type ELSE t.run_name "
+    "END AS run_type, CASE WHEN t.source IS NULL THEN s.release_date ELSE t.release_date END AS release_date "
+    "FROM states s LEFT JOIN (SELECT * FROM tagging WHERE source = 'main') t USING (tag_code) "
+    "WHERE dam = 'LGS'",
     "at_dam_code": f"SELECT {ROW}, CASE WHEN {TAG} IN "
     f"({_tags(f'source = {chr(39)}main{chr(39)} AND ' + removed('LGS'))}) THEN 2 WHEN {TAG} IN "
     f"({_tags(f'source = {chr(39)}main{chr(39)} AND ' + at('LGS'))}) THEN 1 ELSE at_dam END "
     "AS at_dam FROM states WHERE dam = 'LGS'",
 }
+_NUMBER = "CAST(substr(tag_code, 2) AS BIGINT)"
+_EXPORTED = f"SELECT *, {_NUMBER} AS n FROM tagging WHERE source = 'main'"
+_SEEN = f"SELECT *, {_NUMBER} AS n FROM detections WHERE source = 'main' AND species_group = 'CHK'"
+_BODIES |= {
+    "store_round_trip": "SELECT * FROM detections",
+    "stored_site_set": _BODIES["filter_site_set"],
+    "stored_site_equal": _BODIES["filter_site_equal"],
+    "stored_last_obs_mcn": _last(f"source = 'main' AND {at('MCN')}"),
+    "stored_last_obs_in_season": _BODIES["last_obs_in_season"],
+    "stored_last_obs_by_source": _BODIES["last_obs_by_source"],
+    "ingest_passage_export": f"SELECT {COLUMNS}, dam FROM states",
+    "ingest_tagging_export": "SELECT tag_code, run_name, CASE WHEN n % 12 <> 3 THEN release_date END AS "
+    "release_date, age, source, species_group, CASE WHEN n % 12 = 3 THEN 'week ' || n % 53 END AS "
+    f"release_date_raw FROM ({_EXPORTED}) WHERE n % 97 <> 5",
+    "ingest_tagging_counts": "SELECT count(*) AS n_rows, count(*) FILTER (n % 97 = 5) AS n_rejected, "
+    f"count(*) FILTER (n % 97 <> 5 AND n % 12 = 3) AS n_unread_release_date FROM ({_EXPORTED})",
+    "ingest_detections_counts": "SELECT count(*) AS n_rows, 0 AS n_rejected, count(*) FILTER (n % 50 = 7) "
+    f"AS n_unread_obs_time, count(*) FILTER (n % 30 = 1) AS n_unknown_site FROM ({_SEEN})",
+}
 for _below in fv.BELOW_ORD:
     _BODIES[f"detected_{_below}"] = (
         f"SELECT DISTINCT {SOURCE_TAGS} FROM detections WHERE {below(_below)}"
@@ -186,4 +208,5 @@ def statements(batch_queries: dict[str, str], first_release_batch: str) -> dict[
         found[f"history_tributary_{run.lower()}"] = history_sql(f"{tributary} AND run = '{run}'")
         found[f"history_snake_{run.lower()}"] = history_sql(f"{snake} AND run = '{run}'")
     found["history_all_populations"] = history_sql()
+    found["sink_round_trip"] = history_sql(dams=("LGR", "LGS", "LMN", "MCN"))
     return found

@@ -5,7 +5,6 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tests.rows import GOJ, day, detection, frames, state, tagged
-from weirwalk import schema
 from weirwalk.plans.populations import run_batches, select_populations
 from weirwalk.sources import tables
 
@@ -47,26 +46,3 @@ def test_write_is_read_back_and_never_replaces(spark, tmp_path):
     assert back.filter(F.col("run") == "CH1").count() == 2
     with pytest.raises(PySparkException):
         tables.write_passage(passage, path)
-
-
-def test_exported_names(spark):
-    rows = spark.createDataFrame(
-        [("T1", GOJ, "RIVER EXIT", day(5, 1), 2014)],
-        "`Tag Code` string, `Site Name` string, `Antenna Group Name` string, "
-        "`Obs Time Value` timestamp_ntz, `Migration Year YYYY` int",
-    )
-    named = tables.from_export(rows, schema.DETECTIONS, "lgr_release", "CHK")
-    assert named.columns == schema.DETECTIONS.fieldNames()
-    assert (named.first()["source"], named.first()["tag_code"]) == ("lgr_release", "T1")
-
-
-def test_export_dates_tags_and_sites(spark):
-    rows = [("T1", "04/24/2014"), ("T2", "04242014"), ("T3", "2014-04-24"), ("T4", "soon"), ("T5", None)]
-    export = spark.createDataFrame(rows, "`Tag Code` string, `Release Date MMDDYYYY` string")
-    got = tables.from_export(export, schema.TAGGING, "main", None).orderBy("tag_code").collect()
-    assert [r["release_date"] and r["release_date"].date().isoformat() for r in got] == ["2014-04-24"] * 3 + [None] * 2
-    seen = spark.createDataFrame([("T1", f" {GOJ} "), (None, GOJ)], "`Tag Code` string, `Site Name` string")
-    detections = tables.from_export(seen, schema.DETECTIONS, "main", "CHK")
-    assert detections.first()["site_name"] == GOJ
-    with pytest.raises(PySparkException, match="must not be NULL"):
-        detections.collect()

@@ -100,7 +100,7 @@ def _marks(ord_: Column, dam_number: Column, source_number: Column) -> Column:
     return here.bitwiseOR(removed) * F.element_at(shifts, source_number)
 
 
-def _number_of(column: str, names: Iterable[str]) -> Column:
+def number_in(column: str, names: Iterable[str]) -> Column:
     """Position of the value in the list, counted from 1; NULL when it is not there."""
     pairs = ", ".join(f"'{name}', {i}" for i, name in enumerate(names, start=1))
     return F.expr(f"try_element_at(map({pairs}), {column})")
@@ -121,8 +121,8 @@ def tag_features(detections: DataFrame, keys: DataFrame | None = None) -> DataFr
         detections.withColumn("source", known_source())
         .withColumns(
             {
-                "ord": _number_of("site_name", [name for _, _, name, _ in fv.SITES]),
-                "source_number": _number_of("source", fv.SOURCES),
+                "ord": number_in("site_name", [name for _, _, name, _ in fv.SITES]),
+                "source_number": number_in("source", fv.SOURCES),
             }
         )
         .filter(ord_.isNotNull() | adult_return())

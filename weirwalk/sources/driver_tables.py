@@ -21,11 +21,18 @@ LADDER_SITE = "LDR - East Ladder"
 BASINS = ("clearwater", "salmon", "snake")
 RUNS = ("CH0", "CH1", "STH")
 
+# Run names and flags (upstream, at the checkpoint, below; -1 is none) of an earlier run.
+OLD_RUNS = ("Old run 0", "Old run 1", "Old run 2")
+OLD_FLAGS = ((-1, -1, 1, 0, -1, 1), (-1, -1, 0, 1, 2, -1), (-1, -1, 1, -1, 1, 0))
+
 # The columns of the driver tables that are mapped; the schema spares reading footers.
 ORDERS = (
     "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
     "o_orderdate timestamp_ntz, o_orderpriority string"
 )
+# Every so many-th block of keys of the Snake is tagged and seen in two sources,
+# every second of them in three.
+SHARED_BLOCK, SHARED_EVERY, SHARED_AT = 7, 16, 3
 LINEITEM = (
     "l_orderkey bigint, l_partkey bigint, l_linenumber int, "
     "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
@@ -41,7 +48,7 @@ class Tables:
     passage: DataFrame
 
 
-def _pick(index: Column, values: tuple[str, ...]) -> Column:
+def _pick(index: Column, values: tuple[str | int, ...]) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
 
 
@@ -78,11 +85,24 @@ def _individuals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _in_all_sources(fish: DataFrame) -> DataFrame:
+    """The individuals once for each source that lists them: ``copy`` 0 is their own, 1 and 2 the next ones."""
+    block = F.expr(f"key div {SHARED_BLOCK}")
+    copies = F.when(F.col("basin") != "snake", 0).when(block % SHARED_EVERY != SHARED_AT, 0)
+    copies = copies.when(block % (2 * SHARED_EVERY) == SHARED_AT, 2).otherwise(1)
+    own = F.array_position(F.array(*[F.lit(s) for s in fv.SOURCES]), F.col("source")) - 1
+    return fish.withColumn("copy", F.explode(F.sequence(F.lit(0), copies))).withColumn(
+        "source", _pick((own + F.col("copy")) % len(fv.SOURCES), fv.SOURCES)
+    )
+
+
 def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as detections."""
     flag, status = F.col("l_returnflag"), F.col("l_linestatus")
+    # Other sources saw the individual at other times, at some of the sites, and never removed it.
     antenna = (
-        F.when((flag == "R") & (status == "F"), "SAMPLE ROOM")
+        F.when(F.col("copy") > 0, "RIVER EXIT")
+        .when((flag == "R") & (status == "F"), "SAMPLE ROOM")
         .when((flag == "A") & (status == "F"), "East Raceway 3")
         .otherwise("RIVER EXIT")
     )
@@ -91,16 +111,20 @@ def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
     shift = F.make_dt_interval(F.dayofyear("l_shipdate") % 100, F.col("l_linenumber"))
     lines = _line_items(spark, sf_dir).select(
         F.col("l_orderkey").alias("key"),
+        "l_returnflag",
+        "l_linestatus",
         "site_name",
-        antenna.alias("antenna_group"),
         (april + shift).alias("obs_time"),
+        F.when(F.col("l_linenumber") % 2 == 1, 2).otherwise(-2).alias("days"),
+        (F.expr("l_partkey div 12") % 3 != 0).alias("copied"),
     )
-    fish = _individuals(spark, sf_dir).select("key", "migration_year", "source", "species_group")
-    rows = lines.join(fish, "key").select(
+    fish = _in_all_sources(_individuals(spark, sf_dir))
+    fish = fish.select("key", "migration_year", "source", "species_group", "copy")
+    rows = lines.join(fish, "key").filter((F.col("copy") == 0) | F.col("copied")).select(
         tag_code(F.col("key")).alias("tag_code"),
         "site_name",
-        "antenna_group",
-        "obs_time",
+        antenna.alias("antenna_group"),
+        (F.col("obs_time") + F.make_dt_interval(F.col("days") * F.col("copy"))).alias("obs_time"),
         "migration_year",
         "source",
         "species_group",
@@ -109,13 +133,17 @@ def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tagging(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as tagging facts. The main source serves every species."""
+    """Orders as tagging facts. The main source serves every species; sources contradict each other."""
     group = F.when(F.col("source") != fv.MAIN, F.col("species_group"))
-    rows = _individuals(spark, sf_dir).select(
+    copy = F.col("copy")
+    days = F.when(F.col("key") % 2 == 1, 3).otherwise(-3)
+    other_age = F.when(F.col("age") == "Yearling+", "Subyearling").otherwise("Yearling+")
+    name = F.concat(F.lit("Conflict "), copy.cast("string"))
+    rows = _in_all_sources(_individuals(spark, sf_dir)).select(
         tag_code(F.col("key")).alias("tag_code"),
-        "run_name",
-        "release_date",
-        "age",
+        F.when(copy > 0, name).otherwise(F.col("run_name")).alias("run_name"),
+        (F.col("release_date") + F.make_dt_interval(days * copy)).alias("release_date"),
+        F.when(copy == 1, other_age).otherwise(F.col("age")).alias("age"),
         "source",
         group.alias("species_group"),
     )
@@ -123,7 +151,11 @@ def tagging(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def passage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as the start state of the passage tables of all four checkpoints."""
+    """Orders as the start state of the passage tables of all four checkpoints.
+
+    Rows of the three lower checkpoints hold values of an earlier run: names, dates
+    and flags, any of them missing in some rows.
+    """
     seen = (
         _line_items(spark, sf_dir)
         .filter(any_of([at_dam(d) for d in fv.FILLED_DAMS]))
@@ -131,37 +163,50 @@ def passage(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(*[F.bool_or(at_dam(d)).alias(d) for d in fv.FILLED_DAMS])
     )
     key = F.col("key")
-    fish = _individuals(spark, sf_dir).select("key", "basin", "run")
+    fish = _individuals(spark, sf_dir).select("key", "basin", "run", F.col("release_date").alias("day"))
     at_lgr = (key % 3).cast("int")
     below = F.when((key % 3 != 2) & (F.expr("key div 3") % 5 < 4), 1).otherwise(0)
-    none = F.lit(None).cast("int")
     spp = F.when(F.col("run") == "STH", "Steelhead").otherwise("Chinook")
+    spp = F.when(F.expr("key div 12") % 5 == 0, "Coho").otherwise(spp)
     spp = F.when((key % 2 == 1) & (F.col("dam") != "LGR"), spp)
 
-    def entry(dam: str, at: Column, under: Column) -> Column:
-        return F.struct(F.lit(dam).alias("dam"), at.alias("at_dam"), under.alias("below"))
+    def entry(dam: str, up: Column, at: Column, under: Column) -> Column:
+        place = F.lit(fv.DAMS.index(dam)).alias("place")
+        flags = (up.alias("upstream"), at.alias("at_dam"), under.alias("below"))
+        return F.struct(F.lit(dam).alias("dam"), place, *flags)
 
+    def old(dam: str) -> Column:
+        """Flags of an earlier run, by the key and the checkpoint."""
+        turn = (F.expr("key div 12") + 2 * fv.DAMS.index(dam)) % 6
+        flags = [_pick(turn, values) for values in OLD_FLAGS]
+        return entry(dam, *[F.nullif(flag, F.lit(-1)) for flag in flags])
+
+    none = F.lit(None).cast("int")
     entries = F.array(
-        entry("LGR", at_lgr, below),
-        F.when(F.col("LGS") & (key % 3 == 1), entry("LGS", none, none)),
-        F.when(F.col("LMN") & (key % 4 == 0), entry("LMN", none, none)),
-        F.when(F.col("MCN") & (key % 5 == 0), entry("MCN", none, none)),
+        entry("LGR", none, at_lgr, below),
+        F.when(F.col("LGS") & (key % 3 == 1), old("LGS")),
+        F.when(F.col("LMN") & (key % 4 == 0), old("LMN")),
+        F.when(F.col("MCN") & (key % 5 == 0), old("MCN")),
     )
+    block, place = F.expr("key div 12"), F.col("place")
+    turn, lower = block + place, place > 0
+    older = F.col("day") - F.make_dt_interval((block % 20 + 5).cast("int"))
+    later = F.col("day") + F.make_dt_interval((block % 7).cast("int"), place)
     rows = (
         fish.join(seen, "key", "left")
-        .select("key", "basin", "run", F.explode(entries).alias("entry"))
+        .select("key", "basin", "run", "day", F.explode(entries).alias("entry"))
         .filter(F.col("entry").isNotNull())
-        .select("key", "basin", "run", "entry.*")
+        .select("key", "basin", "run", "day", "entry.*")
         .select(
             "basin",
             "run",
             "dam",
             tag_code(key).alias("tag_code"),
             spp.alias("spp"),
-            F.lit(None).cast("string").alias("run_type"),
-            F.lit(None).cast("timestamp_ntz").alias("release_date"),
-            F.lit(None).cast("timestamp_ntz").alias("pass_date"),
-            none.alias("upstream"),
+            F.when(lower & (turn % 4 != 0), _pick(block % 3, OLD_RUNS)).alias("run_type"),
+            F.when(lower & (turn % 3 != 0), older).alias("release_date"),
+            F.when(lower & (turn % 5 > 1), later).alias("pass_date"),
+            "upstream",
             "at_dam",
             "below",
         )

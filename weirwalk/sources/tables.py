@@ -1,61 +1,16 @@
-"""Readers and ingest checks for the three logical tables, and the passage sink."""
+"""Readers and ingest checks for the three logical tables, and the passage sink.
+
+Detections are best kept in ``sources.detection_store``; exported tables are read by
+``sources.exports``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from weirwalk import schema
 
-# Column names as the detection and tagging exports spell them.
-EXPORT_COLUMNS = {
-    "Tag Code": "tag_code",
-    "Site Name": "site_name",
-    "Antenna Group Name": "antenna_group",
-    "Obs Time Value": "obs_time",
-    "Migration Year YYYY": "migration_year",
-    "Run Name": "run_name",
-    "Release Date MMDDYYYY": "release_date",
-    "Age": "age",
-}
-
-
-# How exports write dates, beside what a cast reads.
-EXPORT_DATES = ("MM/dd/yyyy", "MMddyyyy")
-
-
-def exported_date(column: str) -> Column:
-    """A timestamp column as it is, or text in one of the exports' formats; NULL if none fits."""
-    text = F.col(column).cast("string")
-    read = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in EXPORT_DATES]
-    return F.coalesce(*read, F.expr(f"try_cast(`{column}` AS timestamp_ntz)"))
-
-
-def from_export(
-    rows: DataFrame, table: T.StructType, source: str, species_group: str | None
-) -> DataFrame:
-    """An exported detection or tagging table under the logical column names.
-
-    The export holds one source of one species group; both become columns. Tags are
-    checked and sites trimmed as in the readers; a date in no known format is NULL.
-    """
-    named = rows.withColumnsRenamed(EXPORT_COLUMNS).withColumns(
-        {"source": F.lit(source), "species_group": F.lit(species_group).cast("string")}
-    )
-    have = set(named.columns)
-
-    def value(field: T.StructField) -> Column:
-        if field.name not in have:
-            return F.lit(None)
-        if isinstance(field.dataType, T.TimestampNTZType):
-            return exported_date(field.name)
-        if field.name == "tag_code":
-            return required("tag_code")
-        return F.trim(field.name) if field.name == "site_name" else F.col(field.name)
-
-    return named.select(*[value(f).cast(f.dataType).alias(f.name) for f in table.fields])
-
 
 def required(column: str) -> Column:
     """The column, failing the job on the first NULL."""
@@ -82,6 +37,7 @@ def checked_passage(rows: DataFrame) -> DataFrame:
 
 
 def read_detections(spark: SparkSession, path: str) -> DataFrame:
+    """Detections from any Parquet files; sites are trimmed here, so filters on them are not pushed."""
     return checked_detections(spark.read.schema(schema.DETECTIONS).parquet(path))
 
 
