@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weirwalk import fixed_values as fv
-from weirwalk.plans.batches import BATCH_NAMES
+from weirwalk.plans.batches import BATCH_NAMES, needs
 from weirwalk.plans.populations import run_batches, select_populations
 from weirwalk.sources import driver_tables, tables
 
@@ -148,3 +148,39 @@ def test_a_tag_with_most_detections_leaves_each_task_as_one_row(spark, stored):
     hot = detections.filter(F.col("tag_code") == tag).crossJoin(spark.range(5000)).drop("id")
     same = run_batches(detections.unionByName(hot), tagging, passage)
     assert same.exceptAll(run_batches(*stored)).isEmpty()
+
+
+def _scans(plan, name):
+    return len(re.findall(rf"FileScan parquet [^\n]*/{name}[\],]", plan))
+
+
+def test_each_input_is_scanned_once(stored, no_broadcast):
+    plan = _plan(run_batches(*stored))
+    assert [_scans(plan, n) for n in ("detections", "tagging", "passage")] == [1, 1, 1]
+    assert len(re.findall("FullOuter", plan)) == 1
+
+
+@pytest.mark.parametrize("last", ["C01", "C03", "C05"])
+def test_appends_of_the_main_source_read_no_tagging(stored, no_broadcast, last):
+    names, dam = BATCH_NAMES[: BATCH_NAMES.index(last) + 1], {"C01": "LGS", "C03": "LMN", "C05": "MCN"}[last]
+    plan = _plan(run_batches(*stored, batches=names, dams=(dam,), added=True))
+    assert [_scans(plan, n) for n in ("detections", "tagging", "passage")] == [1, 0, 1]
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 2
+    assert re.search(r"PushedFilters: [^\n]*EqualTo\(source,main\)", plan)
+
+
+def test_what_a_table_depends_on():
+    assert needs(dams=("LGS",)).batches == ("C01", "C02", "C11")
+    assert needs(dams=("LMN",)).batches == ("C01", "C02", "C03", "C04", "C07", "C08", "C11", "C14")
+    assert needs().batches == BATCH_NAMES and needs().sources == fv.SOURCES
+    early = needs(BATCH_NAMES[:6])
+    assert (early.sources, early.ages, early.facts) == ((fv.MAIN,), False, True)
+    append = needs(("C07",), ("LMN",))
+    assert (append.sources, append.ages, append.facts) == ((fv.MAIN, fv.LGR_RELEASE), True, False)
+
+
+def test_fewer_tables_are_a_part_of_all(stored):
+    for dam in fv.FILLED_DAMS:
+        alone = run_batches(*stored, dams=(dam,))
+        within = run_batches(*stored).filter(F.col("dam") == dam)
+        assert alone.exceptAll(within).isEmpty() and within.exceptAll(alone).isEmpty()

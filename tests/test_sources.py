@@ -19,11 +19,23 @@ def test_null_tag_is_rejected(spark):
     for check, rows in zip(checks, inputs):
         with pytest.raises(PySparkException, match="must not be NULL"):
             check(rows).collect()
-    good = frames(spark, [], [], [])
-    with pytest.raises(PySparkException, match="must not be NULL"):
-        run_batches(tables.checked_detections(inputs[0]), *good[1:], CH1).collect()
-    with pytest.raises(PySparkException, match="must not be NULL"):
-        run_batches(*good[:2], tables.checked_passage(inputs[2]), CH1).collect()
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+@pytest.mark.parametrize("place", [0, 1, 2])
+def test_a_null_tag_fails_a_run_whatever_the_other_inputs_hold(spark, place, adaptive):
+    """Also on tables that no reader has checked, and where all other inputs are empty."""
+    rows = [[detection(None, GOJ, day(5, 1))], [tagged(None)], [state(None, "LGR")]]
+    good = [[detection("T1", GOJ, day(5, 1))], [tagged("T1")], [state("T1", "LGR", at_dam=0, below=1)]]
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        for others in ([[], [], []], good):
+            given = [*others[:place], rows[place], *others[place + 1 :]]
+            with pytest.raises(PySparkException, match="must not be NULL"):
+                run_batches(*frames(spark, *given), CH1).collect()
+        assert run_batches(*frames(spark, *good), CH1).count() == 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
 
 
 def test_repeated_tag_is_rejected(spark):

@@ -106,19 +106,18 @@ def number_in(column: str, names: Iterable[str]) -> Column:
     return F.expr(f"try_element_at(map({pairs}), {column})")
 
 
-def tag_features(detections: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+def tag_features(detections: DataFrame) -> DataFrame:
     """One row per (tag_code, species_group): the OR of the marks and the last times.
 
-    Detections that tell nothing are dropped before the shuffle; an unknown source
-    fails the job. ``keys`` adds tags that must have a row even when they were never
-    detected.
+    Detections that tell nothing are dropped before the shuffle; an unknown source and
+    a NULL tag fail the job.
     """
     ord_, source_number = F.col("ord"), F.col("source_number")
     dam_numbers = ", ".join(str(fv.DAMS.index(dam) if dam else 0) for *_, dam in fv.SITES)
     dam_number = F.expr(f"coalesce(element_at(array({dam_numbers}), ord), 0)")
     last = [last_column(source, dam) for source, dam in LAST_OBS]
     rows = (
-        detections.withColumn("source", known_source())
+        detections.withColumns({"source": known_source(), "tag_code": required("tag_code")})
         .withColumns(
             {
                 "ord": number_in("site_name", [name for _, _, name, _ in fv.SITES]),
@@ -141,13 +140,14 @@ def tag_features(detections: DataFrame, keys: DataFrame | None = None) -> DataFr
             ],
         )
     )
-    if keys is not None:
-        keys = keys.select("species_group", "tag_code", F.lit(0).cast("long").alias("marks"))
-        rows = rows.unionByName(keys, allowMissingColumns=True)
-    by_tag = rows.groupBy("tag_code", "species_group").agg(
+    return rows.groupBy("tag_code", "species_group").agg(
         F.bit_or("marks").alias("marks"), *[F.max(c).alias(c) for c in last]
     )
-    return by_tag.withColumn("marks", F.coalesce("marks", F.lit(0).cast("long")))
+
+
+def required(column: str) -> Column:
+    """The column, failing the job on the first NULL."""
+    return F.coalesce(F.col(column), F.raise_error(F.lit(f"{column} must not be NULL")))
 
 
 def known_source() -> Column:

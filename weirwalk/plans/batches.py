@@ -3,7 +3,8 @@
 A batch either appends rows to one checkpoint, fills a checkpoint, or appends
 rows with the history 1-0-1. Batches run in order: each reads the row as the
 earlier ones left it. "Appending" sets the checkpoint's membership; every other
-column of an absent row is NULL already.
+column of an absent row is NULL already. A batch names the checkpoints and the
+sources that it reads, so that a plan can leave out what no wanted table depends on.
 
 The marks of a population without releases show no release source, so the
 release branches need no test of their own and one plan serves all populations.
@@ -17,7 +18,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirwalk.fixed_values import LGR_RELEASE, LGS_RELEASE, LMN_RELEASE, MAIN
+from weirwalk.fixed_values import (
+    FILLED_DAMS,
+    LGR_RELEASE,
+    LGS_RELEASE,
+    LMN_RELEASE,
+    MAIN,
+    SOURCES,
+)
 from weirwalk.functions.features import Fact, has_all, has_any, last_column
 from weirwalk.functions.predicates import any_of
 from weirwalk.plans.wide import FLAGS, UNSET, Facts
@@ -62,13 +70,17 @@ def seen_below(fact: str, sources: tuple[str, ...]) -> Column:
 
 @dataclass(frozen=True)
 class Dated:
-    """One source of pass dates: who qualifies and by which last detection."""
+    """One source of pass dates: who qualifies and by which last detection.
+
+    ``reads`` are the checkpoints whose tables ``among`` looks at.
+    """
 
     dam: str
     source: str = MAIN
     among: Test | None = None
     never_at: str | None = None
     aged: bool = False
+    reads: tuple[str, ...] = ()
 
     def qualifies(self, in_season: bool = False) -> Column:
         needed = [at(self.dam, self.source)]
@@ -91,6 +103,14 @@ class Append:
     dam: str
     dates: tuple[Dated, ...]
 
+    @property
+    def reads(self) -> set[str]:
+        return {dam for d in self.dates for dam in d.reads}
+
+    @property
+    def looks_at(self) -> set[str]:
+        return {d.source for d in self.dates}
+
     def apply(self, wide: DataFrame, last: bool) -> DataFrame:
         tests = [d.qualifies(in_season=True) for d in self.dates]
         if self.dam == "LMN":
@@ -104,6 +124,9 @@ class Append:
 class Fill:
     """Set pass date and flags of a checkpoint's rows; facts follow at the end.
 
+    ``two_reads`` are the checkpoints whose tables ``two`` looks at; ``one`` looks at those
+    of the dates.
+
     ``last`` says that no later fill of the checkpoint runs. The upstream flag is
     left to that one: it sees all rows, and nothing reads the flag before.
     """
@@ -116,6 +139,15 @@ class Fill:
     below: Test
     sources: tuple[str, ...] = ONLY_MAIN
     below_null_to_zero: bool = True
+    two_reads: tuple[str, ...] = ()
+
+    @property
+    def reads(self) -> set[str]:
+        return {dam for d in self.dates for dam in d.reads} | set(self.two_reads)
+
+    @property
+    def looks_at(self) -> set[str]:
+        return {*self.sources, *(d.source for d in self.dates)}
 
     def apply(self, wide: DataFrame, last: bool) -> DataFrame:
         here = F.col(f"in_{self.dam}")
@@ -148,6 +180,14 @@ class History101:
     below_fact: str
     sources: tuple[str, ...]
 
+    @property
+    def reads(self) -> set[str]:
+        return set(self.upstream)
+
+    @property
+    def looks_at(self) -> set[str]:
+        return set(self.sources)
+
     def apply(self, wide: DataFrame, last: bool) -> DataFrame:
         # exists() also splits the generated code here: the batches in one function
         # would pass the 8000 bytecodes beyond which the JVM does not compile it.
@@ -184,7 +224,7 @@ def _enter(wide: DataFrame, batch: Batch, entering: Column) -> DataFrame:
 
 def _from(upstream: str, dam: str) -> Dated:
     """Main-source tags of the upstream table that were seen below it."""
-    return Dated(dam, among=lambda: member(upstream, below=1))
+    return Dated(dam, among=lambda: member(upstream, below=1), reads=(upstream,))
 
 
 def _skipping(never_at: str, dam: str, sources: tuple[str, ...], aged: bool = True) -> list[Dated]:
@@ -206,15 +246,19 @@ def batches(release_mcn_dam: str = "LMN") -> tuple[Batch, ...]:
     ``release_mcn_dam`` is the checkpoint whose readers date the release sources
     of C09 and C10.
     """
-    missed_above = Dated("LGS", among=lambda: member("LGR", at_dam=0, below=1))
+    missed_above = Dated("LGS", among=lambda: member("LGR", at_dam=0, below=1), reads=("LGR",))
     c07 = [
-        Dated("LMN", among=lambda: member("LGR", below=1), never_at="LGS"),
+        Dated("LMN", among=lambda: member("LGR", below=1), never_at="LGS", reads=("LGR",)),
         *_skipping("LGS", "LMN", AND_LGR),
     ]
     c08 = [_from("LGR", "LMN"), *_skipping("LGS", "LMN", AND_LGR)]
     c09 = [_from("LMN", "MCN"), *_skipping("LGS", release_mcn_dam, AND_LGS)]
     c12 = [
-        Dated("MCN", among=lambda: member("LGS", below=1) & ~member("LMN")),
+        Dated(
+            "MCN",
+            among=lambda: member("LGS", below=1) & ~member("LMN"),
+            reads=("LGS", "LMN"),
+        ),
         *_skipping("LMN", "MCN", AND_LMN),
     ]
     c13 = [_from("LGS", "MCN"), *_skipping("LMN", "MCN", AND_LMN, aged=False)]
@@ -232,6 +276,7 @@ def batches(release_mcn_dam: str = "LMN") -> tuple[Batch, ...]:
             dates=(missed_above,),
             one=lambda: member("LGR", at_dam=0, below=1) & kept("LGS"),
             two=lambda: member("LGR", below=1) & removed_in("LGS", ONLY_MAIN),
+            two_reads=("LGR",),
             below=lambda: seen_below("below_lgs", ONLY_MAIN),
         ),
         Append("C03", "LMN", (_from("LGS", "LMN"),)),
@@ -260,6 +305,7 @@ def batches(release_mcn_dam: str = "LMN") -> tuple[Batch, ...]:
             dates=tuple(c08),
             one=c08_one,
             two=lambda: member("LGR", below=1) & removed_in("LMN", AND_LGR),
+            two_reads=("LGR",),
             below=lambda: seen_below("below_lmn", AND_LGR),
             sources=AND_LGR,
         ),
@@ -282,6 +328,7 @@ def batches(release_mcn_dam: str = "LMN") -> tuple[Batch, ...]:
             dates=tuple(c13),
             one=_kept_from("LGS", "MCN", AND_LMN),
             two=lambda: member("LGS", below=1) & removed_in("MCN", AND_LMN),
+            two_reads=("LGS",),
             below=lambda: seen_below("below_mcn", AND_LMN),
             sources=AND_LMN,
         ),
@@ -301,6 +348,38 @@ def _chosen(names: tuple[str, ...], release_mcn_dam: str = "LMN") -> list[Batch]
     return [b for b in batches(release_mcn_dam) if b.name in names]
 
 
+@dataclass(frozen=True)
+class Needs:
+    """What the tables of some checkpoints after some batches depend on."""
+
+    batches: tuple[str, ...]
+    sources: tuple[str, ...]
+    ages: bool
+    facts: bool
+
+
+def needs(
+    names: tuple[str, ...] = BATCH_NAMES,
+    dams: tuple[str, ...] = FILLED_DAMS,
+    release_mcn_dam: str = "LMN",
+) -> Needs:
+    """Backwards from the wanted checkpoints: the batches that write a table which a later
+    batch reads or which is wanted, and the detection sources and tagging columns they use.
+    """
+    chosen, wanted, live = _chosen(names, release_mcn_dam), set(dams), []
+    for batch in reversed(chosen):
+        if batch.dam in wanted:
+            live.insert(0, batch)
+            wanted |= batch.reads
+    looked_at = {MAIN}.union(*[b.looks_at for b in live])
+    return Needs(
+        batches=tuple(b.name for b in live),
+        sources=tuple(s for s in SOURCES if s in looked_at),
+        ages=any(d.aged for b in live for d in getattr(b, "dates", ())),
+        facts=bool(set(facts_written(names)) & set(dams)),
+    )
+
+
 def apply_batches(
     wide: DataFrame, names: tuple[str, ...] = BATCH_NAMES, release_mcn_dam: str = "LMN"
 ) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from weirwalk import fixed_values as fv
 from weirwalk.fixed_values import Population
-from weirwalk.plans.batches import BATCH_NAMES, apply_batches, facts_written
+from weirwalk.plans.batches import BATCH_NAMES, apply_batches, facts_written, needs
 from weirwalk.plans.wide import passage_tables, wide_rows
 
 
@@ -32,7 +32,14 @@ def run_batches(
     added: bool = False,
     release_mcn_dam: str = "LMN",
 ) -> DataFrame:
-    """The passage tables of the given checkpoints after the given batches."""
-    wide = wide_rows(detections, tagging, passage, populations)
-    wide = apply_batches(wide, batches, release_mcn_dam)
+    """The passage tables of the given checkpoints after the given batches.
+
+    Batches that none of these tables depends on are left out, and so are release
+    sources and tagging rows where no batch that stays reads them.
+    """
+    needed = needs(batches, dams, release_mcn_dam)
+    aged = needed.ages and any(p.release_sources and p.age is not None for p in populations)
+    read = tagging if needed.facts or aged else None
+    wide = wide_rows(detections, read, passage, populations, needed.sources)
+    wide = apply_batches(wide, needed.batches, release_mcn_dam)
     return passage_tables(wide, facts_written(batches), dams, added)

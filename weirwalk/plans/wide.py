@@ -1,9 +1,11 @@
 """One row per (population, tag) that carries all the batches read and write.
 
 No batch relates two tags, so once the inputs meet on the tag every batch is a
-column expression. Each input is shuffled once on (tag_code, species_group):
-detections as already combined bit marks, tagging facts as one row per tag, and
-passage rows grouped by tag. The joins between them reuse that partitioning.
+column expression. Each input is read once and shuffled once on (tag_code,
+species_group): detections as already combined bit marks, tagging facts as one row
+per tag, and passage rows. Passage and tagging rows of a tag are grouped together on
+that partitioning, and one full outer join puts the marks beside them: a tag has a
+wide row whichever input it is in, so no input can be left unread and unchecked.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from weirwalk.functions.features import (
     bits,
     known_source,
     last_column,
+    required,
     seen_at_releases,
     tag_features,
 )
@@ -32,6 +35,7 @@ from weirwalk.operators.aggregates import TAG
 # Stands for NULL in a flag while the batches run, so that tests of flags are
 # two-valued. Passage tables never hold it.
 UNSET = -1
+FACTS_TYPE = "struct<release_date: timestamp_ntz, run_name: string>"
 FLAGS = ("upstream", "at_dam", "below")
 
 
@@ -72,6 +76,10 @@ def population_table(spark: SparkSession, populations: tuple[Population, ...]) -
     return spark.createDataFrame(pa.Table.from_pylist(rows, pa.schema(fields)))
 
 
+def _one_of(column: str, values: tuple[str, ...]) -> Column:
+    return F.col(column) == values[0] if len(values) == 1 else F.col(column).isin(list(values))
+
+
 def _groups(populations: tuple[Population, ...]) -> list[str]:
     return sorted({p.species_group for p in populations})
 
@@ -84,22 +92,34 @@ def _of(populations: tuple[Population, ...], rows: DataFrame) -> DataFrame:
     return rows.filter(wanted)
 
 
-def passage_by_tag(
-    passage: DataFrame, known: DataFrame, populations: tuple[Population, ...]
+def states_by_tag(
+    passage: DataFrame,
+    tagging: DataFrame | None,
+    known: DataFrame,
+    populations: tuple[Population, ...],
 ) -> DataFrame:
-    """Passage rows as one row per tag, with a map from population to its checkpoints.
+    """Passage rows, with the tagging facts beside them, as one row per tag.
 
-    Fails on a key that occurs twice at a checkpoint and on an unknown checkpoint.
-    Both groupings and the join to come run on one shuffle and one sort.
+    ``entries`` maps a population to the tag's rows at the checkpoints; the columns of
+    ``tagging_by_tag`` follow. Fails on a NULL tag, on a key that occurs twice at a
+    checkpoint and on an unknown checkpoint. Tagging rows come grouped on the
+    partitioning that the passage rows get, so both groupings need no shuffle of their own.
     """
     known = F.broadcast(known.select("population", "basin", "run", "species_group"))
     unknown = F.raise_error(
         F.concat(F.lit("unknown checkpoint: "), F.coalesce("dam", F.lit("NULL")))
     )
     dam = F.when(F.coalesce(F.col("dam").isin(list(fv.DAMS)), F.lit(False)), F.col("dam"))
-    rows = _of(populations, passage).withColumn("dam", F.coalesce(dam, unknown))
-    rows = rows.join(known, ["basin", "run"]).repartition(*TAG)
-    pivot = []
+    rows = _of(populations, passage).withColumns(
+        {"dam": F.coalesce(dam, unknown), "tag_code": required("tag_code")}
+    )
+    rows = rows.join(known, ["basin", "run"]).drop("basin", "run").repartition(*TAG)
+    facts: list[str] = []
+    if tagging is not None:
+        by_tag = tagging_by_tag(tagging, populations)
+        facts = [c for c in by_tag.columns if c not in TAG]
+        rows = rows.unionByName(by_tag, allowMissingColumns=True)
+    pivot = [F.first(c, ignorenulls=True).alias(c) for c in facts]
     for dam in fv.DAMS:
         values = F.when(F.col("dam") == dam, F.struct(*schema.PASSAGE_VALUES))
         pivot.append(F.first(values, ignorenulls=True).alias(dam))
@@ -109,11 +129,15 @@ def passage_by_tag(
     twice = F.raise_error(F.concat(F.lit("tag repeats in a passage table: "), F.col("tag_code")))
     entry = F.struct(*[_state(dam) for dam in fv.DAMS])
     entry = F.when(most > 1, twice).otherwise(entry)
+    held = F.when(F.col("population").isNotNull(), F.struct("population", entry.alias("entry")))
     # One entry for each population: as many as the configuration has, whatever the data.
     return (
-        by_population.select(*TAG, F.struct("population", entry.alias("entry")).alias("held"))
+        by_population.select(*TAG, *facts, held.alias("held"))
         .groupBy(*TAG)
-        .agg(F.map_from_entries(F.collect_list("held")).alias("entries"))
+        .agg(
+            F.map_from_entries(F.collect_list("held")).alias("entries"),
+            *[F.first(c, ignorenulls=True).alias(c) for c in facts],
+        )
     )
 
 
@@ -137,7 +161,7 @@ def tagging_by_tag(tagging: DataFrame, populations: tuple[Population, ...]) -> D
     facts = F.struct("release_date", "run_name")
     here = {source: F.col("source") == source for source in fv.SOURCES}
     return (
-        tagging.withColumn("source", known_source())
+        tagging.withColumns({"source": known_source(), "tag_code": required("tag_code")})
         .withColumn("species_group", F.explode(group))
         .groupBy(*TAG)
         .agg(
@@ -163,7 +187,8 @@ def _population_ids(populations: tuple[Population, ...]) -> Column:
         if numbers:
             new = F.array(*[F.lit(i) for i in numbers])
             ids = F.when((F.col("species_group") == group) & seen_at_releases(), new).otherwise(ids)
-    return F.array_union(held.cast("array<int>"), ids)
+    # The species group is that of either side of the join, so the condition keeps both sides.
+    return F.when(F.col("species_group").isNotNull(), F.array_union(held.cast("array<int>"), ids))
 
 
 def _held(dam: str) -> list[str]:
@@ -216,31 +241,43 @@ def _facts() -> list[Column]:
     return [F.coalesce(*seen[: i + 1]).alias(f"facts_{s}") for i, s in enumerate(fv.SOURCES)]
 
 
+def _no_facts() -> list[Column]:
+    """The columns of ``tagging_by_tag`` where tagging is not read."""
+    none = [F.lit(None).cast(FACTS_TYPE).alias(f"tagged_{s}") for s in fv.SOURCES]
+    return none + [F.lit(None).cast("array<string>").alias(f"ages_{s}") for s in fv.SOURCES]
+
+
 def wide_rows(
     detections: DataFrame,
-    tagging: DataFrame,
+    tagging: DataFrame | None,
     passage: DataFrame,
     populations: tuple[Population, ...] = fv.POPULATIONS,
+    sources: tuple[str, ...] = fv.SOURCES,
 ) -> DataFrame:
-    """The wide rows of the populations, before any batch."""
+    """The wide rows of the populations, before any batch.
+
+    ``sources`` are the detection sources that will be looked at; without ``tagging``
+    no tag has facts or ages.
+    """
     groups = _groups(populations)
     detections = detections.filter(F.col("species_group").isin(groups))
     if not any(p.release_sources for p in populations):
-        detections = detections.filter(F.col("source") == fv.MAIN)
-        tagging = tagging.filter(F.col("source") == fv.MAIN)
+        sources = (fv.MAIN,)
+        tagging = None if tagging is None else tagging.filter(F.col("source") == fv.MAIN)
+    if sources != fv.SOURCES:
+        detections = detections.filter(_one_of("source", sources))
     known = F.broadcast(population_table(passage.sparkSession, populations))
-    states = passage_by_tag(passage, known, populations)
-    # A tag that was never detected has a row too, where a table of the populations holds it.
-    keys = _of(populations, passage)
-    keys = keys.join(known.select("basin", "run", "species_group"), ["basin", "run"])
     last = [last_column(source, dam) for source, dam in LAST_OBS]
     # Month and day as one number, once per tag and not once per population.
     days = {f"day_{c}": F.month(c) * 100 + F.day(c) for c in last}
+    states = states_by_tag(passage, tagging, known, populations)
+    if tagging is None:
+        states = states.select("*", *_no_facts())
     rows = (
-        tag_features(detections, keys)
+        tag_features(detections)
         .withColumns(days)
-        .join(states, list(TAG), "left")
-        .join(tagging_by_tag(tagging, populations), list(TAG), "left")
+        .join(states, list(TAG), "full_outer")
+        .withColumn("marks", F.coalesce("marks", F.lit(0).cast("long")))
         .withColumn("population", F.explode(_population_ids(populations)))
         .join(known.drop("species_group", "season"), "population")
         .withColumn("entry", F.expr("try_element_at(entries, population)"))

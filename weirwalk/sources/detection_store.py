@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weirwalk import schema
-from weirwalk.functions.features import known_source
-from weirwalk.sources.tables import checked_detections, required
+from weirwalk.functions.features import known_source, required
+from weirwalk.sources.tables import checked_detections
 
 PARTITIONED_BY = ("species_group", "source")
 RANGED_BY = ("site_name", "tag_code", "obs_time")

@@ -18,8 +18,7 @@ from pyspark.sql import types as T
 
 from weirwalk import fixed_values as fv
 from weirwalk import schema
-from weirwalk.functions.features import number_in
-from weirwalk.sources.tables import required
+from weirwalk.functions.features import number_in, required
 
 # Column names as the detection and tagging exports spell them.
 EXPORT_COLUMNS = {

@@ -6,15 +6,11 @@ Detections are best kept in ``sources.detection_store``; exported tables are rea
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weirwalk import schema
-
-
-def required(column: str) -> Column:
-    """The column, failing the job on the first NULL."""
-    return F.coalesce(F.col(column), F.raise_error(F.lit(f"{column} must not be NULL")))
+from weirwalk.functions.features import required
 
 
 def checked_detections(rows: DataFrame) -> DataFrame:
