@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
+from weirwalk.llm.importance import op13_importance_resampling
 from weirwalk.llm.masked_likelihood import op2_masked_likelihood
 from weirwalk.llm.mixing import OP9_SQL, op9_source_mix
 from weirwalk.llm.near_dedup import op7_hyperminhash
@@ -17,6 +18,7 @@ from weirwalk.llm.secret_forest import op4_secret_forest
 from weirwalk.llm.sharding import op5_rendezvous_shards
 from weirwalk.llm.suffix_repeats import op8_sql, op8_suffix_repeats
 from weirwalk.llm.token_files import op1_token_files
+from weirwalk.llm.whitening import op11_whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
@@ -30,6 +32,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_source_mix": op9_source_mix,
     "pipeline": corpus_pipeline.run,
     "op10_best_fit": op10_best_fit,
+    "op11_whitening": op11_whitening,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 ORACLE_SQL: dict[str, str] = {"op8_suffix_repeats": op8_sql(), "op9_source_mix": OP9_SQL}
