@@ -14,6 +14,7 @@ from weirwalk.llm.near_dedup import op7_hyperminhash
 from weirwalk.llm.packing import op10_best_fit
 from weirwalk.llm.projection_forest import op6_projection_forest
 from weirwalk.llm.quality_neighbours import op3_quality_neighbours
+from weirwalk.llm.repeated_bytes import op12_merged_transforms
 from weirwalk.llm.secret_forest import op4_secret_forest
 from weirwalk.llm.sharding import op5_rendezvous_shards
 from weirwalk.llm.suffix_repeats import op8_sql, op8_suffix_repeats
@@ -33,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     "op10_best_fit": op10_best_fit,
     "op11_whitening": op11_whitening,
+    "op12_merged_transforms": op12_merged_transforms,
     "op13_importance_resampling": op13_importance_resampling,
 }
 
