@@ -3,7 +3,8 @@
 1. Every window of 100 bytes is led by one of its 69 runs of 32 bytes: the one with the smallest hash, the last of equal ones. Equal windows
    have equal leaders, so only windows with equal leaders need to meet. The windows of one leader are neighbours, and one stretch of text
    (100 to 168 bytes) holds them all. Stretches meet by their leaders' hashes, in sorted order, and a leader that occurs once is left.
-2. Stretches that are equal as a whole (by a 64-bit print) need no further look: all but the first are repeated.
+2. Stretches that are equal as a whole (by a 64-bit print) need no further look: all but the first are repeated. Most are told apart before the
+   shuffle, where only the first of a task's equal stretches is dealt by its leader: a passage that stands everywhere leaves a task once.
 3. Stretches that share a leader and differ are dealt to groups of bounded size. In a group they form shards. Each shard gets its suffix
    order and its Burrows-Wheeler transform: the symbol before each suffix, where a symbol is the rank of 20 bytes. The transforms are merged by
    refining their interleave, as Holt and McMillan do: an order of the shards' numbers by the first k symbols becomes the one by k + 1 symbols in one
@@ -23,6 +24,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -217,27 +219,41 @@ def _bytes_of(column: pa.Array) -> list[np.ndarray]:
 
 
 def _found(docs: DataFrame) -> DataFrame:
-    """(leader, print, row, start, length) of all stretches."""
+    """(leader, print, row, start, length, dealt) of all stretches. `dealt` is the leader, or any number where a smaller equal stretch was found beside it:
+    such a stretch is repeated (`again`) and needs no other to say so."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first in range(0, len(batch), 1024):
                 part = batch.slice(first, 1024)
                 leader, prints, row, start, length = stretches(list(zip(part.column(0).to_pylist(), _bytes_of(part.column(1)), strict=True)))
-                columns = [pa.array(leader.view(np.int64)), pa.array(prints.view(np.int64)), pa.array(row), pa.array(start), pa.array(length.astype(np.int16))]
-                yield pa.RecordBatch.from_arrays(columns, names=["leader", "print", "row", "start", "length"])
+                order = np.lexsort((start, row, prints, leader))
+                again = np.zeros(len(order), bool)
+                if len(order):
+                    again[order[1:]] = (leader[order][1:] == leader[order][:-1]) & (prints[order][1:] == prints[order][:-1])
+                dealt = np.where(again, row * 1000003 + start, leader.view(np.int64))
+                columns = [pa.array(leader.view(np.int64)), pa.array(prints.view(np.int64)), pa.array(row), pa.array(start), pa.array(length.astype(np.int16)), pa.array(again), pa.array(dealt)]
+                yield pa.RecordBatch.from_arrays(columns, names=["leader", "print", "row", "start", "length", "again", "dealt"])
 
-    return docs.select("row", "text").mapInArrow(find, "leader bigint, print bigint, row bigint, start bigint, length smallint")
+    return docs.select("row", "text").mapInArrow(find, "leader bigint, print bigint, row bigint, start bigint, length smallint, again boolean, dealt bigint")
 
 
 def _sifted(found: DataFrame) -> DataFrame:
     """Of the stretches in order of (leader, print, row, start): all but the first of each print (`open` false: repeated as a whole), and the first
     one where the leader has other prints too (`open` true). A group is read past, never held."""
 
+    def told(rows: pa.RecordBatch, is_open: bool) -> pa.RecordBatch:
+        columns = [rows.column(i) for i in (0, 2, 3, 4)]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(np.full(len(rows), is_open))], names=["leader", "row", "start", "length", "open"])
+
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple[int, int] | None = None
         held: pa.RecordBatch | None = None
-        for batch in batches:
+        for whole in batches:
+            again = whole.filter(whole.column(5))
+            if len(again):
+                yield told(again, False)
+            batch = whole.filter(pc.invert(whole.column(5)))
             if not len(batch):
                 continue
             leader, prints = batch.column(0).to_numpy(), batch.column(1).to_numpy()
@@ -259,13 +275,11 @@ def _sifted(found: DataFrame) -> DataFrame:
             if len(starts) and not varied[group[-1]]:
                 held = batch.slice(int(starts[-1]), 1)
             last = (int(leader[-1]), int(prints[-1]))
-            for rows, is_open in out:
-                if len(rows):
-                    columns = [rows.column(i) for i in (0, 2, 3, 4)]
-                    yield pa.RecordBatch.from_arrays([*columns, pa.array(np.full(len(rows), is_open))], names=["leader", "row", "start", "length", "open"])
+            yield from (told(rows, is_open) for rows, is_open in out if len(rows))
 
     order = ("leader", "print", "row", "start")
-    return found.repartition("leader").sortWithinPartitions(*order).mapInArrow(sift, "leader bigint, row bigint, start bigint, length smallint, open boolean")
+    dealt = found.repartition("dealt").drop("dealt")
+    return dealt.sortWithinPartitions(*order).mapInArrow(sift, "leader bigint, row bigint, start bigint, length smallint, open boolean")
 
 
 def _with_bytes(opened: DataFrame, docs: DataFrame) -> DataFrame:
