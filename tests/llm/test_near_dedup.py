@@ -79,3 +79,12 @@ def test_components(spark):
         root[max(a, b)] = min(a, b)
     got = {row["node"]: row["component"] for row in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
     assert all(got[i] == find(i) for i in got) and {i for a, b in links if a != b for i in (a, b)} == set(got)
+
+
+def test_repeated_keys_lose_no_text_that_resembles_no_other(spark):
+    one, two = ("a b c d e f g h", "q r s t u v w x")
+    rows = [(3, two, 0), (5, one, 1), (5, two, 2), (5, two, 3), (None, two, 4), (6, None, 5), (6, "", 6)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, n int")
+    left = without_near_duplicates(docs, 5)
+    assert left.columns == docs.columns
+    assert sorted(r["n"] for r in left.collect()) == [0, 1, 4, 5, 6]

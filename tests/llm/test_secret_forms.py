@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from weirwalk.llm import secret_forest
-from weirwalk.llm.secret_forest import rule_labels, scan_secrets, template_findings, with_features
+from weirwalk.llm.secret_forest import redacted_documents, redacted_secrets, rule_labels, scan_secrets, template_findings, with_features
 
 JWT = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5N_XgL0n3I9PlFUP0THsR8U"
 B32 = "wJalrXUtnFEMI7K7MDENG3bPxRfiCYqk"
@@ -50,3 +50,35 @@ def test_copies_teach_once(spark, monkeypatch):
     monkeypatch.setattr(secret_forest, "fit_forest", lambda labelled: taught.append(labelled.count()) or fit(labelled))
     found(spark, [f'token = "{B32}"'] * 5 + [f'token = "{B32[::-1]}"'])
     assert taught == [template_findings(spark).count() + 2]
+
+
+def test_findings_are_cut_by_place_and_row(spark):
+    """The value elsewhere in the text, inside words or in other rows is no finding."""
+    short = "hunter2Xy!"
+    rows = [
+        (1, f'password = "{short}" and x{short}y. The {B32[:4]}', 7),
+        (1, f"The word {short} and no more", 8),
+        (None, f'secret: "{B32[::-1]}", ü token = "{B32}" {B32[:5]}', 9),
+        (None, f"nothing of {B32[:6]} here", 10),
+        (2, None, 0),
+        (3, "", 0),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, n_chars int")
+    clean = redacted_secrets(docs)
+    assert clean.columns == docs.columns
+    texts = {(r["doc_id"], r["n_chars"]): r["text"] for r in clean.collect()}
+    first = f'password = "[SECRET]" and x{short}y. The {B32[:4]}'
+    third = f'secret: "[SECRET]", ü token = "[SECRET]" {B32[:5]}'
+    assert set(texts.values()) == {first, third, rows[1][1], rows[3][1], None, ""}
+    assert texts[1, len(first)] == first and texts[None, len(third)] == third and len(texts) == 6
+
+
+def test_all_places_by_python(spark):
+    """Texts cut natively and by slices."""
+    texts = [f'é {"x" * i} password = "p@ss!w0Rd{i}" token = "{B32}" ü' for i in range(5)] + [f'token = "{B32}"'] * 2
+    docs, rows = found(spark, texts)
+    clean = {r["doc_id"]: r["text"] for r in redacted_documents(docs, scan_secrets(docs)).collect()}
+    for i, text in enumerate(texts):
+        for row in sorted((r for r in rows if r["doc_id"] == i and r["is_secret"]), key=lambda r: -r["start"]):
+            text = text[: row["start"]] + "[SECRET]" + text[row["start"] + row["length"] :]
+        assert clean[i] == text and "[SECRET]" in text

@@ -2,30 +2,22 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from functools import cache
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weirwalk.sources.folders import scratch_dir
+
 #: A word is a run without ASCII white space; bytes.split() cuts at the same places.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-@cache
-def _own_dir() -> str:
-    return "file://" + tempfile.mkdtemp(prefix="weirwalk-llm-")
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def work_dir(spark: SparkSession) -> str:
-    """A fresh folder under spark.checkpoint.dir, which all executors share; a local one only where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or _own_dir()
-    return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
+    """A fresh folder under spark.checkpoint.dir, which all executors share; where that is unset, a local session has its own, and a cluster fails."""
+    return scratch_dir(spark)
 
 
 def stored(df: DataFrame, path: str | None = None) -> DataFrame:

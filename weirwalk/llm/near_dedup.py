@@ -256,15 +256,20 @@ def near_duplicates(docs: DataFrame, words_each: int = 5, key: str = "doc_id", t
 
 
 def without_near_duplicates(docs: DataFrame, words_each: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """`docs` with one document of each component, the one with the smallest key; of rows with the same key one stays. Rows with null keys stay."""
-    marked = near_duplicates(docs, words_each, key, text)
-    dropped = marked.filter("NOT kept").select(key).distinct()
-    kept = docs.join(dropped.hint("merge"), key, "left_anti").select(docs.columns)
-    repeated = docs.filter(F.col(key).isNotNull()).groupBy(key).count().filter("count > 1").select(key)
-    if repeated.isEmpty():
-        return kept
-    once = kept.join(repeated, key, "left_semi").dropDuplicates([key])
-    return kept.join(repeated, key, "left_anti").select(docs.columns).unionByName(once.select(docs.columns))
+    """`docs` with one document of each component, the one with the smallest key. Rows with null keys stay.
+
+    Where keys repeat, rows are judged and dropped one by one: a row goes only if a linked one with a smaller key, or the same key, stays.
+    """
+    known = docs.filter(F.col(key).isNotNull())
+    if known.groupBy(key).count().filter("count > 1").isEmpty():
+        dropped = near_duplicates(docs, words_each, key, text).filter("NOT kept").select(key)
+        return docs.join(dropped.hint("merge"), key, "left_anti").select(docs.columns)
+    # Numbers in the order of the keys, written once: a rerun may cut the ranges elsewhere.
+    order = [F.col(key), F.xxhash64(text)]
+    rows = stored(known.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__row", F.monotonically_increasing_id()))
+    dropped = near_duplicates(rows.select("__row", text), words_each, "__row", text).filter("NOT kept").select("__row")
+    kept = rows.join(dropped.hint("merge"), "__row", "left_anti").select(docs.columns)
+    return kept.unionByName(docs.filter(F.col(key).isNull()))
 
 
 def op7_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -203,17 +203,32 @@ def scan_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", label
 
 
 def redacted_documents(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """`docs` with the accepted secrets of each key replaced in the text, longest first; n_chars, if there is one, follows. No row is dropped."""
-    secrets = found.filter("is_secret").groupBy(F.col(key).alias("__key")).agg(F.collect_set("secret").alias("__secrets"))
-    by_length = F.array_sort(F.transform("__secrets", lambda s: F.struct((-F.char_length(s)).alias("n"), s.alias("s"))))
-    joined = docs.join(secrets, F.col(key).eqNullSafe(F.col("__key")), "left")
-    clean = F.aggregate(by_length, F.col(text), lambda done, s: F.replace(done, s["s"], F.lit(REPLACEMENT)))
-    hit = F.col("__secrets").isNotNull()
+    """`docs` with the accepted findings cut out of the text by their places; n_chars, if there is one, follows. No row is dropped.
+
+    A place holds for all rows of its key, null or not, so rows with one key must have one text (as when the key is a digest of the text).
+    """
+    spans = found.filter("is_secret").groupBy(F.col(key).alias("__key")).agg(F.sort_array(F.collect_set(F.struct("start", "length"))).alias("__spans"))
+    joined = docs.join(spans.hint("merge"), F.col(key).eqNullSafe(F.col("__key")), "left")
+    # What is done so far, and the place behind the last finding.
+    begin = F.struct(F.lit("").alias("done"), F.lit(0).cast("long").alias("at"))
+
+    def step(state: Column, span: Column) -> Column:
+        between = F.substring(F.col(text), (state["at"] + 1).cast("int"), (span["start"] - state["at"]).cast("int"))
+        return F.struct(F.concat(state["done"], between, F.lit(REPLACEMENT)).alias("done"), (span["start"] + span["length"]).alias("at"))
+
+    clean = F.aggregate("__spans", begin, step, lambda state: F.concat(state["done"], F.substring(F.col(text), (state["at"] + 1).cast("int"), F.char_length(text))))
+    hit = F.col("__spans").isNotNull()
     out = joined.withColumn(text, F.when(hit, clean).otherwise(F.col(text)))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(hit, F.char_length(text)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return out.select(docs.columns)
 
 
+def redacted_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """`docs`, each row scanned and its accepted findings replaced; rows are told apart by their texts, so keys may repeat or be null."""
+    named = docs.withColumn("__digest", F.md5(text))
+    return redacted_documents(named, scan_secrets(named, "__digest", text), "__digest", text).drop("__digest")
+
+
 def op4_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
