@@ -15,7 +15,7 @@ from weirwalk.llm.common import stored, table
 from weirwalk.llm.mixing import mixed_documents
 from weirwalk.llm.near_dedup import without_near_duplicates
 from weirwalk.llm.packing import END_ID, TOKENIZER, best_fit_pack, token_pieces
-from weirwalk.llm.secret_forest import redacted_documents, scan_secrets
+from weirwalk.llm.secret_forest import redacted_secrets
 from weirwalk.llm.suffix_repeats import repetition_rules
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -33,7 +33,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets replaced in their texts."""
-    return redacted_documents(docs, scan_secrets(docs))
+    return redacted_secrets(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
