@@ -1,10 +1,13 @@
 import zlib
+from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from weirwalk.llm import token_files
 from weirwalk.llm.common import work_dir
 from weirwalk.llm.packing import END_ID, TightestBin, best_fit_pack, op10_best_fit, pack_histogram, sequences, token_pieces
 from weirwalk.llm.token_files import PerfectHash, op1_token_files, read_token_files, write_token_files
@@ -60,6 +63,24 @@ def test_files_with_odd_rows(spark):
     assert read_token_files(docs, write_token_files(docs.limit(0), work_dir(spark), WORD, 1)).count() == 0
 
 
+def test_a_key_of_very_many_rows(spark, monkeypatch):
+    monkeypatch.setattr(token_files, "PART_IDS", 5000)
+    n, hot = 50_000, 7
+    rows = [(hot if i % 3 else i + 100, f"text {i}") for i in range(n)] + [(None, f"none {i}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    files = write_token_files(docs, work_dir(spark), WORD, 1)
+    back = read_token_files(docs.select("doc_id").repartition(9), files).toPandas()
+    plain = Tokenizer.from_file(WORD)
+    want = Counter((key, np.array([*plain.encode(text, add_special_tokens=False).ids, 1], "<u4").tobytes()) for key, text in rows)
+    assert Counter((None if pd.isna(key) else int(key), bytes(ids)) for key, ids in zip(back["doc_id"], back["ids"])) == want
+    placed = back.sort_values("start")
+    assert list(placed["start"]) == [0, *(placed["ids"].map(len) // 4).cumsum()[:-1]]
+    # Fewer asked than there are: those with the lowest numbers, each once.
+    few = read_token_files(spark.createDataFrame([(hot,)] * 20 + [(100,), (-5,)], "doc_id bigint"), files).toPandas()
+    of_hot = placed[placed["doc_id"] == hot]["start"][:20]
+    assert sorted(few[few["doc_id"] == hot]["start"]) == list(of_hot) and (few["doc_id"] == 100).sum() == 1 and len(few) == 21
+
+
 def test_tightest_bin():
     tree = TightestBin(10)
     assert tree.at_least(1) is None

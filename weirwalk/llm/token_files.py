@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weirwalk.llm.common import groups_for, stored, table, work_dir
@@ -34,6 +34,8 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 SHARD_ROWS = 4096
 INDEX_ROWS = 8192
+#: Ids of a shard among which repeated keys are numbered together.
+PART_IDS = 1 << 20
 #: Bits per key in each level of the hash function's bit arrays.
 _GAMMA = 2
 _MOST_READ = 8 << 20
@@ -108,12 +110,22 @@ def _place(rows: DataFrame, key: str, buckets: int) -> DataFrame:
     )
 
 
-def _occurrences(rows: DataFrame, key: str) -> DataFrame:
-    """Repeated keys are told apart by their number, from 0."""
+def _occurrences(rows: DataFrame, key: str, part: Column, order: Column) -> DataFrame:
+    """Repeated keys are told apart by their number, from 0, in the order of `part` and of `order` within it.
+
+    `rows` have to come alike when read again. A key's rows are numbered part by part, each from the running count of the parts before, so that
+    a key of very many rows is not numbered by one task.
+    """
     repeated = rows.groupBy(key).count().filter("count > 1").limit(1).count()
     if not repeated:
-        return rows.withColumn("__occurrence", F.lit(0))
-    return rows.withColumn("__occurrence", F.row_number().over(Window.partitionBy(key).orderBy(F.lit(0))) - 1)
+        return rows.withColumn("__occurrence", F.lit(0).cast("long"))
+    parted = rows.withColumn("__part", part)
+    before = Window.partitionBy(key).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    counted = parted.groupBy(key, "__part").agg(F.count("*").alias("__n"))
+    offsets = counted.select(F.col(key).alias("__key"), F.col("__part").alias("__of"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    numbered = parted.withColumn("__row", F.row_number().over(Window.partitionBy(key, "__part").orderBy(order)))
+    joined = numbered.join(offsets, F.col(key).eqNullSafe(F.col("__key")) & (F.col("__part") == F.col("__of")))
+    return joined.withColumn("__occurrence", F.col("__before") + F.col("__row") - 1).drop("__part", "__row", "__key", "__of", "__before")
 
 
 def write_token_files(docs: DataFrame, root: str, tokenizer: str, end_id: int, key: str = "doc_id", text: str = "text") -> dict[str, object]:
@@ -160,7 +172,9 @@ def write_token_files(docs: DataFrame, root: str, tokenizer: str, end_id: int, k
     totals = written.groupBy("shard").agg(F.sum("n_tokens").alias("total"))
     bases = totals.select("shard", F.coalesce(F.sum("total").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
     buckets = groups_for(n_rows, INDEX_ROWS)
-    entries = _place(_occurrences(written.join(F.broadcast(bases), "shard").withColumn("start", F.col("base") + F.col("at")), key), key, buckets)
+    started = written.join(F.broadcast(bases), "shard").withColumn("start", F.col("base") + F.col("at"))
+    # A key lies in one shard, so its documents are told apart by their places there.
+    entries = _place(_occurrences(started, key, F.floor(F.col("at") / PART_IDS), F.col("at")), key, buckets)
 
     def index(rows: pd.DataFrame) -> pd.DataFrame:
         hashes = rows["__hash"].to_numpy(np.int64).view(np.uint64)
@@ -190,7 +204,9 @@ def read_token_files(keys: DataFrame, files: dict[str, object], key: str = "doc_
     """
     root, width, buckets = str(files["root"]), int(files["width"]), int(files["buckets"])
     key_type = keys.schema[key].dataType.simpleString()
-    asked = _place(_occurrences(keys.select(key), key), key, buckets)
+    # Written once: which rows of a key are which is then settled, whatever is read again.
+    asked_for = stored(keys.select(key, F.spark_partition_id().alias("asked_in")))
+    asked = _place(_occurrences(asked_for, key, F.col("asked_in"), F.lit(0)), key, buckets)
 
     def look_up(rows: pd.DataFrame) -> pd.DataFrame:
         where, path = _open(root)
