@@ -4,14 +4,19 @@ Everything runs on DataFrame functions and the JVM's forest; no Python reaches t
 
 * A candidate is a whole run of letters, digits and ``+ / _ -``, with dots inside (and up to two ``=`` behind), of 16 characters or more; or any value of four
   characters or more, whatever they are, that is assigned to a word for a secret (to the closing quote or white space); or the password of an address.
-* Its features: length; changes between character classes, and which; shares of digits, capitals and hex digits; distinct characters and entropy; dictionary
+* Its features: length; character transitions (the mean log-odds of its pairs of letters, as the corpus' own words have them, against chance; changes between
+  character classes, and which); shares of digits, capitals and hex digits; distinct characters and entropy; dictionary
   coverage (how many characters belong to runs of letters that are words of the corpus, in two documents or more); path marks (slashes in it,
-  a slash, dot or at sign beside it); neighbouring words (a word for a secret before it, a word for an identifier or digest before it), an assignment and quotes.
-* The forest learns from labelled findings: templates with generated values, and candidates of the corpus that rules can label.
+  a slash, dot or at sign beside it); neighbouring words (a word for a secret before it, a word for an identifier or digest before it), an assignment and quotes;
+  a provider's prefix; the form of a reference to a value kept elsewhere (``${NAME}``, ``<name>``, a row of one character).
+* The forest learns from labelled findings: templates with generated values, and candidates of the corpus that rules can label. Placeholders and single words
+  that are assigned to a word for a secret are taught as false, bare tokens with a provider's prefix as true.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -30,6 +35,7 @@ LABELLED_ROWS = 2000
 #: Findings that each template is filled into.
 PER_TEMPLATE = 60
 REPLACEMENT = "[SECRET]"
+_MARK, _OTHER_MARK = "\x01", "\x02"
 
 # Words that stand before secrets, and before identifiers and digests.
 SECRET_WORDS = ("token", "secret", "password", "passwd", "pwd", "api_key", "apikey", "api key", "access_key", "private_key", "auth", "bearer", "credential", "credentials")
@@ -46,26 +52,46 @@ CANDIDATE = "|".join(
     )
 )
 OTHER_WORDS = ("commit", "sha1", "sha256", "md5", "checksum", "digest", "uuid", "revision", "build", "version", "card", "phone", "order", "invoice", "account", "number", "isbn", "example")
+# How providers' tokens begin.
+PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "ghs_", "github_pat_", "glpat-", "xoxb-", "xoxp-", "sk_live_", "sk_test_", "rk_live_", "AIza", "ya29.", "npm_", "pypi-", "SG.", "hf_")
+# What stands in the place of a secret, and single words.
+PLACEHOLDERS = (
+    "changeme", "change_me", "change-this", "your_password", "your-api-key-here", "your_token_here", "my_secret_value", "insert_token_here", "placeholder", "replace_with_yours", "redacted", "undefined",
+    "xxxxxxxx", "XXXXXXXXXXXXXXXXXXXX", "********", "<your-token>", "<password>", "${API_TOKEN}", "{{ secret }}", "$PASSWORD", "%(password)s", "os.environ",
+)
+PLAIN_WORDS = ("Mountain", "river", "Window", "orange", "Station", "harbour", "Passage", "thunder", "Garden", "morning", "letter", "Winter")
 # Labelled findings, with the place of the value. h: 40 hex digits, b: 32 of 64 characters, d: 16 decimal digits,
 # u: a UUID, w: words of letters with a number, y: words of letters, v: one word, p: 8 to 15 characters of all kinds, l: 20 letters, j: three dotted parts,
-# q: four words with blanks.
+# q: four words with blanks, k: a provider's prefix and 16 or more characters, m: such a prefix and words, x: a placeholder, s: a single word.
 TEMPLATES = (
     ('{secret} = "%h"', 1), ("{secret}: %b", 1), ("export {secret}=%b", 1), ("'{secret}': '%h'", 1), ("{secret} %b", 1), ("the {secret} is %h", 1), ('{secret} = "%b"', 1),
     ('{secret} = "%j"', 1), ("{secret}: %j", 1), ("bearer %j", 1), ('github_{secret} = "%b"', 1), ("DB_{secret}=%p", 1), ('{secret} = "%p"', 1), ("{secret}: %p", 1), ("://{other}:%p@db.example.com", 1),
     ('{secret} = "%l"', 1), ("{secret}=%l", 1), ('{secret} = "%q"', 1), ("the %y was", 0), ("of www.example.org/%y for", 0), ("{secret}: %v", 0), ("the {secret} = %v;", 0), ("{other}: %l", 0),
     ("{other} %h", 0), ("{other}: %h", 0), ("{other} %d", 0), ("and then %d the", 0), ("{other} %u", 0), ("of the %u for", 0), ("https://www.example.org/%w/index", 0),
     ("see /usr/share/%w/doc", 0), ("the %w was", 0), ("{secret} %w", 0), ("{secret}: %u", 0), ("write to %w@mail.example.com", 0), ("{other} = %w", 0),
+    ("%k", 1), ("see %k and", 1), ("the %k.", 1), ("{other} %k", 1), ("{secret}: %k", 1), ('{secret} = "%k"', 1), ("the %m was", 0), ('{secret} = "%x"', 0), ("{secret}: '%x'", 0), ("{secret}=%x", 0),
+    ("DB_{secret}=%x", 0), ('{secret} = "%s"', 0), ("{secret}: '%s'", 0), ("{secret}=%s", 0),
 )
 
 _FEATURES = (
-    "f_length f_changes f_digit_letter f_digits f_capitals f_hex f_distinct f_entropy f_covered f_slashes f_beside f_secret_word f_other_word f_assigned f_quoted f_all_digits f_uuid f_other_chars"
+    "f_length f_transitions f_prefix f_reference f_changes f_digit_letter f_digits f_capitals f_hex f_distinct f_entropy f_covered f_slashes f_beside f_secret_word f_other_word f_assigned f_quoted f_all_digits f_uuid f_other_chars"
 ).split()
 
 
 def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n, start, secret, before, behind): each candidate of each row, with its number and place (code points from 0) in the text."""
-    found = docs.select(F.col(key), text_or_empty(F.col(text)).alias("__text")).withColumn("__found", F.regexp_extract_all("__text", F.lit(CANDIDATE), F.lit(0)))
-    found = found.filter(F.size("__found") > 0).withColumn("__row", F.monotonically_increasing_id()).withColumn("__rest", F.split("__text", CANDIDATE))
+    whole = text_or_empty(F.col(text))
+    # One pass marks the candidates in place; the mark itself is another control character meanwhile, which the pattern treats alike.
+    marked = F.split(F.regexp_replace(F.translate(whole, _MARK, _OTHER_MARK), F.lit(CANDIDATE), F.lit(f"{_MARK}$0{_MARK}")), _MARK)
+    found = docs.select(F.col(key), whole.alias("__text"), marked.alias("__parts"), F.monotonically_increasing_id().alias("__row")).filter(F.size("__parts") > 1)
+    # Texts that hold the mark are read by the pattern again, so that their candidates keep it.
+    odd = F.contains("__text", F.lit(_MARK))
+    found = found.select(
+        key,
+        "__row",
+        F.when(odd, F.regexp_extract_all("__text", F.lit(CANDIDATE), F.lit(0))).otherwise(F.filter("__parts", lambda _, i: i % 2 == 1)).alias("__found"),
+        F.when(odd, F.split("__text", CANDIDATE)).otherwise(F.filter("__parts", lambda _, i: i % 2 == 0)).alias("__rest"),
+    )
     rows = found.select(
         key,
         "__row",
@@ -88,6 +114,21 @@ def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     )
 
 
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
+_LETTER_PAIRS = r"(?=([a-z]{2}))"
+
+
+def transitions(words: DataFrame) -> list[float]:
+    """log(26 P(second | first)) of all 26 * 26 pairs of letters over the words of the dictionary, one more of each pair than counted."""
+    pairs = words.select(F.explode(F.regexp_extract_all("word", F.lit(_LETTER_PAIRS), F.lit(1))).alias("pair")).groupBy("pair").count()
+    counts = {row["pair"]: row["count"] for row in pairs.collect()}
+    odds = []
+    for first in _LETTERS:
+        behind = [counts.get(first + second, 0) + 1 for second in _LETTERS]
+        odds += [math.log(26 * n / sum(behind)) for n in behind]
+    return odds
+
+
 def dictionary(docs: DataFrame, text: str = "text", documents: int = 2) -> DataFrame:
     """(word): runs of 3 to 12 letters that stand in so many documents or more, over the whole table, in lower case."""
     words = F.array_distinct(F.regexp_extract_all(F.lower(text_or_empty(F.col(text))), F.lit(r"(?<![a-z])[a-z]{3,12}+(?![a-z])"), F.lit(0)))
@@ -98,8 +139,9 @@ def _any_word(words: tuple[str, ...], place: Column) -> Column:
     return F.lower(place).rlike(r"(?<![a-z0-9])(" + "|".join(words) + r")(?![a-z0-9])").cast("double")
 
 
-def with_features(found: DataFrame, words: DataFrame) -> DataFrame:
-    """Adds the features; `found` has secret, before, behind and a unique id."""
+def with_features(found: DataFrame, words: DataFrame, log_odds: list[float] | None = None) -> DataFrame:
+    """Adds the features; `found` has secret, before, behind and a unique id. `log_odds` are the words' `transitions`."""
+    odds = F.lit(transitions(words) if log_odds is None else log_odds)
     secret, length = F.col("secret"), F.char_length("secret")
     digits_capitals = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     classes = F.regexp_replace(F.translate(secret, digits_capitals + "abcdefghijklmnopqrstuvwxyz", "0" * 10 + "A" * 26 + "a" * 26), "[^0Aa]", "-")
@@ -110,11 +152,16 @@ def with_features(found: DataFrame, words: DataFrame) -> DataFrame:
     # Entropy from the counts of the characters: few different ones.
     counts = F.transform(F.array_distinct(chars), lambda c: length - F.char_length(F.replace(secret, c, F.lit(""))))
     entropy = F.aggregate(counts, F.lit(0.0), lambda done, n: done - F.when(n > 0, n / length * F.log2(n / length)).otherwise(0.0))
+    pairs = F.regexp_extract_all(F.lower(secret), F.lit(_LETTER_PAIRS), F.lit(1))
+    pair_odds = F.aggregate("__pairs", F.lit(0.0), lambda done, pair: done + F.get(odds, (F.ascii(pair) - 97) * 26 + F.ascii(F.substring(pair, 2, 1)) - 97))
     parts = found.select("id", F.explode(F.array_distinct(F.regexp_extract_all(F.lower(secret), F.lit(r"[a-z]{3,12}"), F.lit(0)))).alias("word"))
     covered = parts.join(words, "word").groupBy("id").agg(F.sum(F.char_length("word")).alias("__covered"))
-    made = found.withColumn("__classes", classes).withColumns(
+    made = found.withColumns({"__classes": classes, "__pairs": pairs}).withColumns(
         {
             "f_length": length.cast("double"),
+            "f_transitions": F.when(F.size("__pairs") > 0, pair_odds / F.size("__pairs")).otherwise(0.0),
+            "f_prefix": secret.rlike("^(" + "|".join(prefix.replace(".", "[.]") for prefix in PREFIXES) + ")[A-Za-z0-9._-]{12}").cast("double"),
+            "f_reference": secret.rlike(r"^(\$[A-Za-z_{(]|\{\{|<[^<>]*>$|%\(|(.)\2*$)").cast("double"),
             "f_changes": share(F.char_length(collapsed) - 1),
             "f_digit_letter": share(F.regexp_count(collapsed, F.lit("0(?=[aA])")) + F.regexp_count(collapsed, F.lit("[aA](?=0)"))),
             "f_digits": share(length - left("[0-9]")),
@@ -133,7 +180,7 @@ def with_features(found: DataFrame, words: DataFrame) -> DataFrame:
             "f_other_chars": share(length - left(f"[^={_RUN}]")),
         }
     )
-    return made.join(covered, "id", "left").withColumn("f_covered", F.coalesce(F.col("__covered") / length, F.lit(0.0))).drop("__classes", "__covered")
+    return made.join(covered, "id", "left").withColumn("f_covered", F.coalesce(F.col("__covered") / length, F.lit(0.0))).drop("__classes", "__pairs", "__covered")
 
 
 def template_findings(spark: SparkSession) -> DataFrame:
@@ -148,6 +195,7 @@ def template_findings(spark: SparkSession) -> DataFrame:
     hexed, wide = F.sha1(F.encode(seed, "UTF-8")), F.sha2(F.encode(seed, "UTF-8"), 256)
     pick = lambda words: F.element_at(F.array(*map(F.lit, words)), (F.pmod(F.xxhash64(seed), F.lit(len(words))) + 1).cast("int"))
     base = F.translate(F.left(F.base64(F.unhex(wide)), F.lit(32)), "=", "x")
+    tail = F.translate(base, "+/", "xK")
     value = (
         F.when(F.col("kind") == "h", hexed)
         .when(F.col("kind") == "b", base)
@@ -159,6 +207,10 @@ def template_findings(spark: SparkSession) -> DataFrame:
         .when(F.col("kind") == "y", F.concat_ws("_", pick(OTHER_WORDS), pick(("reader", "station", "passage", "window", "report")), pick(("summary", "archive", "release"))))
         .when(F.col("kind") == "v", pick(("required", "optional", "null", "none", "string", "invalid", "true", "false", "self.value", "get_value()", "expired", "missing")))
         .when(F.col("kind") == "q", F.concat_ws(" ", *[F.element_at(F.array(*map(F.lit, ("correct", "horse", "battery", "staple", "river", "lantern", "copper", "window"))), (F.pmod(F.xxhash64(seed, F.lit(k)), F.lit(8)) + 1).cast("int")) for k in range(4)]))
+        .when(F.col("kind") == "k", F.when(pick(PREFIXES).rlike("^A[KS]"), F.concat(pick(PREFIXES), F.upper(F.left(tail, F.lit(16))))).otherwise(F.concat(pick(PREFIXES), tail)))
+        .when(F.col("kind") == "m", F.concat(pick(PREFIXES), F.concat_ws("_", pick(OTHER_WORDS), pick(("reader", "station", "passage", "window", "report")), pick(("summary", "archive", "release")))))
+        .when(F.col("kind") == "x", pick(PLACEHOLDERS))
+        .when(F.col("kind") == "s", pick(PLAIN_WORDS))
         .otherwise(F.concat_ws("_", pick(OTHER_WORDS), pick(("reader", "station", "passage", "window", "report")), pick(("summary", "archive", "release")), F.pmod("i", F.lit(100)).cast("string")))
     )
     filled = F.replace(F.replace("before", F.lit("{secret}"), pick(SECRET_WORDS)), F.lit("{other}"), pick(OTHER_WORDS))
@@ -166,9 +218,10 @@ def template_findings(spark: SparkSession) -> DataFrame:
 
 
 def rule_labels() -> Column:
-    """1 for a random-looking value in quotes that is assigned to a word for a secret, 0 for plain numbers, UUIDs, and parts of addresses and runs without
+    """1 for a random-looking value (one without digits has fewer of the words' pairs of letters than chance) in quotes that is assigned to a word for a secret, 0 for plain numbers, UUIDs, and parts of addresses and runs without
     a digit that have no word for a secret and no assignment before them, else null."""
     assigned = (F.col("f_secret_word") == 1) & (F.col("f_assigned") == 1) & (F.col("f_quoted") == 1) & (F.col("f_entropy") >= 3) & (F.col("f_covered") < 0.5)
+    assigned = assigned & (F.col("f_reference") == 0) & ((F.col("f_digits") > 0) | (F.col("f_transitions") <= 0))
     alone = (F.col("f_secret_word") == 0) & (F.col("f_assigned") == 0)
     return F.when(assigned & (F.col("f_other_word") == 0), 1.0).when((F.col("f_all_digits") == 1) | (F.col("f_uuid") == 1) | (alone & ((F.col("f_beside") == 1) | (F.col("f_digits") == 0))), 0.0)
 
@@ -189,9 +242,10 @@ def scan_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", label
     spark = docs.sparkSession
     found = candidates(docs, key, text).withColumn("id", F.monotonically_increasing_id())
     words = stored(dictionary(docs, text))
-    featured = stored(with_features(stored(found), words))
+    log_odds = transitions(words)
+    featured = stored(with_features(stored(found), words, log_odds))
     taught = template_findings(spark) if labelled is None else template_findings(spark).unionByName(labelled.select("secret", "before", "behind", "label"))
-    taught = with_features(taught.withColumn("id", F.monotonically_increasing_id()), words).select(*_FEATURES, "label")
+    taught = with_features(taught.withColumn("id", F.monotonically_increasing_id()), words, log_odds).select(*_FEATURES, "label")
     ruled = featured.withColumn("label", rule_labels()).filter("label IS NOT NULL")
     for label in (0, 1):
         sample = ruled.filter(F.col("label") == label).dropDuplicates(["secret", "before", "behind"]).orderBy(F.xxhash64("secret", "before", "behind"), "secret", "before", "behind").limit(LABELLED_ROWS)
