@@ -49,9 +49,8 @@ def test_masked_likelihood_against_word_by_word(spark, small_dir):
         for i in range(len(w)):
             # A word's score needs no more than five words around it.
             near = w[max(0, i - 2) : i + 3]
-            rank, target, within = model.classes.codes(near)
-            here = min(i, 2)
-            total += log_p[windows(rank, near)[here], target[here]] + within[here]
+            codes, here = model.classes.codes(near), min(i, 2)
+            total += log_p[windows(codes.near, codes.far)[here], codes.target[here]] + np.log(model.classes.within(codes))[here]
         assert abs(scored[doc_id]["log_likelihood"] - total) < 1e-3 * max(1, abs(total))
     shuffled = docs.select("doc_id", F.array_join(F.shuffle(F.split("text", " ")), " ").alias("text"))
     assert score_documents(shuffled, model).agg(F.sum("log_likelihood")).first()[0] < sum(row["log_likelihood"] for row in scored.values())

@@ -2,16 +2,19 @@
 
 P(word | both sides) = P(class | window), from a neural network, times P(word | class), from counts.
 
-1. Words (A-Z in lower case) are counted over all documents. Frequent ones are classes of their own, the others form classes by length. The most
-   frequent counts are broadcast; those of all other words, and of all pairs of neighbours, stay in a distributed table that grows with the corpus.
-2. Each word's window is two words to the left and two to the right, the nearer ones in finer classes, so there are 16,384 windows. How often each
-   class stands in each window is counted over all words of all documents; that table, not a sample, is what the network learns from.
+1. Words (A-Z in lower case) are counted over all documents. Frequent ones are classes of their own; all others, seen or not, fall into classes by their
+   spelling: pairs of neighbouring bytes are hashed, weighted by rarity, and clustered over the most frequent words. The counts of these words are broadcast;
+   those of all other words, and of all pairs of neighbours, stay in a distributed table that grows with the corpus.
+2. Each word's window is two words to the left and two to the right: frequent words and groups of spellings for the nearer ones, coarser groups for the others.
+   How often each class stands in each window is counted over all words of all documents; that table, not a sample, is what the network learns from.
 3. The network adds up an embedding for each of the four places, applies tanh and predicts the class by softmax. numpy trains it on the
    driver, by full passes over the table.
 4. P(class | window) times P(word | class) is the prior of a word. The counts of the word behind its left neighbour, then before its right one, sharpen it:
-   P1 = (c(left, word) + s * prior) / (n(left) + s), P = (c(word, right) + s * P1) / (n(right) + s), each a distribution over all words. The masked
-   place itself is not counted, so a pair that stands nowhere else tells nothing (`score_corpus`).
-5. Groups of rows ask for the counts of their own words and pairs, as sorted keys dealt to ranges of keys; each range adds up and answers with counts in the
+   P1 = (c(left, word) + s * prior) / (n(left) + s), P = (c(word, right) + s * P1) / (n(right) + s), each a distribution over all words. The strength s
+   is the one of `STRENGTHS` under which the corpus is likeliest, every word masked in turn: where neighbours tell little, the network decides.
+5. What the masked place adds to the counts of words and pairs is taken out; so a pair that stands nowhere else tells nothing. The weights of the network and
+   of the spellings have seen it: they are too few to hold single places.
+6. Groups of rows ask for the counts of their own words and pairs, as sorted keys dealt to ranges of keys; each range adds up and answers with counts in the
    order asked, and every document sums over its words.
 """
 
@@ -26,26 +29,34 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, LongType
 
 from weirwalk.llm.common import stored, table
 
 VOCABULARY = 32768
-#: Words that are classes of their own, as what is predicted and as near neighbours; the others are classed by length.
+#: Words that are classes of their own, as what is predicted and as near neighbours.
 OWN_CLASS, OWN_NEAR = 96, 24
-LENGTHS, NEAR_LENGTHS = 32, 7
-CLASSES, NEAR, FAR = OWN_CLASS + LENGTHS, OWN_NEAR + NEAR_LENGTHS + 1, 4
+#: Classes of spelling of the other words: as what is predicted, as near neighbours, and two places away.
+SPELLINGS, NEAR_SPELLINGS, FAR_SPELLINGS = 64, 15, 3
+CLASSES, NEAR, FAR = OWN_CLASS + SPELLINGS, OWN_NEAR + NEAR_SPELLINGS + 1, FAR_SPELLINGS + 1
 WINDOWS = FAR * NEAR * NEAR * FAR
-HIDDEN, PASSES = 24, 80
-#: How many counted neighbours weigh as much as the prior.
-STRENGTH = 4.0
+#: Hashed pairs of bytes: 2 to this power; clustering rounds.
+PAIR_BITS, ROUNDS = 9, 12
+HIDDEN, PASSES = 32, 80
+#: How many counted neighbours weigh as much as the prior: those to choose from.
+STRENGTHS = (4.0, 64.0, 1024.0, 16384.0, 262144.0)
 #: Rows that ask for counts together: 2 to this power.
 GROUP_BITS = 10
+#: A text of more bytes asks alone.
+BIG_TEXT = 1 << 16
 #: Words of the corpus for each range of keys; a range is added up at once.
 RANGE_WORDS = 1 << 20
 #: Stands for a text's edge; no word holds a space.
 _EDGE = b" "
 _LEFT_FACTOR, _RIGHT_FACTOR = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-_FLUSH_WORDS, _FLUSH_CELLS = 200_000, 1 << 20
+_FLUSH_WORDS, _BLOCK_CHARS = 200_000, 1 << 22
+#: Longer words are spelled one by one; others together, so many pairs at once. Weights of spellings are whole numbers of this part.
+_LONG_WORD, _BLOCK_PAIRS, _PART = 1024, 1 << 15, 4096
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -72,50 +83,181 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select(text).mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def byte_pairs(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashed pairs of neighbouring bytes of all words, with a blank at both ends, and where each word's begin."""
+    data = np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8).astype(np.uint32)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+    return (data[:-1] * np.uint32(0x9E3779B1) + data[1:] * np.uint32(0x85EBCA6B)) >> np.uint32(32 - PAIR_BITS), np.append(0, ends[:-1])
+
+
+class Spelling(NamedTuple):
+    """Weights of hashed pairs for each class of spelling, whole numbers, so that sums are the same in any order; the classes' groups as neighbours."""
+
+    weights: np.ndarray
+    near: np.ndarray
+    far: np.ndarray
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        sizes, out = np.fromiter(map(len, words), np.int64, len(words)), np.zeros(len(words), np.int64)
+        for i in np.flatnonzero(sizes > _LONG_WORD).tolist():
+            out[i] = (np.bincount(byte_pairs([words[i]])[0], minlength=1 << PAIR_BITS) @ self.weights.astype(np.int64)).argmax()
+        short = np.flatnonzero(sizes <= _LONG_WORD)
+        blocks = np.cumsum(sizes[short] + 1) // _BLOCK_PAIRS
+        for part in np.split(short, np.flatnonzero(np.diff(blocks)) + 1):
+            if len(part):
+                pairs, starts = byte_pairs([words[i] for i in part.tolist()])
+                out[part] = np.add.reduceat(self.weights[pairs], starts, axis=0).argmax(axis=1)
+        return out
+
+
+def clusters(rows: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
+    """k unit centres of unit vectors, by cosine; the first ones are spread over the order of the rows."""
+    centres = rows[np.linspace(0, len(rows) - 1, k).astype(np.int64)]
+    for _ in range(ROUNDS):
+        at = (rows @ centres.T).argmax(axis=1)
+        sums = ((at == np.arange(k)[:, None]) * weights).astype(np.float32) @ rows
+        norms = np.linalg.norm(sums, axis=1, keepdims=True)
+        centres = np.where(norms > 0, sums / np.maximum(norms, 1e-9), centres)
+    return centres
+
+
+def learn_spelling(words: list[bytes], counts: np.ndarray) -> Spelling:
+    """From the most frequent words and their counts, in descending order."""
+    if not words:
+        return Spelling(np.zeros((1 << PAIR_BITS, SPELLINGS), np.int32), np.zeros(SPELLINGS, np.int64), np.zeros(SPELLINGS, np.int64))
+    pairs, starts = byte_pairs(words)
+    rows = np.zeros((len(words), 1 << PAIR_BITS), np.float32)
+    np.add.at(rows, (np.repeat(np.arange(len(words)), np.diff(np.append(starts, len(pairs)))), pairs), 1)
+    rarity = np.log((len(words) + 1) / ((rows > 0).sum(axis=0) + 0.5)).astype(np.float32)
+    rows *= rarity
+    rows /= np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
+    centres = clusters(rows, np.sqrt(counts), SPELLINGS)
+    weights = np.rint(rarity[:, None] * centres.T * _PART).astype(np.int32)
+    mass = np.bincount((rows @ centres.T).argmax(axis=1), counts, SPELLINGS)
+    order = np.argsort(-mass, kind="stable")
+    near, far = [(centres @ clusters(centres[order], mass[order], k).T).argmax(axis=1) for k in (NEAR_SPELLINGS, FAR_SPELLINGS)]
+    return Spelling(weights, near, far)
+
+
+class Codes(NamedTuple):
+    """Of each word: its rank (-1 outside the broadcast words), its class, and what it is as a near and as a far neighbour (0: a text's edge)."""
+
+    rank: np.ndarray
+    target: np.ndarray
+    near: np.ndarray
+    far: np.ndarray
+
+
 class Classes(NamedTuple):
-    """The broadcast words' ranks, log P(word | class) of ranks and of words outside by length, the ranks' counts, and all words' counts by length."""
+    """The broadcast words' ranks, their spellings and counts; of each class, over all words: the sum of counts, the words, and those that stand once."""
 
     ranks: dict[bytes, int]
-    within: np.ndarray
-    outside: np.ndarray
+    spelling: Spelling
+    spelled: np.ndarray
     counts: np.ndarray
     in_class: np.ndarray
+    types: np.ndarray
+    once: np.ndarray
 
-    def codes(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of each word: its rank (-1 outside), its class, and its log P(word | class)."""
+    def codes(self, words: list[bytes]) -> Codes:
         rank = np.fromiter(map(self.ranks.get, words, [-1] * len(words)), np.int64, len(words))
-        length = np.minimum(np.fromiter(map(len, words), np.int64, len(words)), LENGTHS) - 1
-        own = (rank >= 0) & (rank < OWN_CLASS)
-        return rank, np.where(own, rank, OWN_CLASS + length), np.where(rank >= 0, self.within[rank], self.outside[length])
+        outside = np.flatnonzero(rank < 0)
+        spelled = np.append(self.spelled, 0)[rank]
+        spelled[outside] = self.spelling.of([words[i] for i in outside.tolist()])
+        own = lambda n: (rank >= 0) & (rank < n)
+        near = np.where(own(OWN_NEAR), rank, OWN_NEAR + self.spelling.near[spelled])
+        return Codes(rank, np.where(own(OWN_CLASS), rank, OWN_CLASS + spelled), near + 1, self.spelling.far[spelled] + 1)
+
+    def within(self, codes: Codes, n: np.ndarray | None = None, masked: int = 0) -> np.ndarray:
+        """P(word | class) from counts `n` (those of the broadcast words, if none), `masked` of them taken out. New words have as much as words that stand once."""
+        n = np.append(self.counts, 0)[codes.rank] if n is None else n
+        at, new = codes.target, self.once[codes.target] + 1
+        return np.where(at < OWN_CLASS, 1.0, (n - masked + new / (self.types[at] + 1)) / (self.in_class[at] - masked + new))
 
 
-def windows(rank: np.ndarray, words: list[bytes]) -> np.ndarray:
-    """The number of each word's window; places outside the text are a class of their own."""
-    n = len(words)
-    length = np.minimum((np.fromiter(map(len, words), np.int64, n) - 1) // 3, NEAR_LENGTHS - 1)
-    near = np.full(n + 4, NEAR - 1)
-    near[2 : n + 2] = np.where((rank >= 0) & (rank < OWN_NEAR), rank, OWN_NEAR + length)
-    far = np.zeros(n + 4, np.int64)
-    far[2 : n + 2] = np.where(rank < 0, 3, np.where(rank < OWN_CLASS, 1, 2))
-    return ((far[:n] * NEAR + near[1 : n + 1]) * NEAR + near[3 : n + 3]) * FAR + far[4:]
+def windows(near: np.ndarray, far: np.ndarray) -> np.ndarray:
+    """The number of the window of each place in a row of words. Outside it are edges; texts in one row have two edges between them."""
+    n, one, two = len(near), np.pad(near, 1), np.pad(far, 2)
+    return ((two[:n] * NEAR + one[:n]) * NEAR + one[2:]) * FAR + two[4:]
 
 
 def learn_classes(counts: DataFrame) -> Classes:
-    """From all word counts: the VOCABULARY most frequent words, and sums for the others by length."""
-    length = F.least(F.octet_length("word"), F.lit(LENGTHS)).alias("length")
+    """From all word counts: the VOCABULARY most frequent words, their clusters of spelling, and sums over all words by class."""
     top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY).toPandas()
-    sums = {row["length"]: (row["n"], row["types"]) for row in counts.groupBy(length).agg(F.sum("n").alias("n"), F.count("*").alias("types")).collect()}
     words, n = [bytes(word) for word in top["word"]], top["n"].to_numpy(np.float64)
-    ranks = {word: rank for rank, word in enumerate(words)}
-    by_length = np.minimum(np.fromiter(map(len, words), np.int64, len(words)), LENGTHS) - 1
-    own = np.arange(len(words)) < OWN_CLASS
-    total = np.array([sums.get(i + 1, (0, 0)) for i in range(LENGTHS)], np.float64).reshape(LENGTHS, 2)
-    in_class = total[:, 0] - np.bincount(by_length[own], n[own], LENGTHS)
-    rest = in_class - np.bincount(by_length[~own], n[~own], LENGTHS)
-    types = total[:, 1] - np.bincount(by_length, minlength=LENGTHS)
-    # One more word than seen keeps P(word | class) above 0 for words that the counts don't have.
-    within = np.where(own, 0.0, np.log(n / (in_class[by_length] + 1)))
-    return Classes(ranks, np.append(within, 0.0), np.log((rest + 1) / (in_class + 1) / (types + 1)), n, in_class)
+    spelling, none = learn_spelling(words, n), np.zeros(CLASSES)
+    classes = Classes({word: rank for rank, word in enumerate(words)}, spelling, spelling.of(words), n, none, none, none)
+    shared = counts.sparkSession.sparkContext.broadcast(classes)
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((3, CLASSES), np.int64)
+        for batch in batches:
+            n, at = batch.column("n").to_numpy(), shared.value.codes(batch.column("word").to_pylist()).target
+            for row, values in zip(total, (n, n > 0, n == 1), strict=True):
+                row += np.bincount(at, values, CLASSES).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES)), *map(pa.array, total)], names=["class", "n", "types", "once"])
+
+    sums = counts.select("word", "n").mapInArrow(add_up, "class bigint, n bigint, types bigint, once bigint").groupBy("class").agg(*[F.sum(name).alias(name) for name in ("n", "types", "once")]).toPandas()
+    found = np.zeros((3, CLASSES))
+    found[:, sums["class"].to_numpy(np.int64)] = sums[["n", "types", "once"]].to_numpy(np.float64).T
+    return classes._replace(in_class=found[0], types=found[1], once=found[2])
+
+
+class Numbered(NamedTuple):
+    """Texts with words: for each its number and how many words; the distinct words (the edge first), and all texts' numbers of them with edges."""
+
+    texts: list[tuple[int, int]]
+    distinct: list[bytes]
+    places: np.ndarray
+
+    def codes(self, classes: Classes) -> Codes:
+        codes = classes.codes(self.distinct)
+        codes.near[0] = codes.far[0] = 0
+        return codes
+
+    def keys(self) -> np.ndarray:
+        """64-bit keys of the distinct words."""
+        return np.fromiter(map(xxhash.xxh3_64_intdigest, self.distinct), np.uint64, len(self.distinct))
+
+    def pairs(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of all neighbours in `places`, and which are within a text."""
+        at = keys[self.places]
+        return at[:-1] * _LEFT_FACTOR + at[1:] * _RIGHT_FACTOR, (self.places[:-1] > 0) | (self.places[1:] > 0)
+
+    def sums(self, values: np.ndarray, count: int) -> np.ndarray:
+        """Of `count` texts, the sums of their words' values, which come in the order of the words."""
+        out, sizes = np.zeros(count), np.array([size for _, size in self.texts], np.int64)
+        if len(sizes):
+            out[[number for number, _ in self.texts]] = np.add.reduceat(values, np.cumsum(sizes) - sizes)
+        return out
+
+    def sizes(self, count: int) -> np.ndarray:
+        out = np.zeros(count, np.int64)
+        for number, size in self.texts:
+            out[number] = size
+        return out
+
+
+def numbered(values: list[str | None]) -> Numbered:
+    seen: dict[bytes, int] = {_EDGE: 0}
+    texts, places = [], []
+    for number, value in enumerate(values):
+        if words := words_of(value):
+            texts.append((number, len(words)))
+            places += [0, *[seen.setdefault(word, len(seen)) for word in words], 0]
+    return Numbered(texts, list(seen), np.array(places, np.int64))
+
+
+def blocks(column: pa.Array) -> Iterator[list[str | None]]:
+    """The texts of a column, some at a time."""
+    waiting, size = [], 0
+    for value in column:
+        waiting.append(value.as_py())
+        size += len(waiting[-1] or "")
+        if size > _BLOCK_CHARS:
+            yield waiting
+            waiting, size = [], 0
+    yield waiting
 
 
 def window_counts(docs: DataFrame, classes: Classes, text: str = "text") -> np.ndarray:
@@ -123,18 +265,14 @@ def window_counts(docs: DataFrame, classes: Classes, text: str = "text") -> np.n
     shared = docs.sparkSession.sparkContext.broadcast(classes)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, waiting, n = np.zeros(WINDOWS * CLASSES, np.int64), [], 0
+        total = np.zeros(WINDOWS * CLASSES, np.int64)
         for batch in batches:
-            for value in batch.column(0):
-                if words := words_of(value.as_py()):
-                    rank, target, _ = shared.value.codes(words)
-                    waiting.append(windows(rank, words) * CLASSES + target)
-                    n += len(words)
-                if n > _FLUSH_CELLS:
-                    total += np.bincount(np.concatenate(waiting), minlength=len(total))
-                    waiting, n = [], 0
-        if waiting:
-            total += np.bincount(np.concatenate(waiting), minlength=len(total))
+            for values in blocks(batch.column(0)):
+                part = numbered(values)
+                if part.texts:
+                    codes, at = part.codes(shared.value), part.places
+                    cells = windows(codes.near[at], codes.far[at]) * CLASSES + codes.target[at]
+                    total += np.bincount(cells[at > 0], minlength=len(total))
         cells = np.flatnonzero(total)
         for first in range(0, len(cells), 1 << 16):
             part = cells[first : first + (1 << 16)]
@@ -224,54 +362,28 @@ def score_documents(docs: DataFrame, model: MaskedModel, text: str = "text") ->
         classes, log_p = shared.value
         for batch in batches:
             sizes, sums = [], []
-            for value in batch.column(place):
-                words = words_of(value.as_py())
-                sizes.append(len(words))
-                if words:
-                    rank, target, within = classes.codes(words)
-                    sums.append(float(log_p[windows(rank, words) * CLASSES + target].sum(dtype=np.float64) + within.sum()))
-                else:
-                    sums.append(0.0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sizes, pa.int64()), pa.array(sums, pa.float64())], names=[*batch.schema.names, "n_words", "log_likelihood"])
+            for values in blocks(batch.column(place)):
+                part = numbered(values)
+                codes, at = part.codes(classes), part.places
+                each = log_p[windows(codes.near[at], codes.far[at]) * CLASSES + codes.target[at]] + np.log(classes.within(codes))[at]
+                sizes.append(part.sizes(len(values)))
+                sums.append(part.sums(each[at > 0], len(values)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(sizes)), pa.array(np.concatenate(sums))], names=[*batch.schema.names, "n_words", "log_likelihood"])
 
     schema = clean.withColumns({"n_words": F.lit(0).cast("long"), "log_likelihood": F.lit(0.0)}).schema
     scored = clean.mapInArrow(score, schema)
     return scored.withColumn("word_log_likelihood", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")))
 
 
-class Encoded(NamedTuple):
-    """Texts with words: for each its number and words; the distinct words (the edge first), their 64-bit keys, and all texts' numbers of them with edges."""
-
-    texts: list[tuple[int, list[bytes]]]
-    distinct: list[bytes]
-    keys: np.ndarray
-    places: np.ndarray
-
-    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """Keys of all neighbours in `places`, and which are within a text."""
-        keys = self.keys[self.places]
-        return keys[:-1] * _LEFT_FACTOR + keys[1:] * _RIGHT_FACTOR, (self.places[:-1] > 0) | (self.places[1:] > 0)
-
-
-def encoded(values: list[str | None]) -> Encoded:
-    seen: dict[bytes, int] = {_EDGE: 0}
-    texts, places = [], []
-    for number, value in enumerate(values):
-        if words := words_of(value):
-            texts.append((number, words))
-            places += [0, *[seen.setdefault(word, len(seen)) for word in words], 0]
-    distinct = list(seen)
-    return Encoded(texts, distinct, np.fromiter(map(xxhash.xxh3_64_intdigest, distinct), np.uint64, len(distinct)), np.array(places, np.int64))
-
-
-def asked_keys(part: Encoded, ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+def asked_keys(part: Numbered, ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
     """The keys of all pairs and of the words that are not broadcast, ascending, and how often each is here."""
-    pairs, inside = part.pairs()
+    own = part.keys()
+    pairs, inside = part.pairs(own)
     keys, n = np.unique(pairs[inside], return_counts=True)
     outside = np.fromiter((word not in ranks for word in part.distinct), bool, len(part.distinct))
     of_words = np.bincount(part.places, minlength=len(outside))
     of_words[0] = len(part.texts)
-    keys, n = np.append(keys, part.keys[outside]), np.append(n, of_words[outside])
+    keys, n = np.append(keys, own[outside]), np.append(n, of_words[outside])
     order = np.argsort(keys, kind="stable")
     return keys[order], n[order]
 
@@ -287,13 +399,12 @@ def _numbers(planes: bytes, kind: type) -> np.ndarray:
 
 def neighbour_counts(rows: DataFrame, classes: Classes, text: str) -> DataFrame:
     """(group, range, mark, counts): to each group of rows, the counts over all rows of its keys (`asked_keys`) in the range, and the sum of these keys."""
-    at, row, shared = rows.columns.index(text), rows.columns.index("__row"), rows.sparkSession.sparkContext.broadcast(classes.ranks)
-    own = sum(classes.counts[:OWN_CLASS])
-    ranges = max(32, int((own + classes.in_class.sum()) // RANGE_WORDS))
+    shared = rows.sparkSession.sparkContext.broadcast(classes.ranks)
+    ranges = max(32, int(classes.in_class.sum() // RANGE_WORDS))
     edges = np.array([(i << 64) // ranges for i in range(1, ranges)], np.uint64)
 
     def rows_of(group: int, texts: list[str | None]) -> Iterator[pa.RecordBatch]:
-        part = encoded(texts)
+        part = numbered(texts)
         if not part.texts:
             return
         keys, n = asked_keys(part, shared.value)
@@ -304,16 +415,17 @@ def neighbour_counts(rows: DataFrame, classes: Classes, text: str) -> DataFrame:
         yield pa.RecordBatch.from_arrays(arrays, names=["group", "range", "keys", "n"])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Rows come in order, and a group is never in two tasks; it may be in two batches.
+        # Rows come in order, and a group is never in two tasks; it may be in two batches. A big text (below 0) is a group of its own.
         now, waiting = -1, []
         for batch in batches:
-            groups, texts = batch.column(row).to_numpy() >> GROUP_BITS, batch.column(at)
-            starts = np.append(np.flatnonzero(np.diff(groups, prepend=-1)), len(groups))
-            for first, end in zip(starts[:-1].tolist(), starts[1:].tolist()):
-                if groups[first] != now:
+            for group, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if group < 0:
+                    yield from rows_of(group, [value.as_py()])
+                    continue
+                if group != now:
                     yield from rows_of(now, waiting)
-                    now, waiting = int(groups[first]), []
-                waiting += texts.slice(first, end - first).to_pylist()
+                    now, waiting = group, []
+                waiting.append(value.as_py())
         yield from rows_of(now, waiting)
 
     def add_up(given: pa.Table) -> pa.Table:
@@ -325,26 +437,30 @@ def neighbour_counts(rows: DataFrame, classes: Classes, text: str) -> DataFrame:
         marks = np.array([x.sum(dtype=np.uint64) for x in keys], np.uint64).view(np.int64)
         return pa.Table.from_arrays([given.column("group"), given.column("range"), pa.array(marks), pa.array(counts, pa.binary())], names=["group", "range", "mark", "counts"])
 
-    asked = rows.mapInArrow(ask, "group bigint, range bigint, keys binary, n binary")
+    asked = rows.select("__group", text).mapInArrow(ask, "group bigint, range bigint, keys binary, n binary")
     return asked.groupBy("range").applyInArrow(add_up, "group bigint, range bigint, mark bigint, counts binary")
 
 
-def score_corpus(docs: DataFrame, text: str = "text") -> DataFrame:
-    """All columns of `docs` with n_words, log_likelihood and word_log_likelihood (as score_documents), learnt from the same rows, every word masked in turn.
+def score_corpus(docs: DataFrame, text: str = "text", columns: list[str] | None = None) -> DataFrame:
+    """All `columns` of `docs` (every one, if not named) with n_words, log_likelihood and word_log_likelihood (as score_documents), learnt from the same rows,
+    every word masked in turn.
 
-    `docs` is read twice and has to give its rows in the same order, as a scan of files does; other orders fail.
+    `docs` is read twice and has to give its rows in the same order, as a scan of files does; other orders fail. The scores under all strengths are stored
+    with the columns, and those of the strength under which all documents together are likeliest (the smaller one, if two are) are returned.
     """
-    clean = docs.drop("n_words", "log_likelihood", "word_log_likelihood")
+    made = ("n_words", "log_likelihood", "word_log_likelihood")
+    clean = docs.drop(*made)
+    columns = [name for name in (columns or clean.columns) if name not in made]
+    row = F.col("__row")
     rows = clean.withColumn("__row", F.monotonically_increasing_id())
+    rows = rows.withColumn("__group", F.when(F.octet_length(text) > BIG_TEXT, -1 - row).otherwise(F.shiftright(row, GROUP_BITS))).drop("__row")
     model = fit(clean, text)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    columns = clean.columns
 
     def score(given: pa.Table, answers: pa.Table) -> pa.Table:
         classes, log_p = shared.value
         values = given.column(text).to_pylist()
-        sizes, sums = np.zeros(len(values), np.int64), np.zeros(len(values))
-        part = encoded(values)
+        part, sums = numbered(values), np.zeros((len(values), len(STRENGTHS)))
         if part.texts:
             asked, _ = asked_keys(part, classes.ranks)
             answer = answers.sort_by("range")
@@ -352,31 +468,30 @@ def score_corpus(docs: DataFrame, text: str = "text") -> DataFrame:
             if len(found) != len(asked) or answer.column("mark").to_numpy().sum() != asked.sum(dtype=np.uint64).view(np.int64):
                 raise ValueError("the rows to score were read in another order than those counted; store them first")
             known = lambda keys: found[np.minimum(np.searchsorted(asked, keys), len(asked) - 1)]
-            rank, target, _ = classes.codes(part.distinct)
-            length = np.minimum(np.fromiter(map(len, part.distinct), np.int64, len(part.distinct)), LENGTHS) - 1
-            # What is not asked for is masked here: broadcast words, and pairs of two edges.
-            n = np.where(rank >= 0, np.append(classes.counts, 0)[rank], known(part.keys))
-            within = np.where(target < OWN_CLASS, 1.0, n / (classes.in_class[length] + 1))
-            pairs = known(part.pairs()[0]) - 1
-            first = 0
-            for number, words in part.texts:
-                size = len(words)
-                at = part.places[first : first + size + 2]
-                word, left, right = at[1:-1], at[:-2], at[2:]
-                pair = pairs[first : first + size + 1]
-                p = np.exp(log_p[windows(rank[word], words) * CLASSES + target[word]].astype(np.float64)) * within[word]
-                p = (pair[:-1] + STRENGTH * p) / (n[left] - 1 + STRENGTH)
-                p = (pair[1:] + STRENGTH * p) / (n[right] - 1 + STRENGTH)
-                sizes[number], sums[number] = size, np.log(p).sum()
-                first += size + 2
-        return pa.Table.from_arrays([*given.select(columns).columns, pa.array(sizes), pa.array(sums)], names=[*columns, "n_words", "log_likelihood"])
-
-    schema = clean.withColumns({"n_words": F.lit(0).cast("long"), "log_likelihood": F.lit(0.0)}).schema
-    grouped = rows.withColumn("__group", F.shiftright("__row", GROUP_BITS)).groupBy("__group")
-    scored = grouped.cogroup(neighbour_counts(rows, model.classes, text).groupBy("group")).applyInArrow(score, schema)
+            codes, keys, at = part.codes(classes), part.keys(), part.places
+            inside = np.flatnonzero(at > 0)
+            word, left, right = at[inside], at[inside - 1], at[inside + 1]
+            n = np.where(codes.rank >= 0, np.append(classes.counts, 0)[codes.rank], known(keys))
+            window = windows(codes.near[at], codes.far[at])[inside]
+            prior = np.exp(log_p[window * CLASSES + codes.target[word]].astype(np.float64)) * classes.within(codes, n, 1)[word]
+            # The masked place is in two pairs, which may be equal, and its own neighbour's count may hold it.
+            pairs, twice = known(part.pairs(keys)[0]), (left == word) & (word == right)
+            before, behind = pairs[inside - 1] - 1 - twice, pairs[inside] - 1 - twice
+            n_left, n_right = n[left] - 1 - (left == word), n[right] - 1 - (right == word)
+            for i, strength in enumerate(STRENGTHS):
+                p = (before + strength * prior) / (n_left + strength)
+                sums[:, i] = part.sums(np.log((behind + strength * p) / (n_right + strength)), len(values))
+        made = [pa.array(part.sizes(len(values))), pa.array(list(sums), pa.list_(pa.field("element", pa.float64())))]
+        return pa.Table.from_arrays([*given.select(columns).columns, *made], names=[*columns, "n_words", "__sums"])
+
+    schema = clean.select(columns).schema.add("n_words", LongType()).add("__sums", ArrayType(DoubleType()))
+    scored = stored(rows.groupBy("__group").cogroup(neighbour_counts(rows, model.classes, text).groupBy("group")).applyInArrow(score, schema))
+    total = scored.agg(*[F.sum(F.get("__sums", F.lit(i))) for i in range(len(STRENGTHS))]).first()
+    best = int(np.argmax([value or 0.0 for value in total]))
+    scored = scored.select(*columns, "n_words", F.get("__sums", F.lit(best)).alias("log_likelihood"))
     return scored.withColumn("word_log_likelihood", F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words")))
 
 
 def op2_masked_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return score_corpus(docs).select("doc_id", "n_words", "log_likelihood", "word_log_likelihood")
+    return score_corpus(docs, columns=["doc_id"]).select("doc_id", "n_words", "log_likelihood", "word_log_likelihood")
