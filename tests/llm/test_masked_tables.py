@@ -94,6 +94,8 @@ def test_spellings_are_exact_in_any_order():
     words = [bytes(rng.integers(97, 123, rng.integers(1, 30)).astype(np.uint8)) for _ in range(3000)] + [b"x" * 5000, "é".encode() * 700]
     spelling = ml.learn_spelling(words, np.arange(len(words), 0, -1.0))
     got = spelling.of(words)
+    each = [spelling.weights[ml.byte_pairs([w])[0]].astype(np.int64).sum(axis=0).argmax() for w in words]
+    assert got.tolist() == each and len(spelling.of([])) == 0
     assert len(set(got.tolist())) > 10 and np.array_equal(got[::-1], spelling.of(words[::-1])) and [int(spelling.of([w])[0]) for w in words[-300:]] == got[-300:].tolist()
 
 

@@ -55,8 +55,8 @@ RANGE_WORDS = 1 << 20
 _EDGE = b" "
 _LEFT_FACTOR, _RIGHT_FACTOR = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _FLUSH_WORDS, _BLOCK_CHARS = 200_000, 1 << 22
-#: Longer words are spelled one by one; others together, so many pairs at once. Weights of spellings are whole numbers of this part.
-_LONG_WORD, _BLOCK_PAIRS, _PART = 1024, 1 << 15, 4096
+#: Longer words are spelled one by one; others together, so many at once. Weights of spellings are whole numbers of this part.
+_LONG_WORD, _BLOCK_WORDS, _PART = 1024, 4096, 4096
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -101,12 +101,17 @@ class Spelling(NamedTuple):
         sizes, out = np.fromiter(map(len, words), np.int64, len(words)), np.zeros(len(words), np.int64)
         for i in np.flatnonzero(sizes > _LONG_WORD).tolist():
             out[i] = (np.bincount(byte_pairs([words[i]])[0], minlength=1 << PAIR_BITS) @ self.weights.astype(np.int64)).argmax()
+        # By falling length, so that those with one more pair are the first ones of a block.
         short = np.flatnonzero(sizes <= _LONG_WORD)
-        blocks = np.cumsum(sizes[short] + 1) // _BLOCK_PAIRS
-        for part in np.split(short, np.flatnonzero(np.diff(blocks)) + 1):
-            if len(part):
-                pairs, starts = byte_pairs([words[i] for i in part.tolist()])
-                out[part] = np.add.reduceat(self.weights[pairs], starts, axis=0).argmax(axis=1)
+        short = short[np.argsort(-sizes[short], kind="stable")]
+        for first in range(0, len(short), _BLOCK_WORDS):
+            part = short[first : first + _BLOCK_WORDS]
+            pairs, starts = byte_pairs([words[i] for i in part.tolist()])
+            total = np.zeros((len(part), SPELLINGS), np.int32)
+            for k, n in enumerate(np.cumsum(np.bincount(sizes[part])[::-1])[::-1].tolist()):
+                # n words have k bytes or more, and so a pair number k.
+                total[:n] += self.weights.take(pairs[starts[:n] + k], axis=0)
+            out[part] = total.argmax(axis=1)
         return out
 
 
