@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from tests.rows import LMJ, day, detection, frames, state, tagged
 from weirwalk import fixed_values as fv
 from weirwalk.plans.batches import BATCH_NAMES, needs
 from weirwalk.plans.populations import run_batches, select_populations
@@ -184,3 +185,27 @@ def test_fewer_tables_are_a_part_of_all(stored):
         alone = run_batches(*stored, dams=(dam,))
         within = run_batches(*stored).filter(F.col("dam") == dam)
         assert alone.exceptAll(within).isEmpty() and within.exceptAll(alone).isEmpty()
+
+
+def test_a_task_holds_one_sort_of_its_rows(spark, stored, no_broadcast):
+    """Rows that are grouped by hash and sorted again, or merged by their compressed size, fill a task's memory."""
+    result = run_batches(*stored)
+    plan = _plan(result)
+    assert "collect_list" not in plan and "REPARTITION_BY_NUM" in plan
+    assert len(re.findall(r"[+:]- (?:\*\(\d+\) )?Sort \[tag_code#\d+ ASC NULLS FIRST, species_group#\d+ ASC NULLS FIRST", plan)) == 2
+
+
+def test_rows_with_facts_enter_beside_tables(spark):
+    """A tag in one release population's table and seen at releases enters the others with the same facts."""
+    both = tuple(
+        fv.Population("snake", run, "Chinook", "CHK", "spring", None, fv.RELEASE_SOURCES)
+        for run in ("CH0", "CH1")
+    )
+    found = [detection(t, LMJ, day(5, 2), source=fv.LGR_RELEASE) for t in ("T1", "T2", "T3")]
+    tags = [tagged(t, run=f"of {t}", source=fv.LGR_RELEASE, group="CHK") for t in ("T1", "T2")]
+    states = [state("T1", "LMN", basin="snake", run="CH1")]
+    inputs = frames(spark, found, tags, states)
+    rows = run_batches(*inputs, both, dams=("LMN",)).select("run", "tag_code", "run_type").collect()
+    assert sorted(map(tuple, rows), key=str) == sorted(
+        [(p.run, t, f"of {t}" if t != "T3" else None) for p in both for t in ("T1", "T2", "T3")], key=str
+    )

@@ -3,9 +3,10 @@
 No batch relates two tags, so once the inputs meet on the tag every batch is a
 column expression. Each input is read once and shuffled once on (tag_code,
 species_group): detections as already combined bit marks, tagging facts as one row
-per tag, and passage rows. Passage and tagging rows of a tag are grouped together on
+per tag, and passage rows. Passage and tagging rows of a tag are sorted together on
 that partitioning, and one full outer join puts the marks beside them: a tag has a
 wide row whichever input it is in, so no input can be left unread and unchecked.
+Behind the sort a task holds the rows of one tag at a time.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weirwalk import fixed_values as fv
@@ -98,12 +99,15 @@ def states_by_tag(
     known: DataFrame,
     populations: tuple[Population, ...],
 ) -> DataFrame:
-    """Passage rows, with the tagging facts beside them, as one row per tag.
+    """Passage rows as one row per tag and population, with the tag's tagging facts beside them.
 
-    ``entries`` maps a population to the tag's rows at the checkpoints; the columns of
-    ``tagging_by_tag`` follow. Fails on a NULL tag, on a key that occurs twice at a
-    checkpoint and on an unknown checkpoint. Tagging rows come grouped on the
-    partitioning that the passage rows get, so both groupings need no shuffle of their own.
+    ``held_by`` is the population, NULL on a row of the tagging facts alone; a column for each
+    checkpoint has the tag's row there, or NULL; ``leads`` marks one row of each tag and ``held``
+    is the set of all its populations. The columns of ``tagging_by_tag`` follow. Fails on a NULL tag, on a key
+    that occurs twice at a checkpoint and on an unknown checkpoint.
+
+    Tagging rows come grouped on the partitioning that the passage rows get, and one sort
+    serves the grouping, what is told of a tag as a whole, and the join behind.
     """
     known = F.broadcast(known.select("population", "basin", "run", "species_group"))
     unknown = F.raise_error(
@@ -113,7 +117,10 @@ def states_by_tag(
     rows = _of(populations, passage).withColumns(
         {"dam": F.coalesce(dam, unknown), "tag_code": required("tag_code")}
     )
-    rows = rows.join(known, ["basin", "run"]).drop("basin", "run").repartition(*TAG)
+    # The number of partitions is named, so that they are not merged: what they are merged by
+    # are compressed bytes, and rows that are sorted take many times as many.
+    parts = int(passage.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.join(known, ["basin", "run"]).drop("basin", "run").repartition(parts, *TAG)
     facts: list[str] = []
     if tagging is not None:
         by_tag = tagging_by_tag(tagging, populations)
@@ -127,29 +134,22 @@ def states_by_tag(
     by_population = rows.groupBy(*TAG, "population").agg(*pivot)
     most = F.greatest(*[F.col(f"n_{dam}") for dam in fv.DAMS])
     twice = F.raise_error(F.concat(F.lit("tag repeats in a passage table: "), F.col("tag_code")))
-    entry = F.struct(*[_state(dam) for dam in fv.DAMS])
-    entry = F.when(most > 1, twice).otherwise(entry)
-    held = F.when(F.col("population").isNotNull(), F.struct("population", entry.alias("entry")))
-    # One entry for each population: as many as the configuration has, whatever the data.
-    return (
-        by_population.select(*TAG, *facts, held.alias("held"))
-        .groupBy(*TAG)
-        .agg(
-            F.map_from_entries(F.collect_list("held")).alias("entries"),
-            *[F.first(c, ignorenulls=True).alias(c) for c in facts],
-        )
+    held_by = F.when(most > 1, twice.cast("int")).otherwise(F.col("population"))
+    # The row of the tagging facts has no population and comes first.
+    of_tag = Window.partitionBy(*TAG).orderBy("population")
+    so_far = of_tag.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = of_tag.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # One row for each population: as many as the configuration has, whatever the data.
+    return by_population.select(
+        *TAG,
+        held_by.alias("held_by"),
+        *fv.DAMS,
+        (F.row_number().over(of_tag) == 1).alias("leads"),
+        F.collect_set("population").over(whole).alias("held"),
+        *[F.first(c, ignorenulls=True).over(so_far).alias(c) for c in facts],
     )
 
 
-def _state(dam: str) -> Column:
-    """A tag's row at a checkpoint, or its absence, with two-valued flags."""
-    fields = [f"'present', {dam} IS NOT NULL"]
-    for name in schema.PASSAGE_VALUES:
-        value = f"{dam}.{name}"
-        fields.append(f"'{name}', " + (f"coalesce({value}, {UNSET})" if name in FLAGS else value))
-    return F.expr(f"named_struct({', '.join(fields)})").alias(dam)
-
-
 def tagging_by_tag(tagging: DataFrame, populations: tuple[Population, ...]) -> DataFrame:
     """Tagging rows as one row per tag: the facts and the ages per source.
 
@@ -172,31 +172,34 @@ def tagging_by_tag(tagging: DataFrame, populations: tuple[Population, ...]) -> D
 
 
 def _population_ids(populations: tuple[Population, ...]) -> Column:
-    """The populations in whose tables the tag is, and those with releases that a
-    tag of a release source may enter without being in any table.
+    """The population in whose tables the tag is; on one row of the tag also those with releases
+    that a tag of a release source may enter without being in any table.
     """
-    held = F.map_keys(F.coalesce("entries", F.expr("map_from_arrays(array(), array())")))
     enters = {
         group: [
             i for i, p in enumerate(populations) if p.release_sources and p.species_group == group
         ]
         for group in _groups(populations)
     }
-    ids = F.array().cast("array<int>")
+    none = F.array().cast("array<int>")
+    ids = none
     for group, numbers in enters.items():
         if numbers:
             new = F.array(*[F.lit(i) for i in numbers])
             ids = F.when((F.col("species_group") == group) & seen_at_releases(), new).otherwise(ids)
+    # A tag that only detections know has no row of its own, and leads none.
+    leads = F.coalesce("leads", F.lit(True))
+    ids = F.when(leads, F.array_except(ids, F.coalesce("held", none))).otherwise(none)
+    own = F.array_compact(F.array("held_by"))
     # The species group is that of either side of the join, so the condition keeps both sides.
-    return F.when(F.col("species_group").isNotNull(), F.array_union(held.cast("array<int>"), ids))
+    return F.when(F.col("species_group").isNotNull(), F.concat(own, ids))
 
 
 def _held(dam: str) -> list[str]:
-    """A checkpoint's columns from the entry, which is NULL for a tag in none of the tables."""
-    columns = [f"coalesce(entry.{dam}.present, false) AS in_{dam}"]
-    columns.append(f"CAST(NULL AS string) AS added_{dam}")
+    """A checkpoint's columns from the tag's row there, which is NULL where the population's table has none."""
+    columns = [f"{dam} IS NOT NULL AS in_{dam}", f"CAST(NULL AS string) AS added_{dam}"]
     for name in schema.PASSAGE_VALUES:
-        value = f"entry.{dam}.{name}"
+        value = f"{dam}.{name}"
         value = f"coalesce({value}, {UNSET})" if name in FLAGS else value
         columns.append(f"{value} AS {dam}_{name}")
     return columns
@@ -270,6 +273,7 @@ def wide_rows(
     last = [last_column(source, dam) for source, dam in LAST_OBS]
     # Month and day as one number, once per tag and not once per population.
     days = {f"day_{c}": F.month(c) * 100 + F.day(c) for c in last}
+    here = F.col("population") == F.col("held_by")
     states = states_by_tag(passage, tagging, known, populations)
     if tagging is None:
         states = states.select("*", *_no_facts())
@@ -280,7 +284,7 @@ def wide_rows(
         .withColumn("marks", F.coalesce("marks", F.lit(0).cast("long")))
         .withColumn("population", F.explode(_population_ids(populations)))
         .join(known.drop("species_group", "season"), "population")
-        .withColumn("entry", F.expr("try_element_at(entries, population)"))
+        .withColumns({dam: F.when(here, F.col(dam)) for dam in fv.DAMS})
     )
     columns = ["tag_code", "basin", "run", "species", "has_releases"]
     for source, dam in LAST_OBS:
