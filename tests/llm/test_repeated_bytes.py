@@ -1,4 +1,5 @@
 import hashlib
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -104,3 +105,14 @@ def test_one_passage_in_most_documents(spark):
     line = "This very common line stands in most of the documents of the whole table, whatever is before or behind."
     rows = [(i, f"{i * 7919 % 3000:04d}" + (line if i % 3 else "rest") + f"{i * 104729 % 3000:04d} end") for i in range(3000)]
     assert got(repeated_bytes(spark.createDataFrame(rows, "doc_id bigint, text string"))) == digests(rows)
+
+
+def test_a_group_is_merged_in_little_memory():
+    """Some 90 bytes for each byte of a group's stretches; it was over 160."""
+    random = np.random.default_rng(6)
+    pieces = [bytes(random.integers(0, 30, random.integers(100, 169)).astype(np.uint8)) for _ in range(4000)]
+    tracemalloc.start()
+    later_windows(pieces, np.arange(len(pieces)), np.zeros(len(pieces), np.int64))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 110 * sum(map(len, pieces))

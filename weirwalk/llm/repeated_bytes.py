@@ -107,8 +107,16 @@ def stretches(texts: list[tuple[int, np.ndarray]]) -> tuple[np.ndarray, ...]:
 
 
 def _ranks(values: np.ndarray) -> tuple[np.ndarray, int]:
-    known, rank = np.unique(values, return_inverse=True)
-    return rank.astype(np.int64), len(known)
+    """The place of each value among the different ones, and their number; a group's places fit 32 bits."""
+    order = np.argsort(values)
+    inside = values[order]
+    new = np.empty(len(values), bool)
+    new[:1] = True
+    np.not_equal(inside[1:], inside[:-1], out=new[1:])
+    del inside
+    rank = np.empty(len(values), np.int32)
+    rank[order] = np.cumsum(new, dtype=np.int32) - 1
+    return rank, int(new.sum())
 
 
 def _counting_sort(symbols: np.ndarray) -> np.ndarray:
@@ -127,32 +135,46 @@ class Shards:
     """
 
     def __init__(self, pieces: list[bytes], shard_bytes: int = SHARD_BYTES):
-        lengths = np.array([len(p) for p in pieces])
-        sizes = lengths + SYMBOL
+        # Only what stays is held for the whole group, in 32 bits where that is enough; keys are made shard by shard.
+        lengths = np.array([len(p) for p in pieces], np.int32)
+        sizes = lengths + np.int32(SYMBOL)
         data = np.frombuffer(b"".join(p + bytes(SYMBOL) for p in pieces) + bytes(SYMBOL), np.uint8)
+        starts = np.cumsum(sizes, dtype=np.int32) - sizes
         n = int(sizes.sum())
-        self.piece = np.repeat(np.arange(len(pieces)), sizes)
-        self.local = np.arange(n) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        self.piece = np.repeat(np.arange(len(pieces), dtype=np.int32), sizes)
+        self.local = np.arange(n, dtype=np.int32) - np.repeat(starts, sizes)
         self.left = lengths[self.piece] - self.local
-        of_piece = (np.cumsum(sizes) - sizes) // shard_bytes
-        shard = _ranks(of_piece)[0][self.piece].astype(np.uint16)
-        wide = data.astype(np.int64)
-        five = sum(wide[i : len(data) - 4 + i] << (8 * (4 - i)) for i in range(5))
+        shard = _ranks(starts // shard_bytes)[0].astype(np.uint16)[self.piece]
+        five = np.zeros(len(data) - 4, np.int64)
+        for i in range(5):
+            five <<= 8
+            five |= data[i : len(data) - 4 + i]
         rank, many = _ranks(five)
-        rank, many = _ranks(rank[:-5] * many + rank[5:])
-        rank, many = _ranks(rank[:-10] * many + rank[10:])
+        del five
+        for span in (5, 10):
+            pairs = rank[:-span].astype(np.int64)
+            pairs *= many
+            pairs += rank[span:]
+            rank, many = _ranks(pairs)
+            del pairs
         # 0 is an end; every suffix of a stretch starts with a symbol from 1 on.
-        self.symbols = np.where(self.left > 0, rank[:n] + 1, 0)
-        base = many + 2
-        ahead = [np.where(self.left > SYMBOL * i, self.symbols[np.minimum(np.arange(n) + SYMBOL * i, n - 1)], 0) for i in range(WINDOW // SYMBOL)]
-        keys = [ahead[i] * base + ahead[i + 1] for i in range(0, len(ahead) - 1, 2)] + ahead[len(ahead) - len(ahead) % 2 :]
+        self.symbols = np.where(self.left > 0, rank[:n] + np.int32(1), np.int32(0))
+        del rank
         cuts = np.r_[0, np.flatnonzero(np.diff(shard)) + 1, n]
-        self.suffixes = np.concatenate([a + np.lexsort([k[a:b] for k in reversed(keys)]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)])
+        self.suffixes = np.empty(n, np.int32)
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            self.suffixes[a:b] = a + self._order(a, b, many + 2)
         self.numbers = shard
-        before = self.suffixes - SYMBOL
-        self.transform = np.where(self.local[self.suffixes] >= SYMBOL, self.symbols[np.maximum(before, 0)], -1)
+        self.transform = np.where(self.local[self.suffixes] >= SYMBOL, self.symbols[np.maximum(self.suffixes - np.int32(SYMBOL), 0)], np.int32(-1))
         self.ends = shard[self.left <= 0]
 
+    def _order(self, a: int, b: int, base: int) -> np.ndarray:
+        """The order of a shard's suffixes by their next 100 bytes."""
+        at, n = np.arange(a, b), len(self.symbols)
+        ahead = [np.where(self.left[a:b] > SYMBOL * i, self.symbols[np.minimum(at + SYMBOL * i, n - 1)], 0).astype(np.int64) for i in range(WINDOW // SYMBOL)]
+        keys = [ahead[i] * base + ahead[i + 1] for i in range(0, len(ahead) - 1, 2)] + ahead[len(ahead) - len(ahead) % 2 :]
+        return np.lexsort(keys[::-1])
+
 
 def merged(shards: Shards, rounds: int = WINDOW // SYMBOL) -> tuple[np.ndarray, np.ndarray]:
     """The interleave of the shards' suffix orders by so many symbols: for each place the suffix, and the symbols that it shares with the
@@ -162,28 +184,31 @@ def merged(shards: Shards, rounds: int = WINDOW // SYMBOL) -> tuple[np.ndarray,
     """
     n = len(shards.transform)
     interleave = shards.numbers.copy()
-    block = np.zeros(n, np.int64)
-    common = np.full(n, rounds)
+    block = np.zeros(n, np.int32)
+    common = np.full(n, rounds, np.int32)
     common[:1] = 0
 
     def entries() -> np.ndarray:
-        at = np.empty(n, np.int64)
-        at[np.argsort(interleave, kind="stable")] = np.arange(n)
+        at = np.empty(n, np.int32)
+        at[np.argsort(interleave, kind="stable")] = np.arange(n, dtype=np.int32)
         return at
 
     for done in range(rounds):
         symbols = shards.transform[entries()]
-        leads = np.flatnonzero(symbols >= 0)
+        leads = np.flatnonzero(symbols >= 0).astype(np.int32)
         order = leads[_counting_sort(symbols[leads])]
+        del leads
         led, inside = symbols[order], block[order]
-        parted = np.r_[True, (led[1:] != led[:-1]) | (inside[1:] != inside[:-1])]
         # Ends come first; they are one block.
         m = len(shards.ends)
         new = np.zeros(n, bool)
-        new[:1], new[m:] = True, parted
+        new[:1], new[m : m + 1] = True, True
+        new[m + 1 :] = (led[1:] != led[:-1]) | (inside[1:] != inside[:-1])
+        del symbols, led, inside
         interleave = np.concatenate([shards.ends, interleave[order]])
+        del order
         common[new & (common == rounds)] = done
-        block = np.cumsum(new)
+        block = np.cumsum(new, dtype=np.int32)
     return shards.suffixes[entries()], common
 
 
