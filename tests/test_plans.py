@@ -195,6 +195,32 @@ def test_a_task_holds_one_sort_of_its_rows(spark, stored, no_broadcast):
     assert len(re.findall(r"[+:]- (?:\*\(\d+\) )?Sort \[tag_code#\d+ ASC NULLS FIRST, species_group#\d+ ASC NULLS FIRST", plan)) == 2
 
 
+def test_no_task_groups_the_tagging_rows_that_it_scans(stored, no_broadcast):
+    """They are dealt as they are and grouped in sorted order: a grouping of objects sorts, and holds, all that a task scans."""
+    lines = _plan(run_batches(*stored)).splitlines()
+    scan = next(i for i, line in enumerate(lines) if re.search(r"FileScan parquet .*/tagging[\],]", line))
+    dealt = max(i for i in range(scan) if "Exchange hashpartitioning" in lines[i])
+    assert not any("Aggregate" in line for line in lines[dealt:scan])
+    assert not any("ObjectHashAggregate" in line for line in lines)
+
+
+def test_ages_and_facts_of_a_tag_that_is_listed_twice(spark):
+    """Any of a source's rows may have the population's age, whatever the number of ages; the lowest facts count."""
+    ages = [f"age {i:03}" for i in range(130)]
+    found = [detection(f"T{i}", LMJ, day(5, 2), source=fv.LGR_RELEASE) for i in range(130)]
+    release = {"source": fv.LGR_RELEASE, "group": "CHK"}
+    tags = [tagged(f"T{i}", run="late", age=ages[i], release=day(4, 2), **release) for i in range(130)]
+    tags += [tagged(f"T{i}", run="soon", age=None if i % 2 else "it's other", release=day(4, 1), **release) for i in range(130)]
+    inputs = frames(spark, found, tags, [])
+    populations = tuple(
+        fv.Population("snake", f"R{i}", "Chinook", "CHK", "spring", age, fv.RELEASE_SOURCES)
+        for i, age in enumerate(ages)
+    )
+    rows = run_batches(*inputs, populations, batches=("C07", "C08"), dams=("LMN",))
+    got = rows.select("run", "tag_code", "run_type").collect()
+    assert sorted(map(tuple, got)) == sorted((f"R{i}", f"T{i}", "soon") for i in range(130))
+
+
 def test_rows_with_facts_enter_beside_tables(spark):
     """A tag in one release population's table and seen at releases enters the others with the same facts."""
     both = tuple(

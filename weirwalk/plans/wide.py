@@ -2,8 +2,7 @@
 
 No batch relates two tags, so once the inputs meet on the tag every batch is a
 column expression. Each input is read once and shuffled once on (tag_code,
-species_group): detections as already combined bit marks, tagging facts as one row
-per tag, and passage rows. Passage and tagging rows of a tag are sorted together on
+species_group): detections as already combined bit marks, tagging rows and passage rows. Passage and tagging rows of a tag are sorted together on
 that partitioning, and one full outer join puts the marks beside them: a tag has a
 wide row whichever input it is in, so no input can be left unread and unchecked.
 Behind the sort a task holds the rows of one tag at a time.
@@ -44,6 +43,7 @@ def population_table(spark: SparkSession, populations: tuple[Population, ...]) -
     """The population parameters as a small table, one row per population."""
     if len({(p.basin, p.run) for p in populations}) < len(populations):
         raise ValueError("a (basin, run) occurs twice")
+    masks = _age_masks(populations)
     rows = [
         {
             "population": i,
@@ -55,6 +55,7 @@ def population_table(spark: SparkSession, populations: tuple[Population, ...]) -
             "season_first": season_bounds(p.season)[0],
             "season_last": season_bounds(p.season)[1],
             "age": p.age,
+            **{f"age_{n}": mask.get(p.age, 0) for n, mask in enumerate(masks)},
             "has_releases": bool(p.release_sources),
             **{f"sees_{s}": s == fv.MAIN or s in p.release_sources for s in fv.SOURCES},
         }
@@ -71,12 +72,20 @@ def population_table(spark: SparkSession, populations: tuple[Population, ...]) -
         pa.field("season_first", number, False),
         pa.field("season_last", number, False),
         pa.field("age", text),
+        *[pa.field(f"age_{n}", pa.int64(), False) for n in range(len(masks))],
         pa.field("has_releases", flag, False),
         *[pa.field(f"sees_{s}", flag, False) for s in fv.SOURCES],
     ]
     return spark.createDataFrame(pa.Table.from_pylist(rows, pa.schema(fields)))
 
 
+def _age_masks(populations: tuple[Population, ...]) -> list[dict[str, int]]:
+    """A bit for each age class of the populations, in as many longs as that takes."""
+    ages = sorted({p.age for p in populations if p.age is not None})
+    longs = [ages[first : first + 63] for first in range(0, len(ages), 63)]
+    return [{age: 1 << bit for bit, age in enumerate(some)} for some in longs]
+
+
 def _one_of(column: str, values: tuple[str, ...]) -> Column:
     return F.col(column) == values[0] if len(values) == 1 else F.col(column).isin(list(values))
 
@@ -93,6 +102,16 @@ def _of(populations: tuple[Population, ...], rows: DataFrame) -> DataFrame:
     return rows.filter(wanted)
 
 
+def _dealt_by_tag(rows: DataFrame) -> DataFrame:
+    """Rows shuffled by tag into as many partitions as the configuration says.
+
+    The number is named, so that they are not merged: what they are merged by are
+    compressed bytes, and rows that are sorted take many times as many.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, *TAG)
+
+
 def states_by_tag(
     passage: DataFrame,
     tagging: DataFrame | None,
@@ -103,11 +122,11 @@ def states_by_tag(
 
     ``held_by`` is the population, NULL on a row of the tagging facts alone; a column for each
     checkpoint has the tag's row there, or NULL; ``leads`` marks one row of each tag and ``held``
-    is the set of all its populations. The columns of ``tagging_by_tag`` follow. Fails on a NULL tag, on a key
+    is the set of all its populations. The columns of ``_of_tagging`` follow. Fails on a NULL tag, on a key
     that occurs twice at a checkpoint and on an unknown checkpoint.
 
-    Tagging rows come grouped on the partitioning that the passage rows get, and one sort
-    serves the grouping, what is told of a tag as a whole, and the join behind.
+    Tagging rows get the partitioning that the passage rows get, and one sort serves the
+    grouping of both, what is told of a tag as a whole, and the join behind.
     """
     known = F.broadcast(known.select("population", "basin", "run", "species_group"))
     unknown = F.raise_error(
@@ -117,16 +136,15 @@ def states_by_tag(
     rows = _of(populations, passage).withColumns(
         {"dam": F.coalesce(dam, unknown), "tag_code": required("tag_code")}
     )
-    # The number of partitions is named, so that they are not merged: what they are merged by
-    # are compressed bytes, and rows that are sorted take many times as many.
-    parts = int(passage.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.join(known, ["basin", "run"]).drop("basin", "run").repartition(parts, *TAG)
-    facts: list[str] = []
+    rows = _dealt_by_tag(rows.join(known, ["basin", "run"]).drop("basin", "run"))
+    facts: dict[str, Column] = {}
     if tagging is not None:
-        by_tag = tagging_by_tag(tagging, populations)
-        facts = [c for c in by_tag.columns if c not in TAG]
-        rows = rows.unionByName(by_tag, allowMissingColumns=True)
-    pivot = [F.first(c, ignorenulls=True).alias(c) for c in facts]
+        # Not grouped before they are dealt: hardly a tag is listed twice, and a grouping
+        # would hold all that a task scans.
+        listed = _dealt_by_tag(tagging_rows(tagging, populations))
+        rows = rows.unionByName(listed, allowMissingColumns=True)
+        facts = _of_tagging(populations)
+    pivot = [column.alias(name) for name, column in facts.items()]
     for dam in fv.DAMS:
         values = F.when(F.col("dam") == dam, F.struct(*schema.PASSAGE_VALUES))
         pivot.append(F.first(values, ignorenulls=True).alias(dam))
@@ -150,25 +168,33 @@ def states_by_tag(
     )
 
 
-def tagging_by_tag(tagging: DataFrame, populations: tuple[Population, ...]) -> DataFrame:
-    """Tagging rows as one row per tag: the facts and the ages per source.
+def tagging_rows(tagging: DataFrame, populations: tuple[Population, ...]) -> DataFrame:
+    """Tagging rows, once for each species group that they serve, with their ages as bits."""
+    groups = F.array(*[F.lit(g) for g in _groups(populations)])
+    group = F.when(F.col("species_group").isNull(), groups).otherwise(F.array("species_group"))
+    rows = tagging.withColumns({"source": known_source(), "tag_code": required("tag_code")})
+    ages = []
+    for n, mask in enumerate(_age_masks(populations)):
+        bit = [F.lit(v) if isinstance(v, str) else F.lit(v).cast("long") for p in mask.items() for v in p]
+        ages.append(F.try_element_at(F.create_map(*bit), F.col("age")).alias(f"age_{n}"))
+    rows = rows.withColumn("species_group", F.explode(group))
+    return rows.select(*TAG, "source", "release_date", "run_name", *ages)
+
+
+def _of_tagging(populations: tuple[Population, ...]) -> dict[str, Column]:
+    """What a tag's tagging rows say of it, by source.
 
     ``tagged_<source>`` holds the facts of a source; one that lists the tag twice
-    gives the lowest (release_date, run_name). ``ages_<source>`` is the set of ages.
+    gives the lowest (release_date, run_name). ``ages_<source>_<n>`` has the bits of its ages.
+    Neither needs objects, so that rows are grouped in the order in which they are sorted.
     """
-    groups = F.array(*[F.lit(g) for g in _groups(populations)])
-    group = F.when(F.col("species_group").isNull(), groups).otherwise(F.array("species_group"))
     facts = F.struct("release_date", "run_name")
     here = {source: F.col("source") == source for source in fv.SOURCES}
-    return (
-        tagging.withColumns({"source": known_source(), "tag_code": required("tag_code")})
-        .withColumn("species_group", F.explode(group))
-        .groupBy(*TAG)
-        .agg(
-            *[F.min(F.when(here[s], facts)).alias(f"tagged_{s}") for s in fv.SOURCES],
-            *[F.collect_set(F.when(here[s], F.col("age"))).alias(f"ages_{s}") for s in fv.SOURCES],
-        )
-    )
+    told = {f"tagged_{s}": F.min(F.when(here[s], facts)) for s in fv.SOURCES}
+    for n in range(len(_age_masks(populations))):
+        for s in fv.SOURCES:
+            told[f"ages_{s}_{n}"] = F.bit_or(F.when(here[s], F.col(f"age_{n}")))
+    return told
 
 
 def _population_ids(populations: tuple[Population, ...]) -> Column:
@@ -205,17 +231,19 @@ def _held(dam: str) -> list[str]:
     return columns
 
 
-def _population_marks() -> Column:
+def _population_marks(n_ages: int) -> Column:
     """The marks as the row's population sees them.
 
     Drops the sources that the population does not read and adds the age and
-    season facts. No age class means every tag is of the right age.
+    season facts. No age class means every tag is of the right age. The bits of the age
+    classes are in ``n_ages`` columns.
     """
     found = [F.col("marks")]
     for source in fv.SOURCES:
-        of_age = F.col("age").isNull() | F.coalesce(
-            F.array_contains(f"ages_{source}", F.col("age")), F.lit(False)
-        )
+        of_age = F.col("age").isNull()
+        for n in range(n_ages):
+            same = F.col(f"ages_{source}_{n}").bitwiseAND(F.col(f"age_{n}")) != 0
+            of_age = of_age | F.coalesce(same, F.lit(False))
         found.append(F.when(of_age, _bit((source, "aged"))).otherwise(_bit()))
     for source, dam in LAST_OBS:
         day = f"day_{last_column(source, dam)}"
@@ -244,10 +272,10 @@ def _facts() -> list[Column]:
     return [F.coalesce(*seen[: i + 1]).alias(f"facts_{s}") for i, s in enumerate(fv.SOURCES)]
 
 
-def _no_facts() -> list[Column]:
-    """The columns of ``tagging_by_tag`` where tagging is not read."""
-    none = [F.lit(None).cast(FACTS_TYPE).alias(f"tagged_{s}") for s in fv.SOURCES]
-    return none + [F.lit(None).cast("array<string>").alias(f"ages_{s}") for s in fv.SOURCES]
+def _no_facts(populations: tuple[Population, ...]) -> list[Column]:
+    """The columns of ``_of_tagging`` where tagging is not read."""
+    kinds = {name: FACTS_TYPE if name.startswith("tagged_") else "long" for name in _of_tagging(populations)}
+    return [F.lit(None).cast(kind).alias(name) for name, kind in kinds.items()]
 
 
 def wide_rows(
@@ -276,7 +304,7 @@ def wide_rows(
     here = F.col("population") == F.col("held_by")
     states = states_by_tag(passage, tagging, known, populations)
     if tagging is None:
-        states = states.select("*", *_no_facts())
+        states = states.select("*", *_no_facts(populations))
     rows = (
         tag_features(detections)
         .withColumns(days)
@@ -292,7 +320,7 @@ def wide_rows(
         columns.append(f"CASE WHEN sees_{source} THEN {last} END AS {last}")
     for dam in fv.DAMS:
         columns += _held(dam)
-    marks = _population_marks().alias("marks")
+    marks = _population_marks(len(_age_masks(populations))).alias("marks")
     return rows.select(marks, *_facts(), *[F.expr(column) for column in columns])
 
 
