@@ -68,3 +68,23 @@ def test_old_versions_expire(spark, root):
     switch_to(spark, root, made[0])
     assert expire_versions(spark, root, keep=1) == made[1:3]
     assert versions(spark, root) == [made[0], made[3]] and tags(spark, root) == {"T0"}
+
+
+def test_a_task_of_the_sink_does_not_sort_its_rows(spark, root, monkeypatch):
+    """Files of the populations are open side by side while the tables are written, and only then."""
+    from pyspark.sql import DataFrameWriter
+
+    key, seen, write = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.parquet
+
+    def watched(self, *args, **named):
+        seen.append(int(spark.conf.get(key)))
+        return write(self, *args, **named)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", watched)
+    before = spark.conf.get(key)
+    # More populations than files that may be open, so that some rows are sorted after all.
+    rows = [state(f"T{i}", "LGS", basin=f"b{i % 40}", run=f"r{i % 3}") for i in range(400)]
+    publish_passage(frames(spark, [], [], rows)[2].coalesce(1), root)
+    assert min(seen) > 1 and spark.conf.get(key) == before
+    got = read_published(spark, root).select("basin", "run", "tag_code").collect()
+    assert sorted(map(tuple, got)) == sorted((r[0], r[1], r[3]) for r in rows)

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from weirwalk import schema
 from weirwalk.functions.features import required
 
+#: Files that a task of the sink may have open at a time.
+OPEN_FILES = 16
+
 
 def checked_detections(rows: DataFrame) -> DataFrame:
     """Detections with tags checked and site names trimmed."""
@@ -53,9 +56,17 @@ def write_passage(rows: DataFrame, path: str) -> None:
     (basin, run) a file count that follows its size: a large population is split
     over many tasks and small ones do not become thousands of small files.
     """
-    (
-        rows.hint("rebalance", "basin", "run")
-        .write.mode("errorifexists")
-        .partitionBy("basin", "run")
-        .parquet(path)
-    )
+    # Few populations meet in a task, so their files are open side by side; else Spark first
+    # sorts, and holds, all rows of the task. Beyond that number it sorts the rest.
+    conf, key = rows.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(key)
+    conf.set(key, OPEN_FILES)
+    try:
+        (
+            rows.hint("rebalance", "basin", "run")
+            .write.mode("errorifexists")
+            .partitionBy("basin", "run")
+            .parquet(path)
+        )
+    finally:
+        conf.set(key, before)
