@@ -262,7 +262,7 @@ def sink_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     t, root = tables(spark, sf_dir), scratch_dir(spark)
     first = publish.publish_passage(t.passage, root)
     start = publish.read_published(spark, root)
-    filled = run_batches(t.detections, t.tagging, start)
+    filled = run_batches(t.detections, t.tagging, start, partitions=t.partitions)
     lgr = start.filter(F.col("dam") == "LGR")
     publish.publish_passage(lgr.unionByName(filled), root, based_on=first)
     return publish.read_published(spark, root)
@@ -587,7 +587,14 @@ def _batch(name: str, populations: tuple[fv.Population, ...]) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         t = tables(spark, sf_dir)
         rows = run_batches(
-            t.detections, t.tagging, t.passage, populations, names, (dam,), name in APPENDS
+            t.detections,
+            t.tagging,
+            t.passage,
+            populations,
+            names,
+            (dam,),
+            name in APPENDS,
+            partitions=t.partitions,
         )
         if name in APPENDS:
             return rows.filter(F.col("added") == name).select("basin", "run", "tag_code")
@@ -599,7 +606,7 @@ def _batch(name: str, populations: tuple[fv.Population, ...]) -> Query:
 def _history(populations: tuple[fv.Population, ...]) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         t = tables(spark, sf_dir)
-        return run_batches(t.detections, t.tagging, t.passage, populations)
+        return run_batches(t.detections, t.tagging, t.passage, populations, partitions=t.partitions)
 
     return query
 

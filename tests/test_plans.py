@@ -1,10 +1,12 @@
 """Shape of the physical plan, and stepwise runs against the single plan."""
 
 import re
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from checks.queries import QUERIES
 from tests.rows import LMJ, day, detection, frames, state, tagged
 from weirwalk import fixed_values as fv
 from weirwalk.plans.batches import BATCH_NAMES, needs
@@ -195,6 +197,42 @@ def test_a_task_holds_one_sort_of_its_rows(spark, stored, no_broadcast):
     assert len(re.findall(r"[+:]- (?:\*\(\d+\) )?Sort \[tag_code#\d+ ASC NULLS FIRST, species_group#\d+ ASC NULLS FIRST", plan)) == 2
 
 
+def _dealt_into(frame, key):
+    """The partitions that the shuffles by the key deal into."""
+    return sorted(int(n) for n in re.findall(rf"Exchange hashpartitioning\({key}#\d+L?,(?: species_group#\d+,)? (\d+)\)", _plan(frame)))
+
+
+def test_partitions_of_the_driver_tables_follow_their_rows(spark, tmp_path, no_broadcast, monkeypatch):
+    """The configured number stays as it is; a task must not be dealt more rows as the tables grow."""
+    n, at = 40, datetime(1995, 5, 5)
+    orders = [(k, k, "F", at, "1-URGENT") for k in range(n)]
+    lines = [(k, k + i, i + 1, "R", "F", at) for k in range(n) for i in range(4)]
+    spark.createDataFrame(orders, driver_tables.ORDERS).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(lines, driver_tables.LINEITEM).write.parquet(f"{tmp_path}/lineitem.parquet")
+    small = driver_tables.tables(spark, str(tmp_path))
+    assert small.partitions == 1
+    monkeypatch.setattr(driver_tables, "ROWS_A_TASK", 4)
+    large = driver_tables.tables(spark, str(tmp_path))
+    assert large.partitions == 50 > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert _dealt_into(large.detections, "key") == [50, 50]
+    assert _dealt_into(large.passage, "key") == [50, 50]
+    for name in ("detections", "tagging", "passage"):
+        few, many = getattr(small, name), getattr(large, name)
+        assert few.count() and few.exceptAll(many).isEmpty() and many.exceptAll(few).isEmpty()
+    run = QUERIES["history_all_populations"](spark, str(tmp_path))
+    assert _dealt_into(run, "tag_code").count(50) == 3
+
+
+def test_rows_by_tag_lie_in_the_partitions_asked_for(spark, stored, no_broadcast):
+    few, many = run_batches(*stored), run_batches(*stored, partitions=50)
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert _dealt_into(few, "tag_code") == [configured] * 3
+    # One more than before: detections are combined on the map side and summed in the configured number first.
+    assert _dealt_into(many, "tag_code") == [configured, 50, 50, 50]
+    assert _dealt_into(run_batches(*stored, partitions=1), "tag_code") == [configured] * 3
+    assert few.exceptAll(many).isEmpty() and many.exceptAll(few).isEmpty()
+
+
 def test_no_task_groups_the_tagging_rows_that_it_scans(stored, no_broadcast):
     """They are dealt as they are and grouped in sorted order: a grouping of objects sorts, and holds, all that a task scans."""
     lines = _plan(run_batches(*stored)).splitlines()

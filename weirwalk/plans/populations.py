@@ -31,15 +31,17 @@ def run_batches(
     dams: tuple[str, ...] = fv.FILLED_DAMS,
     added: bool = False,
     release_mcn_dam: str = "LMN",
+    partitions: int = 1,
 ) -> DataFrame:
     """The passage tables of the given checkpoints after the given batches.
 
     Batches that none of these tables depends on are left out, and so are release
-    sources and tagging rows where no batch that stays reads them.
+    sources and tagging rows where no batch that stays reads them. ``partitions`` raises
+    ``spark.sql.shuffle.partitions`` for the rows that are dealt by tag, where the tables are large.
     """
     needed = needs(batches, dams, release_mcn_dam)
     aged = needed.ages and any(p.release_sources and p.age is not None for p in populations)
     read = tagging if needed.facts or aged else None
-    wide = wide_rows(detections, read, passage, populations, needed.sources)
+    wide = wide_rows(detections, read, passage, populations, needed.sources, partitions)
     wide = apply_batches(wide, needed.batches, release_mcn_dam)
     return passage_tables(wide, facts_written(batches), dams, added)

@@ -102,14 +102,17 @@ def _of(populations: tuple[Population, ...], rows: DataFrame) -> DataFrame:
     return rows.filter(wanted)
 
 
-def _dealt_by_tag(rows: DataFrame) -> DataFrame:
-    """Rows shuffled by tag into as many partitions as the configuration says.
+def _configured(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _dealt_by_tag(rows: DataFrame, partitions: int) -> DataFrame:
+    """Rows shuffled by tag into as many partitions as the configuration says, or more.
 
     The number is named, so that they are not merged: what they are merged by are
     compressed bytes, and rows that are sorted take many times as many.
     """
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(parts, *TAG)
+    return rows.repartition(max(partitions, _configured(rows.sparkSession)), *TAG)
 
 
 def states_by_tag(
@@ -117,6 +120,7 @@ def states_by_tag(
     tagging: DataFrame | None,
     known: DataFrame,
     populations: tuple[Population, ...],
+    partitions: int = 1,
 ) -> DataFrame:
     """Passage rows as one row per tag and population, with the tag's tagging facts beside them.
 
@@ -125,8 +129,8 @@ def states_by_tag(
     is the set of all its populations. The columns of ``_of_tagging`` follow. Fails on a NULL tag, on a key
     that occurs twice at a checkpoint and on an unknown checkpoint.
 
-    Tagging rows get the partitioning that the passage rows get, and one sort serves the
-    grouping of both, what is told of a tag as a whole, and the join behind.
+    Tagging rows get the partitioning that the passage rows get, ``partitions`` where that is more than is
+    configured, and one sort serves the grouping of both, what is told of a tag as a whole, and the join behind.
     """
     known = F.broadcast(known.select("population", "basin", "run", "species_group"))
     unknown = F.raise_error(
@@ -136,12 +140,12 @@ def states_by_tag(
     rows = _of(populations, passage).withColumns(
         {"dam": F.coalesce(dam, unknown), "tag_code": required("tag_code")}
     )
-    rows = _dealt_by_tag(rows.join(known, ["basin", "run"]).drop("basin", "run"))
+    rows = _dealt_by_tag(rows.join(known, ["basin", "run"]).drop("basin", "run"), partitions)
     facts: dict[str, Column] = {}
     if tagging is not None:
         # Not grouped before they are dealt: hardly a tag is listed twice, and a grouping
         # would hold all that a task scans.
-        listed = _dealt_by_tag(tagging_rows(tagging, populations))
+        listed = _dealt_by_tag(tagging_rows(tagging, populations), partitions)
         rows = rows.unionByName(listed, allowMissingColumns=True)
         facts = _of_tagging(populations)
     pivot = [column.alias(name) for name, column in facts.items()]
@@ -284,11 +288,12 @@ def wide_rows(
     passage: DataFrame,
     populations: tuple[Population, ...] = fv.POPULATIONS,
     sources: tuple[str, ...] = fv.SOURCES,
+    partitions: int = 1,
 ) -> DataFrame:
     """The wide rows of the populations, before any batch.
 
     ``sources`` are the detection sources that will be looked at; without ``tagging``
-    no tag has facts or ages.
+    no tag has facts or ages. The rows lie in ``partitions`` where that is more than is configured.
     """
     groups = _groups(populations)
     detections = detections.filter(F.col("species_group").isin(groups))
@@ -302,12 +307,15 @@ def wide_rows(
     # Month and day as one number, once per tag and not once per population.
     days = {f"day_{c}": F.month(c) * 100 + F.day(c) for c in last}
     here = F.col("population") == F.col("held_by")
-    states = states_by_tag(passage, tagging, known, populations)
+    states = states_by_tag(passage, tagging, known, populations, partitions)
     if tagging is None:
         states = states.select("*", *_no_facts(populations))
+    features = tag_features(detections)
+    if partitions > _configured(passage.sparkSession):
+        # Combined on the map side and summed in the configured number, which they leave as one row per tag.
+        features = _dealt_by_tag(features, partitions)
     rows = (
-        tag_features(detections)
-        .withColumns(days)
+        features.withColumns(days)
         .join(states, list(TAG), "full_outer")
         .withColumn("marks", F.coalesce("marks", F.lit(0).cast("long")))
         .withColumn("population", F.explode(_population_ids(populations)))

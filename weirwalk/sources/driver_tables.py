@@ -37,15 +37,18 @@ LINEITEM = (
     "l_orderkey bigint, l_partkey bigint, l_linenumber int, "
     "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
 )
+# Orders and line items that a task is dealt, so that what it sorts does not grow with the tables.
+ROWS_A_TASK = 500_000
 
 
 @dataclass(frozen=True)
 class Tables:
-    """The three inputs of every passage job."""
+    """The three inputs of every passage job, and the partitions that their size asks for."""
 
     detections: DataFrame
     tagging: DataFrame
     passage: DataFrame
+    partitions: int = 1
 
 
 def _pick(index: Column, values: tuple[str | int, ...]) -> Column:
@@ -57,6 +60,24 @@ def tag_code(key: Column) -> Column:
     return F.concat(F.lit("T"), F.lpad(digits, F.greatest(F.length(digits), F.lit(8)), F.lit("0")))
 
 
+def partitions(spark: SparkSession, sf_dir: str) -> int:
+    """Partitions of ``ROWS_A_TASK`` orders and line items; they are counted from the files' footers."""
+    orders = spark.read.schema(ORDERS).parquet(f"{sf_dir}/orders.parquet")
+    lines = spark.read.schema(LINEITEM).parquet(f"{sf_dir}/lineitem.parquet")
+    return -(-(orders.count() + lines.count()) // ROWS_A_TASK) or 1
+
+
+def _dealt_by_key(rows: DataFrame, parts: int) -> DataFrame:
+    """Rows shuffled by key into ``parts`` partitions, one for each core at least.
+
+    The number is named, as the configured one need not follow the tables, and partitions are
+    merged by compressed bytes. One partition's rows are left to Spark, which may broadcast them.
+    """
+    if parts == 1:
+        return rows
+    return rows.repartition(max(parts, rows.sparkSession.sparkContext.defaultParallelism), "key")
+
+
 def _line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = spark.read.schema(LINEITEM).parquet(f"{sf_dir}/lineitem.parquet")
     names = tuple(name for _, _, name, _ in fv.SITES) + (UPPER_ADULT_SITE, LADDER_SITE)
@@ -96,8 +117,9 @@ def _in_all_sources(fish: DataFrame) -> DataFrame:
     )
 
 
-def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as detections."""
+def detections(spark: SparkSession, sf_dir: str, parts: int | None = None) -> DataFrame:
+    """Line items as detections; ``parts`` are the ``partitions`` where they are known."""
+    parts = parts or partitions(spark, sf_dir)
     flag, status = F.col("l_returnflag"), F.col("l_linestatus")
     # Other sources saw the individual at other times, at some of the sites, and never removed it.
     antenna = (
@@ -120,7 +142,8 @@ def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     fish = _in_all_sources(_individuals(spark, sf_dir))
     fish = fish.select("key", "migration_year", "source", "species_group", "copy")
-    rows = lines.join(fish, "key").filter((F.col("copy") == 0) | F.col("copied")).select(
+    both = _dealt_by_key(lines, parts).join(_dealt_by_key(fish, parts), "key")
+    rows = both.filter((F.col("copy") == 0) | F.col("copied")).select(
         tag_code(F.col("key")).alias("tag_code"),
         "site_name",
         antenna.alias("antenna_group"),
@@ -150,18 +173,19 @@ def tagging(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked_tagging(rows)
 
 
-def passage(spark: SparkSession, sf_dir: str) -> DataFrame:
+def passage(spark: SparkSession, sf_dir: str, parts: int | None = None) -> DataFrame:
     """Orders as the start state of the passage tables of all four checkpoints.
 
     Rows of the three lower checkpoints hold values of an earlier run: names, dates
-    and flags, any of them missing in some rows.
+    and flags, any of them missing in some rows. ``parts`` as for the detections.
     """
+    parts = parts or partitions(spark, sf_dir)
     seen = (
         _line_items(spark, sf_dir)
         .filter(any_of([at_dam(d) for d in fv.FILLED_DAMS]))
-        .groupBy(F.col("l_orderkey").alias("key"))
-        .agg(*[F.bool_or(at_dam(d)).alias(d) for d in fv.FILLED_DAMS])
+        .select(F.col("l_orderkey").alias("key"), *[at_dam(d).alias(d) for d in fv.FILLED_DAMS])
     )
+    seen = _dealt_by_key(seen, parts).groupBy("key").agg(*[F.bool_or(d).alias(d) for d in fv.FILLED_DAMS])
     key = F.col("key")
     fish = _individuals(spark, sf_dir).select("key", "basin", "run", F.col("release_date").alias("day"))
     at_lgr = (key % 3).cast("int")
@@ -193,7 +217,8 @@ def passage(spark: SparkSession, sf_dir: str) -> DataFrame:
     older = F.col("day") - F.make_dt_interval((block % 20 + 5).cast("int"))
     later = F.col("day") + F.make_dt_interval((block % 7).cast("int"), place)
     rows = (
-        fish.join(seen, "key", "left")
+        _dealt_by_key(fish, parts)
+        .join(seen, "key", "left")
         .select("key", "basin", "run", "day", F.explode(entries).alias("entry"))
         .filter(F.col("entry").isNotNull())
         .select("key", "basin", "run", "day", "entry.*")
@@ -216,6 +241,7 @@ def passage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
     """All three logical tables of a scale-factor directory."""
+    parts = partitions(spark, sf_dir)
     return Tables(
-        detections(spark, sf_dir), tagging(spark, sf_dir), passage(spark, sf_dir)
+        detections(spark, sf_dir, parts), tagging(spark, sf_dir), passage(spark, sf_dir, parts), parts
     )
