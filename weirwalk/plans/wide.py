@@ -2,7 +2,8 @@
 
 No batch relates two tags, so once the inputs meet on the tag every batch is a
 column expression. Each input is read once and shuffled once on (tag_code,
-species_group): detections as already combined bit marks, tagging rows and passage rows. Passage and tagging rows of a tag are sorted together on
+species_group): detections as already combined bit marks (twice where more partitions are
+asked for than are configured), tagging rows and passage rows. Passage and tagging rows of a tag are sorted together on
 that partitioning, and one full outer join puts the marks beside them: a tag has a
 wide row whichever input it is in, so no input can be left unread and unchecked.
 Behind the sort a task holds the rows of one tag at a time.
