@@ -223,6 +223,25 @@ def test_partitions_of_the_driver_tables_follow_their_rows(spark, tmp_path, no_b
     assert _dealt_into(run, "tag_code").count(50) == 3
 
 
+@pytest.mark.parametrize(
+    "name",
+    (
+        "c04_lmn_fill",
+    ),
+)
+def test_a_batch_query_deals_its_rows_by_the_size_of_its_tables(spark, tmp_path, no_broadcast, monkeypatch, name):
+    n, at = 40, datetime(1995, 5, 5)
+    orders = [(k, k, "F", at, "1-URGENT") for k in range(n)]
+    lines = [(k, k + i, i + 1, "R", "F", at) for k in range(n) for i in range(4)]
+    spark.createDataFrame(orders, driver_tables.ORDERS).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(lines, driver_tables.LINEITEM).write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(driver_tables, "ROWS_A_TASK", 4, raising=False)
+    run = QUERIES[name](spark, str(tmp_path))
+    assert _dealt_into(run, "key") == [50] * 4
+    # Passage and tagging rows, and the marks behind their sum.
+    assert _dealt_into(run, "tag_code")[1:] == [50] * 3
+
+
 def test_rows_by_tag_lie_in_the_partitions_asked_for(spark, stored, no_broadcast):
     few, many = run_batches(*stored), run_batches(*stored, partitions=50)
     configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
