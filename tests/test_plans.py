@@ -228,6 +228,7 @@ def test_partitions_of_the_driver_tables_follow_their_rows(spark, tmp_path, no_b
     (
         "c04_lmn_fill",
         "c06_mcn_fill",
+        "c08_lmn_fill",
     ),
 )
 def test_a_batch_query_deals_its_rows_by_the_size_of_its_tables(spark, tmp_path, no_broadcast, monkeypatch, name):
