@@ -233,6 +233,7 @@ def test_partitions_of_the_driver_tables_follow_their_rows(spark, tmp_path, no_b
         "c12_mcn_addin_release",
         "c10_mcn_fill_release",
         "c13_mcn_fill_release",
+        "c15_mcn_101_release",
     ),
 )
 def test_a_batch_query_deals_its_rows_by_the_size_of_its_tables(spark, tmp_path, no_broadcast, monkeypatch, name):
